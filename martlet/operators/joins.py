@@ -1,0 +1,29 @@
+"""Joins against lookup lists.
+
+Only lookups with a proven row bound are broadcast.  The bound is either
+structural (the list is built through a fixed mapping, or is one API reply) or
+checked by ``checked_broadcast``, which counts at most ``max_rows + 1`` rows of
+an already small, materialized table and falls back to a shuffle join beyond
+that.  Tables that grow with the data (products, kit bridge, orders, lines) are
+never hinted: Spark's size estimate and AQE's runtime statistics pick the join.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup lists (statuses, channels, categories) come back in one API reply.
+LOOKUP_MAX_ROWS = 100_000
+
+
+def lookup_side(df: DataFrame, bounded: bool) -> DataFrame:
+    """Broadcast ``df`` when its row bound is known, else leave the choice to Spark."""
+    return F.broadcast(df) if bounded else df
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Count at most ``max_rows + 1`` rows; broadcast only within the bound."""
+    n = df.limit(max_rows + 1).count()
+    ok = n <= max_rows
+    return (F.broadcast(df) if ok else df), ok
