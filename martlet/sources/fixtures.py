@@ -17,7 +17,6 @@ a proven row bound (statuses 3, categories 5, channels 10).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,8 +64,39 @@ def _case(col: Column, mapping: dict, default=None) -> Column:
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
+# Columns of the driver tables this mapping reads (declared: no inference job,
+# and the scan reads only these columns).
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+}
+
+
+_SPLITS: dict[str, int] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread_scan(spark, spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path), path)
+
+
+def spread_scan(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than half the cores.
+
+    A file written as one row group cannot be split, so its scan is a single
+    task and every per-row expression before the first shuffle runs serially.
+    A large table stored as many files / row groups yields many splits and is
+    returned untouched, so this never adds a shuffle at scale.  The split
+    count is planned once per path (no job runs).
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = _SPLITS.get(key)
+    if n is None:
+        n = _SPLITS[key] = df.rdd.getNumPartitions()
+    return df.repartition(cores) if n < max(2, cores // 2) else df
 
 
 def landing_dt(order_ts: Column) -> Column:
@@ -81,7 +111,7 @@ def _order_header(o: DataFrame) -> DataFrame:
                  .otherwise(_case(o.o_orderstatus, {k: v[0] for k, v in STATUS_BY_ORDERSTATUS.items()}).cast("bigint")))
     return o.select(
         o.o_orderkey.alias("id"),
-        F.date_format(o.o_orderdate, "yyyy-MM-dd").alias("data_txt"),
+        o.o_orderdate.cast("date").cast("string").alias("data_txt"),
         F.struct(status_id.alias("id")).alias("situacao"),
         landing_dt(o.o_orderdate).alias("dt"),
         o.o_orderdate, o.o_custkey, o.o_totalprice, o.o_orderpriority,
@@ -97,8 +127,8 @@ def raw_sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.id.alias("id"),
         o.id.alias("numero"),
         o.data_txt.alias("data"),
-        F.date_format(F.date_add(o.o_orderdate.cast("date"), DISPATCH_DAYS), "yyyy-MM-dd").alias("dataSaida"),
-        F.date_format(F.date_add(o.o_orderdate.cast("date"), DELIVERY_DAYS), "yyyy-MM-dd").alias("dataPrevista"),
+        F.date_add(o.o_orderdate.cast("date"), DISPATCH_DAYS).cast("string").alias("dataSaida"),
+        F.date_add(o.o_orderdate.cast("date"), DELIVERY_DAYS).cast("string").alias("dataPrevista"),
         total.alias("totalProdutos"),
         total.alias("total"),
         F.struct(o.o_custkey.alias("id")).alias("contato"),
@@ -204,23 +234,39 @@ def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where(F.col("id").isNotNull()).distinct())
 
 
-@dataclass
 class RawSources:
-    """The landed (bronze) inputs of one mart build."""
-    sales_orders: DataFrame
-    sales_items: DataFrame
-    products: DataFrame
-    categories: DataFrame
-    channels: DataFrame
-    statuses: DataFrame
+    """The landed (bronze) inputs of one mart build.
+
+    Built from DataFrames or from zero-argument callables; a callable is
+    invoked on first use, so a query only plans the inputs it reads.
+    """
+
+    NAMES = ("sales_orders", "sales_items", "products", "categories", "channels", "statuses")
+
+    def __init__(self, **inputs):
+        unknown = set(inputs) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"unknown raw inputs: {sorted(unknown)}")
+        self._inputs = inputs
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.NAMES:
+            raise AttributeError(name)
+        if name not in self._built:
+            v = self._inputs.get(name)
+            if v is None:
+                raise AttributeError(f"raw input {name!r} was not given")
+            self._built[name] = v() if callable(v) else v
+        return self._built[name]
 
 
 def from_driver_tables(spark: SparkSession, sf_dir: str) -> RawSources:
     return RawSources(
-        sales_orders=raw_sales_orders(spark, sf_dir),
-        sales_items=raw_sales_items(spark, sf_dir),
-        products=raw_products(spark, sf_dir),
-        categories=raw_categories(spark, sf_dir),
-        channels=raw_channels(spark, sf_dir),
-        statuses=raw_statuses(spark, sf_dir),
+        sales_orders=lambda: raw_sales_orders(spark, sf_dir),
+        sales_items=lambda: raw_sales_items(spark, sf_dir),
+        products=lambda: raw_products(spark, sf_dir),
+        categories=lambda: raw_categories(spark, sf_dir),
+        channels=lambda: raw_channels(spark, sf_dir),
+        statuses=lambda: raw_statuses(spark, sf_dir),
     )
