@@ -13,10 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.plans import staging
+import datetime as dt
+
+from martlet.operators import audit
+from martlet.operators.upsert import PartitionedMerge, incremental_bound, merge_rows
+from martlet.plans import analyses, silver, staging
 from martlet.plans.mart import Mart
 from martlet.sources import fixtures
 
+# Fixed parameters of the incremental, upsert and analysis queries (as in martlet.oracle).
+FIRST_LOAD_END = "1999-12-31"
+WEEKLY_AS_OF = dt.date(2000, 1, 5)
+REPLENISH_AS_OF = dt.date(2001, 8, 1)
+CHANNEL_KEYS = ["sale_channel_name", "category_name", "order_date"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -26,8 +36,54 @@ def for_compare(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def mart(spark: SparkSession, sf_dir: str, **kw) -> Mart:
-    return Mart(fixtures.from_driver_tables(spark, sf_dir), **kw)
+def mart(spark: SparkSession, sf_dir: str, until: str | None = None, **kw) -> Mart:
+    return Mart(fixtures.from_driver_tables(spark, sf_dir, until), **kw)
+
+
+def _incremental_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(first-load silver orders, the weekly run's F4 source rows)."""
+    target = mart(spark, sf_dir, until=FIRST_LOAD_END).silver_orders
+    after = incremental_bound(target, WEEKLY_AS_OF)
+    m = mart(spark, sf_dir)
+    source = silver.silver_orders(m.stg_orders, m.stg_statuses, after)
+    return target, source
+
+
+def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rows a weekly run on WEEKLY_AS_OF selects after a first load up to FIRST_LOAD_END."""
+    return for_compare(_incremental_orders(spark, sf_dir)[1])
+
+
+def _upsert(null_safe: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target = mart(spark, sf_dir, until=FIRST_LOAD_END).fact_channel_performance
+        source = mart(spark, sf_dir).fact_channel_performance
+        return for_compare(merge_rows(target, source, CHANNEL_KEYS, null_safe=null_safe))
+    run.__name__ = "upsert_null_safe" if null_safe else "upsert_plain"
+    return run
+
+
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly silver-orders merge, rewriting only the touched order dates."""
+    target, source = _incremental_orders(spark, sf_dir)
+    pm = PartitionedMerge.plan(target, source, ["order_id"], "order_date")
+    return for_compare(pm.full_result(target, "order_date"))
+
+
+def audit_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.batch_summary(fixtures.extraction_attempts(spark, sf_dir))
+
+
+def audit_retry_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.run_summary(fixtures.extraction_attempts(spark, sf_dir))
+
+
+def abc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analyses.abc_curve(mart(spark, sf_dir).fact_item_details)
+
+
+def replenishment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analyses.replenishment(mart(spark, sf_dir).fact_component_demand, REPLENISH_AS_OF)
 
 
 def _model(attr: str, columns: list[str] | None = None) -> Query:
@@ -69,6 +125,17 @@ QUERIES: dict[str, Query] = {
     "fact_channel_performance": _model("fact_channel_performance"),
     "fact_product_performance": _model("fact_product_performance"),
     "fact_component_demand": _model("fact_component_demand"),
+    # incremental runs and upserts
+    "incremental_window": incremental_window,
+    "upsert_null_safe": _upsert(True),
+    "upsert_plain": _upsert(False),
+    "upsert_partitioned": upsert_partitioned,
+    # extraction audit
+    "audit_batch_summary": audit_batch_summary,
+    "audit_retry_reconcile": audit_retry_reconcile,
+    # stated business questions
+    "abc_curve": abc_curve,
+    "replenishment": replenishment,
 }
 
 

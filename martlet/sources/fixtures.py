@@ -118,8 +118,14 @@ def _order_header(o: DataFrame) -> DataFrame:
     )
 
 
-def raw_sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _order_header(_read(spark, sf_dir, "orders"))
+def _orders(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Orders, optionally only those dated up to ``until`` (an earlier extraction)."""
+    o = _read(spark, sf_dir, "orders")
+    return o if until is None else o.where(F.col("o_orderdate") < F.date_add(F.lit(until).cast("date"), 1))
+
+
+def raw_sales_orders(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    o = _order_header(_orders(spark, sf_dir, until))
     total = o.o_totalprice.cast(MONEY)
     freight = F.when(o.id % NULL_FREIGHT_EVERY == 0, F.lit(None).cast(MONEY)).otherwise(
         cents(o.o_totalprice * FREIGHT_FACTOR))
@@ -150,7 +156,8 @@ def _item_struct(li: DataFrame) -> Column:
     )
 
 
-def raw_sales_items(spark: SparkSession, sf_dir: str, with_header: bool = True) -> DataFrame:
+def raw_sales_items(spark: SparkSession, sf_dir: str, with_header: bool = True,
+                    until: str | None = None) -> DataFrame:
     """One row per order line.
 
     ``with_header`` adds the ids of the order record the line belongs to (date
@@ -161,7 +168,7 @@ def raw_sales_items(spark: SparkSession, sf_dir: str, with_header: bool = True)
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     if not with_header:
         return li.select(F.struct(li.l_orderkey.alias("id")).alias("data"), _item_struct(li).alias("item"))
-    o = _order_header(_read(spark, sf_dir, "orders")).select("id", "data_txt", "situacao", "dt")
+    o = _order_header(_orders(spark, sf_dir, until)).select("id", "data_txt", "situacao", "dt")
     j = li.join(o, li.l_orderkey == o.id, "inner")
     return j.select(
         F.struct(j.id.alias("id"), j.data_txt.alias("data"), j.situacao.alias("situacao")).alias("data"),
@@ -261,12 +268,49 @@ class RawSources:
         return self._built[name]
 
 
-def from_driver_tables(spark: SparkSession, sf_dir: str) -> RawSources:
+def from_driver_tables(spark: SparkSession, sf_dir: str, until: str | None = None) -> RawSources:
+    """All raw inputs; ``until`` limits the landed orders to those dated up to it."""
     return RawSources(
-        sales_orders=lambda: raw_sales_orders(spark, sf_dir),
-        sales_items=lambda: raw_sales_items(spark, sf_dir),
+        sales_orders=lambda: raw_sales_orders(spark, sf_dir, until),
+        sales_items=lambda: raw_sales_items(spark, sf_dir, until=until),
         products=lambda: raw_products(spark, sf_dir),
         categories=lambda: raw_categories(spark, sf_dir),
         channels=lambda: raw_channels(spark, sf_dir),
         statuses=lambda: raw_statuses(spark, sf_dir),
     )
+
+
+# ---------------------------------------------------------------------------
+# Extraction bookkeeping derived from the orders (fixed values of the rule).
+# ---------------------------------------------------------------------------
+PAGE_SIZE = 100            # ids per listing page = batch
+FIRST_PASS_FAIL_EVERY = 53 # first fetch fails when o_orderkey % 53 = 0
+PERMANENT_FAIL_EVERY = 106 # ... and every retry fails when o_orderkey % 106 = 0
+RETRY_SPREAD = 3           # otherwise retry 1 + o_orderkey % 3 succeeds
+
+
+def extraction_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per fetch attempt of each order id, run = the landing window end.
+
+    Retries are generated per failed id with ``explode(sequence(...))`` (at
+    most 3 rows per id), a narrow per-row expansion.
+    """
+    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    failed = k % FIRST_PASS_FAIL_EVERY == 0
+    permanent = k % PERMANENT_FAIL_EVERY == 0
+    success_at = F.when(permanent, F.lit(None)).otherwise(F.lit(1) + k % RETRY_SPREAD)
+    n_attempts = F.when(~failed, F.lit(0)).when(permanent, F.lit(3)).otherwise(success_at)
+    base = o.select(
+        landing_dt(F.col("o_orderdate")).cast("string").alias("run_id"),
+        F.lit("sales").alias("entity"),
+        F.floor(k / PAGE_SIZE).cast("int").alias("batch"),
+        k.alias("object_id"),
+        n_attempts.alias("_n"), success_at.alias("_ok_at"), failed.alias("_failed"))
+    attempts = base.select(
+        "run_id", "entity", "batch", "object_id", "_ok_at", "_failed",
+        F.explode(F.sequence(F.lit(0), F.col("_n"))).alias("attempt"))
+    ok = F.when(F.col("attempt") == 0, ~F.col("_failed")).otherwise(
+        F.coalesce(F.col("attempt") == F.col("_ok_at"), F.lit(False)))
+    return attempts.select("run_id", "entity", "batch", "object_id",
+                           F.col("attempt").cast("int").alias("attempt"), ok.alias("ok"))

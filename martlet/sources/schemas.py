@@ -74,7 +74,7 @@ EXTRACTION_ATTEMPTS = _s(("run_id", TXT), ("entity", TXT), ("batch", T.IntegerTy
 RUN_METADATA = _s(
     ("extraction_timestamp", TXT),
     ("extraction_timestamp_utc", TXT),
-    ("extraction_params", T.MapType(T.StringType(), T.StringType())),
+    ("extraction_params", TXT),  # the object kept as JSON text
     ("successful_extractions", T.LongType()),
     ("failed_extractions", T.LongType()),
     ("batches_processed", T.LongType()),
