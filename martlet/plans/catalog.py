@@ -36,8 +36,10 @@ def for_compare(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def mart(spark: SparkSession, sf_dir: str, until: str | None = None, **kw) -> Mart:
-    return Mart(fixtures.from_driver_tables(spark, sf_dir, until), **kw)
+def mart(spark: SparkSession, sf_dir: str, until: str | None = None, materialize: bool = True, **kw) -> Mart:
+    """The mart over the driver's tables; shared layers written once per session and input."""
+    key = f"{sf_dir.rstrip('/')}|{until}|{sorted(kw.items())}" if materialize else None
+    return Mart(fixtures.from_driver_tables(spark, sf_dir, until), store_key=key, spark=spark, **kw)
 
 
 def _incremental_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
