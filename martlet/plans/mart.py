@@ -21,7 +21,7 @@ from martlet.sources.fixtures import RawSources
 
 
 _WRITTEN: dict[tuple[str, str], tuple[str, object]] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 class Mart:
