@@ -24,27 +24,27 @@ def _explain(df):
 
 
 def test_dedup_plans_partial_window_group_limit(spark):
-    p = _explain(mart(spark, SF001).silver_order_items)
+    p = _explain(mart(spark, SF001, materialize=False).silver_order_items)
     assert p.count("WindowGroupLimit") >= 2  # partial before the shuffle, final after
 
 
 def test_lookups_broadcast_only_when_bounded(spark):
     hint = "strategy=broadcast"
-    bounded = mart(spark, SF001).silver_orders._jdf.queryExecution().analyzed().toString()
-    unbounded = mart(spark, SF001, lookups_bounded=False).silver_orders._jdf.queryExecution().analyzed().toString()
+    bounded = mart(spark, SF001, materialize=False).silver_orders._jdf.queryExecution().analyzed().toString()
+    unbounded = mart(spark, SF001, materialize=False, lookups_bounded=False).silver_orders._jdf.queryExecution().analyzed().toString()
     assert bounded.count(hint) == 1 and unbounded.count(hint) == 0
-    assert "BroadcastHashJoin" in _explain(mart(spark, SF001).silver_orders)
+    assert "BroadcastHashJoin" in _explain(mart(spark, SF001, materialize=False).silver_orders)
 
 
 def test_scans_read_only_needed_columns(spark):
-    p = _explain(mart(spark, SF001).fact_component_demand)
+    p = _explain(mart(spark, SF001, materialize=False).fact_component_demand)
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", p)
     line_scans = [s for s in schemas if "l_orderkey" in s]
     assert line_scans and all("l_shipdate" not in s and "l_discount" not in s for s in line_scans)
 
 
 def test_component_demand_aggregates_before_kit_join(spark):
-    p = _explain(mart(spark, SF001).fact_component_demand)
+    p = _explain(mart(spark, SF001, materialize=False).fact_component_demand)
     physical = p.split("\n\n")[0]
     # the first (lowest) aggregate over lines appears below the join with the kit bridge
     assert "HashAggregate" in physical and "Join" in physical
