@@ -19,19 +19,24 @@ RANGE_COL = "_range"
 
 
 def running_sum(df: DataFrame, value: str, order: Sequence[Column], out: str = "running_total",
-                ranges: int | None = None) -> DataFrame:
+                ranges: int | None = None, total_out: str | None = None) -> DataFrame:
     """``df`` plus ``out`` = SUM(value) over all rows up to and including this
-    one in ``order`` (which must be total, e.g. end with a unique key)."""
+    one in ``order`` (which must be total, e.g. end with a unique key), and,
+    with ``total_out``, the sum over all rows (from the same per-range totals)."""
     spark = df.sparkSession
     n = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = df.repartitionByRange(n, *order).withColumn(RANGE_COL, F.spark_partition_id())
     per_range = ranged.groupBy(RANGE_COL).agg(F.sum(value).alias("_range_total"))
     # at most n rows: a single-partition window over them is fine
+    before = Window.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_range.select(
         RANGE_COL,
-        F.coalesce(F.sum("_range_total").over(
-            Window.orderBy(RANGE_COL).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+        F.coalesce(F.sum("_range_total").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_range_total").over(everything).alias("_grand_total"))
     inside = Window.partitionBy(RANGE_COL).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = ranged.join(F.broadcast(offsets), RANGE_COL, "left")
-    return (j.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.col("_offset"))
-            .drop(RANGE_COL, "_offset"))
+    j = j.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.col("_offset"))
+    if total_out:
+        j = j.withColumnRenamed("_grand_total", total_out)
+    return j.drop(RANGE_COL, "_offset", "_grand_total")

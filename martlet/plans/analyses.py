@@ -30,10 +30,8 @@ def abc_curve(item_details: DataFrame, a_percent: int = ABC_A_PERCENT, b_percent
     """
     rev = (item_details.where(F.col("product_id") != 0)
            .groupBy("product_id").agg(F.sum("gross_revenue").alias("gross_revenue")))
-    total = rev.agg(F.sum("gross_revenue").alias("_total"))  # one row
     order = [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc()]
-    cum = running_sum(rev, "gross_revenue", order, out="cumulative_revenue", ranges=ranges)
-    j = cum.crossJoin(F.broadcast(total))  # one-row side
+    j = running_sum(rev, "gross_revenue", order, out="cumulative_revenue", ranges=ranges, total_out="_total")
     c, t = F.col("cumulative_revenue"), F.col("_total")
     cls = (F.when(c * 100 <= t * a_percent, F.lit("A"))
            .when(c * 100 <= t * b_percent, F.lit("B")).otherwise(F.lit("C")))

@@ -18,7 +18,7 @@ import datetime as dt
 from martlet.operators import audit
 from martlet.operators.upsert import PartitionedMerge, incremental_bound, merge_rows
 from martlet.plans import analyses, silver, staging
-from martlet.plans.mart import Mart
+from martlet.plans.mart import FirstLoad, Mart
 from martlet.sources import fixtures
 
 # Fixed parameters of the incremental, upsert and analysis queries (as in martlet.oracle).
@@ -42,9 +42,14 @@ def mart(spark: SparkSession, sf_dir: str, until: str | None = None, materialize
     return Mart(fixtures.from_driver_tables(spark, sf_dir, until), store_key=key, spark=spark, **kw)
 
 
+def first_load(spark: SparkSession, sf_dir: str) -> Mart:
+    """The mart after a first load of the orders dated up to FIRST_LOAD_END."""
+    return FirstLoad(mart(spark, sf_dir), dt.date.fromisoformat(FIRST_LOAD_END))
+
+
 def _incremental_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(first-load silver orders, the weekly run's F4 source rows)."""
-    target = mart(spark, sf_dir, until=FIRST_LOAD_END).silver_orders
+    target = first_load(spark, sf_dir).silver_orders
     after = incremental_bound(target, WEEKLY_AS_OF)
     m = mart(spark, sf_dir)
     source = silver.silver_orders(m.stg_orders, m.stg_statuses, after)
@@ -58,7 +63,7 @@ def incremental_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upsert(null_safe: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        target = mart(spark, sf_dir, until=FIRST_LOAD_END).fact_channel_performance
+        target = first_load(spark, sf_dir).fact_channel_performance
         source = mart(spark, sf_dir).fact_channel_performance
         return for_compare(merge_rows(target, source, CHANNEL_KEYS, null_safe=null_safe))
     run.__name__ = "upsert_null_safe" if null_safe else "upsert_plain"

@@ -133,9 +133,12 @@ def run_audit(raw: DataFrame, declared_field: str = "total_records") -> DataFram
     keys = ["dt"] if "dt" in raw.columns else []
     meta = header_rows(raw).select(*keys, F.from_json("metadata", S.RUN_METADATA).alias("m"))
     meta = meta.select(*keys, "m.*")
-    landed = data_rows(raw).groupBy(*keys).agg(F.count(F.lit(1)).alias("landed_rows"))
     declared = F.coalesce(F.col("total_orders"), F.col("total_products"), F.col("total_records"))
-    out = meta.join(landed, keys, "left") if keys else meta.crossJoin(landed)  # landed is one row here
+    if keys:
+        landed = data_rows(raw).groupBy(*keys).agg(F.count(F.lit(1)).alias("landed_rows"))
+        out = meta.join(landed, keys, "left")
+    else:  # one list: a one-row count
+        out = meta.withColumn("landed_rows", F.lit(data_rows(raw).count()).cast("bigint"))
     return out.withColumn("declared_rows", declared).withColumn(
         "count_matches", F.coalesce(F.col("declared_rows") == F.col("landed_rows"), F.lit(False)))
 
