@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.plans import gold, silver, staging
-from martlet.session import ensure_checkpoint_dir
+from martlet.session import app_id, ensure_checkpoint_dir
 from martlet.sources.fixtures import RawSources
 
 
@@ -52,7 +52,7 @@ class Mart:
         if self.store_key is None:
             return build()
         spark = self.spark or SparkSession.getActiveSession()
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         key = f"{self.store_key}|{self.lookups_bounded}|{self.after}|{name}"
         with _LOCK:  # one writer per layer, also when queries run from several threads
             hit = _WRITTEN.get((app, key))

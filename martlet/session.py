@@ -21,6 +21,11 @@ MART_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # partition sizing at scale: AQE splits / coalesces shuffles toward ~128 MB,
+    # scans read ~256 MB splits, and skewed join partitions are split
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -41,22 +46,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+LOCAL_FALLBACK = os.path.join("/tmp", "martlet-checkpoints")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the session has none (local tests) is a folder set here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None) or fallback or LOCAL_FALLBACK
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = fallback or os.path.join("/tmp", "martlet-checkpoints")
+        configured = fallback or LOCAL_FALLBACK
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or "app"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location, for written intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

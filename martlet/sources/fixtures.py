@@ -92,10 +92,13 @@ def spread_scan(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     returned untouched, so this never adds a shuffle at scale.  The split
     count is planned once per path (no job runs).
     """
-    cores = spark.sparkContext.defaultParallelism
-    n = _SPLITS.get(key)
-    if n is None:
-        n = _SPLITS[key] = df.rdd.getNumPartitions()
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        n = _SPLITS.get(key)
+        if n is None:
+            n = _SPLITS[key] = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API on this session: leave the scan as it is
+        return df
     return df.repartition(cores) if n < max(2, cores // 2) else df
 
 

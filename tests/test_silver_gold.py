@@ -149,3 +149,14 @@ def test_dates_from_orders_equivalence(spark):
     for attr in ("fact_product_performance", "fact_component_demand"):
         a, b = getattr(m, attr), getattr(m2, attr)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_component_units_equal_line_units_with_kits_expanded(spark):
+    m = mart(spark, SF001)
+    lines = m.fact_item_details
+    per_kit = m.kit_bridge.groupBy("composite_product_id").agg(F.sum("component_quantity").alias("units"))
+    expanded = (lines.join(per_kit, lines.product_id == per_kit.composite_product_id, "left")
+                .select((F.col("quantity") * F.coalesce(F.col("units"), F.lit(1))).alias("u"))
+                .agg(F.sum("u")).first()[0])
+    demand = m.fact_component_demand.agg(F.sum("total_quantity_sold")).first()[0]
+    assert demand == expanded and demand > lines.agg(F.sum("quantity")).first()[0]
