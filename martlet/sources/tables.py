@@ -63,9 +63,14 @@ class TableStore:
         src = self.stage(df, f"{name}-src")
         if check:
             check_mergeable(target, src, keys, null_safe)
-        if partition_by is None:
+        if partition_by is None or set(src.columns) != set(target.columns):
+            # whole-table rewrite; also when the columns changed (U3), so that
+            # no partition keeps files of the old schema
             merged = self.stage(merge_rows(target, src, keys, null_safe), f"{name}-merged")
-            merged.write.mode("overwrite").parquet(self.path(name))
+            w = merged.write.mode("overwrite")
+            if partition_by:
+                w = w.option("partitionOverwriteMode", "static").partitionBy(partition_by)
+            w.parquet(self.path(name))
             return self.read(name)
         pm = PartitionedMerge.plan(target, src, keys, partition_by, null_safe)
         rewritten = self.stage(pm.rewritten, f"{name}-merged")

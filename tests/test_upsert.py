@@ -79,3 +79,12 @@ def test_plain_table_upsert_and_bound(spark, tmp_dir):
     assert incremental_bound(store.read("x"), D(2024, 1, 10)) == D(2024, 1, 2)
     out = store.upsert("x", spark.createDataFrame([(1, D(2024, 1, 4)), (2, D(2024, 1, 4))], "k int, order_date date"), ["k"])
     assert rows(out) == [(1, D(2024, 1, 4)), (2, D(2024, 1, 4))]
+
+
+def test_partitioned_upsert_with_new_column_rewrites_all_partitions(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    t = spark.createDataFrame([(1, D(2024, 1, 1), 10), (2, D(2024, 1, 2), 20)], "order_id bigint, order_date date, v int")
+    store.upsert("o", t, ["order_id"], partition_by="order_date")
+    s = spark.createDataFrame([(2, D(2024, 1, 2), 21, "x")], "order_id bigint, order_date date, v int, note string")
+    out = store.upsert("o", s, ["order_id"], partition_by="order_date")
+    assert rows(out, "order_id", "v", "note") == [(1, 10, None), (2, 21, "x")]
