@@ -346,10 +346,29 @@ SELECTS = {
 }
 
 
+ORDER_DATES = ["order_date", "dispatch_date", "estimated_delivery_date"]
+DATE_COLUMNS = {  # DATE columns of each query's output, returned as ISO text
+    "stg_orders": ORDER_DATES, "silver_orders": ORDER_DATES, "incremental_window": ORDER_DATES,
+    "upsert_partitioned": ORDER_DATES,
+    **{q: ["order_date"] for q in ("silver_order_items_dedup", "fact_item_details", "fact_orders",
+                                   "fact_channel_performance", "fact_product_performance",
+                                   "fact_component_demand", "upsert_null_safe", "upsert_plain")},
+}
+
+
+def _dates_as_text(name: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(name)
+    if not cols:
+        return sql
+    repl = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+    head, sep, tail = sql.rpartition("\nSELECT * FROM (")
+    return f"{head}{sep.replace('SELECT *', f'SELECT * REPLACE ({repl})')}{tail}"
+
+
 def oracle_sql() -> dict[str, str]:
     out = {name: _with(sel) for name, sel in SELECTS.items()}
     out["fact_channel_performance"] = _with("SELECT * FROM g_channel_perf")
     out["fact_product_performance"] = _with("SELECT * FROM g_product_perf")
     out["fact_component_demand"] = _with("SELECT * FROM g_component_demand")
     out.update(extra_queries())
-    return out
+    return {name: _dates_as_text(name, sql) for name, sql in out.items()}

@@ -31,9 +31,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def for_compare(df: DataFrame) -> DataFrame:
-    """DECIMAL columns as DOUBLE, everything else as is."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-                       else F.col(f.name) for f in df.schema.fields])
+    """Output of a registered query: DECIMAL as DOUBLE (exact cents convert the
+    same way in every engine) and DATE as ISO ``yyyy-MM-dd`` text (the same
+    value whatever client library reads it); everything else as is."""
+    def out(f):
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, T.DateType):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[out(f) for f in df.schema.fields])
 
 
 def mart(spark: SparkSession, sf_dir: str, until: str | None = None, materialize: bool = True, **kw) -> Mart:
@@ -78,19 +85,19 @@ def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.batch_summary(fixtures.extraction_attempts(spark, sf_dir))
+    return for_compare(audit.batch_summary(fixtures.extraction_attempts(spark, sf_dir)))
 
 
 def audit_retry_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.run_summary(fixtures.extraction_attempts(spark, sf_dir))
+    return for_compare(audit.run_summary(fixtures.extraction_attempts(spark, sf_dir)))
 
 
 def abc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.abc_curve(mart(spark, sf_dir).fact_item_details)
+    return for_compare(analyses.abc_curve(mart(spark, sf_dir).fact_item_details))
 
 
 def replenishment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.replenishment(mart(spark, sf_dir).fact_component_demand, REPLENISH_AS_OF)
+    return for_compare(analyses.replenishment(mart(spark, sf_dir).fact_component_demand, REPLENISH_AS_OF))
 
 
 def _model(attr: str, columns: list[str] | None = None) -> Query:
