@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--mart", help="root folder of the mart tables")
     ap.add_argument("--as-of", default=None, help="run date, YYYY-MM-DD (default: today)")
     ap.add_argument("--plain-keys", action="store_true", help="merge with = instead of null-safe <=>")
+    ap.add_argument("--gold-scope", choices=["all", "touched"], default="all",
+                    help="weekly: recompute gold for all dates (default) or only the dates silver touched")
     ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     a = ap.parse_args(argv)
     as_of = dt.date.today() if a.as_of is None else audit_ops.parse_window(a.as_of, a.as_of)[0]
@@ -44,8 +46,10 @@ def main(argv: list[str] | None = None) -> int:
     if not a.mart:
         ap.error("--mart is required for full and weekly")
     raw = bronze.read_sources(spark, a.landing)
-    job = refresh.refresh_full if a.mode == "full" else refresh.refresh_weekly
-    job(spark, a.mart, raw, as_of, null_safe=not a.plain_keys)
+    if a.mode == "full":
+        refresh.refresh_full(spark, a.mart, raw, as_of, null_safe=not a.plain_keys)
+    else:
+        refresh.refresh_weekly(spark, a.mart, raw, as_of, null_safe=not a.plain_keys, gold_scope=a.gold_scope)
     start, end = audit_ops.weekly_window(as_of)
     print(json.dumps({"mode": a.mode, "as_of": str(as_of), "window": [str(start), str(end)], "mart": a.mart}))
     return 0

@@ -70,7 +70,17 @@ def refresh_silver(store: TableStore, raw: RawSources, as_of: dt.date, null_safe
     return {"silver_orders_after": after_o, "silver_items_after": after_i}
 
 
-def refresh_gold(store: TableStore, null_safe: bool = True) -> None:
+def _in_dates(df: DataFrame, dates: list | None) -> DataFrame:
+    if dates is None:
+        return df
+    vals = [d for d in dates if d is not None]
+    cond = F.col("order_date").isin(vals) if vals else F.lit(False)
+    if None in dates:
+        cond = cond | F.col("order_date").isNull()
+    return df.where(cond)
+
+
+def refresh_gold(store: TableStore, null_safe: bool = True, dates: list | None = None) -> None:
     """M16-M20 recomputed from the stored silver tables and dims, then upserted.
 
     Gold is replaced key by key (delete + insert): every stored row whose key
@@ -79,9 +89,13 @@ def refresh_gold(store: TableStore, null_safe: bool = True) -> None:
     channel, day, NULL category) key by design (item and order rows with a
     NULL channel never pair, J15), so under null-safe keys the duplicate-key
     guard (U4) would reject every run.
+
+    ``dates`` limits the recomputation to those order dates (all when None).
+    Every gold key carries its order date (M16 / M17 through the order), so
+    rows of other dates cannot change as long as the dimensions do not.
     """
-    so = store.read(SILVER_ORDERS[0])
-    si = store.read(SILVER_ITEMS[0])
+    so = _in_dates(store.read(SILVER_ORDERS[0]), dates)
+    si = _in_dates(store.read(SILVER_ITEMS[0]), dates)
     dp = store.read("dim_products")
     channels, categories = store.read("dim_sales_channels"), store.read("dim_categories")
     bounded = _bounded(channels) and _bounded(categories)
@@ -112,15 +126,33 @@ def refresh_full(spark: SparkSession, root: str, raw: RawSources, as_of: dt.date
 
 
 def refresh_weekly(spark: SparkSession, root: str, raw: RawSources, as_of: dt.date,
-                   null_safe: bool = True) -> TableStore:
-    """Weekly tag set: orders and lines only; dims as they stand."""
+                   null_safe: bool = True, gold_scope: str = "all") -> TableStore:
+    """Weekly tag set: orders and lines only; dims as they stand.
+
+    ``gold_scope="touched"`` recomputes gold only for the order dates the
+    silver merge touched: the dates of the orders landed in the window plus the
+    earlier dates of those orders (an order can move).  Weekly runs leave the
+    dimensions alone, so other dates would be recomputed to the same rows;
+    ``"all"`` (default) recomputes everything, as the SQL models do.
+    """
     store = TableStore(spark, root)
     missing = [d for d in ("dim_sales_status", "dim_products", "dim_sales_channels", "dim_categories",
                            "silver_composites_products") if not store.exists(d)]
     if missing:
         raise RuntimeError(f"weekly refresh needs the dimension tables first: {missing}")
-    refresh_silver(store, raw, as_of, null_safe)
-    refresh_gold(store, null_safe)
+    bounds = refresh_silver(store, raw, as_of, null_safe)
+    dates = None
+    if gold_scope == "touched":
+        dates = store.last_touched.get(SILVER_ORDERS[0])
+        after = bounds["silver_items_after"]
+        if dates is not None and after is not None:
+            # plus the dates of lines merged this run (dates bounded by the calendar)
+            extra = [r[0] for r in store.read(SILVER_ITEMS[0]).where(F.col("order_date") > F.lit(after))
+                     .select("order_date").distinct().collect()]
+            dates = sorted(set(dates) | set(extra), key=lambda d: (d is None, d))
+        elif after is None:
+            dates = None
+    refresh_gold(store, null_safe, dates)
     return store
 
 

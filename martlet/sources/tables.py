@@ -26,6 +26,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.last_touched: dict[str, list | None] = {}  # partition values each upsert rewrote
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -59,10 +60,12 @@ class TableStore:
         """Incremental model: first run writes, later runs merge on ``keys``."""
         target = self.read(name)
         if target is None:
+            self.last_touched[name] = None  # everything is new
             return self.overwrite(name, df, partition_by)
         src = self.stage(df, f"{name}-src")
         if check:
             check_mergeable(target, src, keys, null_safe)
+        self.last_touched[name] = None
         if partition_by is None or set(src.columns) != set(target.columns):
             # whole-table rewrite; also when the columns changed (U3), so that
             # no partition keeps files of the old schema
@@ -73,6 +76,7 @@ class TableStore:
             w.parquet(self.path(name))
             return self.read(name)
         pm = PartitionedMerge.plan(target, src, keys, partition_by, null_safe)
+        self.last_touched[name] = list(pm.touched)
         rewritten = self.stage(pm.rewritten, f"{name}-merged")
         present = {r[0] for r in rewritten.select(partition_by).distinct().collect()}
         (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
