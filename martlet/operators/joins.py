@@ -22,8 +22,12 @@ def lookup_side(df: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(df) if bounded else df
 
 
+def within_rows(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Count at most ``max_rows + 1`` rows; broadcast only within the bound."""
-    n = df.limit(max_rows + 1).count()
-    ok = n <= max_rows
+    """Broadcast ``df`` only within the bound, else leave it to a shuffle join."""
+    ok = within_rows(df, max_rows)
     return (F.broadcast(df) if ok else df), ok

@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.operators.joins import LOOKUP_MAX_ROWS
+from martlet.operators.joins import within_rows
 from martlet.operators.upsert import incremental_bound
 from martlet.plans import gold, silver, staging
 from martlet.sources.fixtures import RawSources
@@ -36,7 +36,7 @@ DIMS = ["dim_categories", "dim_sales_channels", "dim_sales_status", "dim_product
 
 def _bounded(df: DataFrame) -> bool:
     """A lookup is broadcast only when the stored table has at most LOOKUP_MAX_ROWS rows."""
-    return df.limit(LOOKUP_MAX_ROWS + 1).count() <= LOOKUP_MAX_ROWS
+    return within_rows(df)
 
 
 def refresh_dims(store: TableStore, raw: RawSources) -> None:

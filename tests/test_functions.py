@@ -48,3 +48,11 @@ def test_ratio_and_cost_nulls_no_error_under_ansi(spark):
     df2 = spark.createDataFrame([(1, 2, None, 4), (1, 2, 3, 4)], "a int, b int, c int, d int")
     got = [r[0] for r in df2.select(order_cost(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
     assert got == [None, 10]
+
+
+def test_checked_broadcast_falls_back_beyond_bound(spark):
+    from martlet.operators.joins import checked_broadcast, within_rows
+    df = spark.range(10)
+    assert within_rows(df, 10) and not within_rows(df, 9)
+    _, ok = checked_broadcast(df, 9)
+    assert ok is False

@@ -22,7 +22,8 @@ AS_OF_WEEK = dt.date(2001, 8, 2)
 
 
 def _land(spark, root, sf_dir=SF001):
-    """Test helper: nest the fixture's lines back into order records and land them."""
+    """Test helper (sf0.001 only): nest the fixture's lines back into order records, as the
+    extraction lands them, and write them with header rows.  The library never nests lines."""
     orders = fixtures.raw_sales_orders(spark, sf_dir)
     lines = fixtures.raw_sales_items(spark, sf_dir)
     per_order = lines.groupBy(F.col("data.id").alias("_id")).agg(F.collect_list("item").alias("itens"))
