@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle SQL (the driver's gate), at sf0.001."""
 
-import os
 
 import duckdb
 import pytest

@@ -3,7 +3,6 @@ it back through the bronze layer, and check the mart equals the one built from
 the parquet fixture; then the refresh jobs on a table store."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F

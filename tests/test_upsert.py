@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from martlet.operators.upsert import (DuplicateKeyError, PartitionedMerge, check_mergeable, incremental_bound,
                                       merge_rows)
