@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martlet.llm.classifier import op1_quality_classifier
 from martlet.llm.quality_rules import op8_quality_rules
 from martlet.llm.secrets import op10_secrets
 from martlet.llm.sharding import op9_sharding
 
 _QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_secrets": op10_secrets,
