@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm.bpe import op6_byte_bpe
 from martlet.llm.classifier import op1_quality_classifier
+from martlet.llm.packing import op7_packing
 from martlet.llm.quality_rules import op8_quality_rules
 from martlet.llm.secrets import op10_secrets
 from martlet.llm.sharding import op9_sharding
@@ -15,6 +16,7 @@ from martlet.llm.sharding import op9_sharding
 _QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_secrets": op10_secrets,
