@@ -128,11 +128,11 @@ def certified_cutoffs(good: DataFrame, stratum: str = "lang", alpha: float = 0.0
     # one row per stratum first: partial sums meet before the shuffle
     counted = good.select(F.col(stratum).alias("stratum"), F.explode(tests).alias("t")).groupBy(
         "stratum", "t.rule", "t.cutoff").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("t.rejected").cast("int")).alias("k"))
-    strata = good.select(F.count_distinct(F.coalesce(F.concat(F.lit("="), F.col(stratum)), F.lit(""))).alias("n_strata"))
+    n_strata = counted.select("stratum").distinct().count()
     per_rule = alpha / len(RULES)
     n_tests = sum(len(grid) for _, grid in RULES.values())
-    p = counted.crossJoin(F.broadcast(strata)).withColumn("p", binomial_at_most(F.col("n"), F.col("k"), per_rule))
-    return (p.filter(F.col("p") <= delta / (n_tests * F.col("n_strata")))
+    p = counted.withColumn("p", binomial_at_most(F.col("n"), F.col("k"), per_rule))
+    return (p.filter(F.col("p") <= delta / (n_tests * max(n_strata, 1)))
             .groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff")))
 
 
