@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm.bpe import op6_byte_bpe
 from martlet.llm.classifier import op1_quality_classifier
+from martlet.llm.near_documents import op4_near_documents
 from martlet.llm.near_vectors import op2_near_vectors
 from martlet.llm.packing import op7_packing
 from martlet.llm.quality_rules import op8_quality_rules
@@ -17,6 +18,7 @@ from martlet.llm.sharding import op9_sharding
 _QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_near_vectors": op2_near_vectors,
+    "op4_near_documents": op4_near_documents,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
