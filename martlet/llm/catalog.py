@@ -15,10 +15,12 @@ from martlet.llm.quality_rules import op8_quality_rules
 from martlet.llm.secrets import op10_secrets
 from martlet.llm.sharding import op9_sharding
 from martlet.llm.substring_dedup import op5_substring_dedup
+from martlet.llm.suffix_dedup import op3_suffix_dedup
 
 _QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_near_vectors": op2_near_vectors,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_near_documents": op4_near_documents,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
