@@ -180,6 +180,22 @@ def score(known: DataFrame, model: Model) -> DataFrame:
     return known.mapInArrow(scored, f"doc_id {kind}, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score reaches the threshold, all columns, fitted on the labels given.
+
+    Every row is judged by its own text in the task that reads it.
+    """
+    model = fit(document_vectors(docs), labels)
+    at = docs.columns.index("text")
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            scores = [model.scores(vectors(data, offsets)) for _, data, offsets in chunks(b.column(at))]
+            yield b.filter(pa.array(np.concatenate(scores) >= threshold) if scores else pa.array([], pa.bool_()))
+
+    return docs.mapInArrow(good, docs.schema)
+
+
 def held_out(key: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 

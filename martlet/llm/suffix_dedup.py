@@ -81,14 +81,21 @@ def remove_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         _without, "id long, n_removed long, n_spans long, kept binary")
 
 
+def _as_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id and kept bytes in; id and text out, without the bytes of characters cut in part."""
+    for b in batches:
+        kept = [x.as_py().decode("utf-8", "ignore") for x in b.column(1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string())], ["_id", "_kept"])
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with their repeated bytes removed, all columns; n_chars follows.
 
-    A character cut in part leaves bytes that are no text: they are replaced as Spark
-    decodes them.  A text that occurs twice as a whole becomes empty if it has 200 bytes.
+    What is left of a character cut in part goes too.  A text that occurs twice as a whole
+    becomes empty if it has 200 bytes.
     """
     scanned, cut = remove_repeats(docs)
-    changed = (cut.select(F.col("id").alias("_id"), F.decode("kept", "UTF-8").alias("_kept"))
+    changed = (cut.select("id", "kept").mapInArrow(_as_text, "_id long, _kept string")
                .unionByName(scanned.filter("full").select(F.col("id").alias("_id"), F.lit("").alias("_kept")))
                .groupBy("_id").agg(F.min("_kept").alias("_kept")))
     out = docs.withColumn("_row", row_id()).join(changed, F.col("_row") == F.col("_id"), "left")
