@@ -1,0 +1,313 @@
+"""Operators whose result is fixed, against brute force over the same rows."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from conftest import corpus
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sha(b):
+    return hashlib.sha256(b).hexdigest()
+
+
+def register(spark, docs, tmp, labels=None):
+    path = f"{tmp}/{hash(docs) & 0xFFFFFF}"
+    docs.write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    if labels is not None:
+        labels.write.mode("overwrite").parquet(f"{path}/labels.parquet")
+    return path
+
+
+def counted(rows):
+    return collections.Counter(tuple(r) for r in rows)
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_suffix_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
+    from martlet.llm import repeats, suffix_dedup
+
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", hot))
+    rows = [(r[0], (r[1] or "").encode()) for r in corpus()]
+    seen = collections.Counter(x[i:i + 200] for _, x in rows for i in range(len(x) - 199))
+    want = []
+    for k, x in rows:
+        gone = bytearray(len(x))
+        for i in range(len(x) - 199):
+            if seen[x[i:i + 200]] > 1:
+                gone[i:i + 200] = b"\1" * 200
+        runs = len([z for z in bytes(gone).split(b"\0") if z])
+        want.append((k, len(x), sum(gone), runs, sha(bytes(c for c, g in zip(x, gone) if not g))))
+    monkeypatch.setattr(suffix_dedup, "read_table", lambda *a: docs)
+    got = suffix_dedup.op3_suffix_dedup(spark, "").collect()
+    assert counted(got) == counted(want)
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_substring_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
+    from martlet.llm import repeats, substring_dedup
+
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", hot))
+    last = 1 << 62  # rows without an id come last; equal texts among them share an id
+    rows = [(r[0], WORD.findall(r[1] or ""), last + zlib.crc32((r[1] or "").encode()) if r[0] is None else r[0])
+            for r in corpus()]
+    first = {}
+    for _, w, order in rows:
+        for i in range(len(w) - 49):
+            k = tuple(w[i:i + 50])
+            first[k] = min(order, first.get(k, order))
+    want = []
+    for k, w, order in rows:
+        gone = [False] * len(w)
+        for i in range(len(w) - 49):
+            if first[tuple(w[i:i + 50])] < order:
+                gone[i:i + 50] = [True] * 50
+        want.append((k, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g).encode())))
+    monkeypatch.setattr(substring_dedup, "read_table", lambda *a: docs)
+    got = substring_dedup.op5_substring_dedup(spark, "").collect()
+    assert counted(got) == counted(want)
+
+
+def test_byte_bpe_matches_the_library(spark, docs, monkeypatch):
+    import public_tokenizers as P
+    import tiktoken
+
+    from martlet.llm import bpe
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    ranks = bpe.vocabulary(path, P.PATTERN).ranks
+    lib = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for k, text, *_ in corpus():
+        ids = lib.encode_ordinary(text or "")
+        want.append((k, len(ids), sha(" ".join(map(str, ids)).encode()), sha((text or "").encode())))
+    monkeypatch.setattr(bpe, "read_table", lambda *a: docs)
+    assert counted(bpe.op6_byte_bpe(spark, "").collect()) == counted(want)
+    back = bpe.decode_documents(bpe.encode_documents(docs, path, P.PATTERN), path, P.PATTERN).collect()
+    assert counted((r[0], bytes(r[1])) for r in back) == counted((r[0], (r[1] or "").encode()) for r in corpus())
+
+
+def test_bpe_forgets_without_changing_results(monkeypatch):
+    import public_tokenizers as P
+
+    from martlet.llm import bpe
+
+    coder = bpe.ByteBpe(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    texts = [r[1] or "" for r in corpus()]
+    whole = coder.encode_texts(texts)
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "WIDEST", 8)
+    coder.known.clear()
+    assert [coder.encode_texts([t])[0] for t in texts] == whole
+
+
+def test_packing_holds_every_id_once(spark, docs, monkeypatch):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from martlet.llm import packing
+
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(packing, "read_table", lambda *a: docs)
+    got = packing.op7_packing(spark, "").collect()
+    pieces = collections.defaultdict(list)
+    for r in got:
+        pieces[r.sequence_id].append(r)
+    for held in pieces.values():
+        at = 0
+        for r in sorted(held, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048
+    assert sum(sum(r.length for r in held) < 2048 for held in pieces.values()) <= 2
+    want = collections.Counter()
+    for k, text, *_ in corpus():
+        ids = [*lib.encode(text or "", add_special_tokens=False).ids, 1]
+        for at in range(0, len(ids), 2048):
+            piece = np.array(ids[at:at + 2048], "<u4")
+            want[k, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    assert collections.Counter(tuple(r)[:5] for r in got) == want
+
+
+def test_closest_multiset_is_the_best_fill():
+    import itertools
+    import random
+
+    from martlet.llm.packing import closest_multiset, pack_lengths
+
+    rng = random.Random(5)
+    for _ in range(200):
+        items = [rng.randrange(1, 30) for _ in range(rng.randrange(1, 9))]
+        counts = dict(collections.Counter(items))
+        order = sorted(counts, reverse=True)
+        taken = closest_multiset(counts, order, 40)
+        assert all(taken[k] <= counts[k] for k in taken) and taken[order[0]] >= 1
+        rest = list(items)
+        rest.remove(order[0])
+        best = max(order[0] + sum(c) for n in range(len(rest) + 1) for c in itertools.combinations(rest, n)
+                   if order[0] + sum(c) <= 40)
+        assert sum(k * c for k, c in taken.items()) == best
+    lengths = np.array([rng.randrange(1, 2048) for _ in range(3000)])
+    window, place = pack_lengths(lengths)
+    sums = np.bincount(window, weights=lengths)
+    assert sums.max() <= 2048 and len(sums) <= lengths.sum() / 2048 * 1.01 + 1
+    for w in range(5):
+        at = np.flatnonzero(window == w)
+        at = at[np.argsort(place[at])]
+        assert (place[at] == np.concatenate(([0], np.cumsum(lengths[at])[:-1]))).all()
+
+
+def brute_statistics(text):
+    w = WORD.findall(text or "")
+    c = collections.Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    covered = {j for i in range(len(w) - 7) if c[tuple(w[i:i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum((text or "").count(s) for s in "#*$%&|<>"), len(lines) - len(set(lines)),
+            len(covered))
+
+
+def test_quality_statistics_match_brute_force(docs):
+    from martlet.llm.quality_rules import base_failed, text_statistics
+
+    out = text_statistics(docs).withColumn("failed", base_failed()).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed")
+    want = []
+    for k, text, *_ in corpus():
+        s = brute_statistics(text)
+        want.append((k, *s, s[0] < 20 or 100 * s[4] > 30 * s[0]))
+    assert counted(out.collect()) == counted(want)
+
+
+def test_binomial_bound_is_exact(spark):
+    from fractions import Fraction
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    from martlet.llm.quality_rules import binomial_at_most
+
+    cases = [(n, k) for n in (1, 5, 60, 700) for k in (0, 1, 3, 6) if k <= n]
+    df = spark.createDataFrame(cases, "n long, k long").select("n", "k", binomial_at_most(F.col("n"), F.col("k"), 0.01))
+    p = Fraction(1, 100)
+    for n, k, got in df.collect():
+        want = 1.0 if k >= n * 0.01 else float(sum(comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(k + 1)))
+        assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_certified_cutoffs_follow_the_definition(spark):
+    from math import comb
+
+    from martlet.llm.quality_rules import RULES, certified_cutoffs
+
+    rows = [("en" if i % 3 else None, 100, 500, (i % 200) // 60 * 10, 0, 0, 20) for i in range(3000)]
+    good = spark.createDataFrame(
+        rows, "lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long")
+    got = {(r.stratum, r.rule): r.cutoff for r in certified_cutoffs(good).collect()}
+    alpha, tests = 0.05 / len(RULES), sum(len(g) for _, g in RULES.values()) * 2
+    for lang in ("en", None):
+        mine = [r for r in rows if r[0] == lang]
+        n, best = len(mine), None
+        for c in RULES["symbols"][1]:
+            k = sum(r[3] / r[2] > c for r in mine)
+            p = sum(comb(n, i) * alpha ** i * (1 - alpha) ** (n - i) for i in range(k + 1)) if k < n * alpha else 1
+            if p <= 0.05 / tests and (best is None or c < best):
+                best = c
+        assert got.get((lang, "symbols")) == best
+    assert got["en", "repeats"] == RULES["repeats"][1][0]
+
+
+def test_rules_on_edge_rows(spark, docs, no_docs):
+    from martlet.llm.quality_rules import apply_rules
+
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    out = apply_rules(docs, labels).select("doc_id", "base_failed", "kept").collect()
+    assert len(out) == len(corpus())
+    assert all(not r.kept for r in out if r.base_failed)
+    assert apply_rules(no_docs, labels).count() == 0
+    assert apply_rules(docs, labels.limit(0)).count() == len(corpus())
+
+
+def test_sharding_law(spark, docs, no_docs):
+    from martlet.llm.sharding import shard_documents
+
+    out = shard_documents(docs, [1.0] * 7).collect()
+    want = collections.Counter((k, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for k, t, *_ in corpus())
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
+    slots = collections.defaultdict(list)
+    for r in out:
+        slots[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 7)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    grown = {r.doc_id: r.shard for r in shard_documents(docs, [1.0] * 8).collect()}
+    assert all(grown[r.doc_id] == r.grown_shard for r in out)
+    assert shard_documents(no_docs, [1.0] * 7).count() == 0
+
+
+def test_sharding_follows_weights(spark):
+    from pyspark.sql import functions as F
+
+    from martlet.llm.sharding import rendezvous
+
+    n = spark.range(20000).groupBy(rendezvous(F.col("id").cast("string"), [1.0, 0.0, 3.0]).alias("s")).count()
+    got = {r.s: r["count"] for r in n.collect()}
+    assert set(got) == {0, 2} and 0.23 < got[0] / 20000 < 0.27
+    with pytest.raises(ValueError):
+        rendezvous(F.lit("x"), [0.0])
+
+
+ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A)
+
+
+def test_secret_base_matches_brute_force(spark, docs, monkeypatch):
+    from martlet.llm import secrets
+
+    monkeypatch.setattr(secrets, "read_table", lambda *a: docs)
+    got = secrets.op10_secrets(spark, "").collect()
+    want = []
+    for k, t, *_ in corpus():
+        t = t or ""
+        a = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        b = [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        c = [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        base = ",".join(f"{n}:{x}:{y}" for x, _, y, n in sorted(a + b + c))
+        want.append((k, len(a), len(b), len(c), sha(base.encode())))
+    assert counted(tuple(r)[:5] for r in got) == counted(want)
+    spans = {r.doc_id: r.spans for r in got}
+    assert spans[409] == "identifier:0:11,weak_secret:12:25,endpoint:26:48"
+    assert spans[410] == "" and spans[408].startswith("assign:0:")
+
+
+def test_secret_reach_is_a_limit(spark):
+    from martlet.llm.secrets import scan_secrets
+
+    rows = [(i, "password=abcd " + "x" * gap + " user_id=bob") for i, gap in enumerate((10, 184, 185, 186, 400))]
+    got = {r.doc_id: len(r.spans) for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert got[i] == (2 if text.index("user_id") <= 200 else 0)
+
+
+def test_redaction_masks_every_span(spark, docs):
+    from martlet.llm.secrets import redact_secrets, scan_secrets
+
+    out = redact_secrets(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert scan_secrets(out).filter("size(spans) > 0").count() == 0
+    text = {r.doc_id: r.text for r in out.collect()}
+    assert text[409] == "[REDACTED] [REDACTED] [REDACTED]" and text[410] == "password=abcd alone"
+
+
+@pytest.mark.parametrize("module, query", [
+    ("suffix_dedup", "op3_suffix_dedup"), ("substring_dedup", "op5_substring_dedup"), ("bpe", "op6_byte_bpe"),
+    ("packing", "op7_packing"), ("secrets", "op10_secrets"), ("near_documents", "op4_near_documents")])
+def test_empty_table(spark, no_docs, monkeypatch, module, query):
+    import importlib
+
+    m = importlib.import_module(f"martlet.llm.{module}")
+    monkeypatch.setattr(m, "read_table", lambda *a: no_docs)
+    assert getattr(m, query)(spark, "").count() == 0
