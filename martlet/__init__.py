@@ -5,9 +5,9 @@ Layout
 sources/    raw read schemas, NDJSON landing and bronze split, driver-table fixtures
 functions/  column expressions (safe casts, merge key, order measures)
 operators/  reusable DataFrame operators (latest-row de-dup, keyed upsert,
-            size-checked lookup joins, extraction audit, distributed running share)
+            extraction audit, distributed running sum)
 plans/      the model jobs (staging, silver, gold, analyses) and the refresh jobs
-streaming/  incremental landing with a file-source stream + foreachBatch upsert
+streaming/  incremental landing with a file-source stream + foreachBatch
 """
 
 __version__ = "0.1.0"

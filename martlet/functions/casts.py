@@ -13,6 +13,12 @@ NUMERIC = "decimal(38,9)"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
+def safe_id(col: Column | str) -> Column:
+    """An id: whole number or its text to BIGINT; anything else gives NULL."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.try_cast("bigint")
+
+
 def safe_numeric(col: Column | str) -> Column:
     """SAFE_CAST(x AS NUMERIC): text or number to DECIMAL(38,9); bad text gives NULL."""
     c = F.col(col) if isinstance(col, str) else col

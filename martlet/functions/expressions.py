@@ -38,9 +38,30 @@ def not_cancelled(status_name: Column) -> Column:
     return status_name != F.lit(CANCELLED_STATUS)
 
 
+def units_times(amount: Column, units: Column) -> Column:
+    """amount * units with all nine decimals: (24, 9) * (13, 0) fits DECIMAL(38, 9)."""
+    return amount.cast("decimal(24,9)") * units.cast("decimal(13,0)")
+
+
+def money_plus(*terms: Column) -> Column:
+    """Sum of amounts with all nine decimals; any NULL term gives NULL.
+
+    A sum is one digit wider than its terms, so up to four terms of (35, 9) fit.
+    """
+    total = terms[0].cast("decimal(35,9)")
+    for t in terms[1:]:
+        total = total + t.cast("decimal(35,9)")
+    return total
+
+
+def money_minus(a: Column, b: Column) -> Column:
+    """a - b with all nine decimals."""
+    return a.cast("decimal(37,9)") - b.cast("decimal(37,9)")
+
+
 def order_cost(shipping: Column, discount: Column, commission: Column, product_cost: Column) -> Column:
     """Freight + discount + commission + product cost; any NULL term gives NULL."""
-    return shipping + discount + commission + product_cost
+    return money_plus(shipping, discount, commission, product_cost)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -3,7 +3,7 @@
 ``merge_rows`` is the row-level result of ``MERGE INTO target USING source ON
 keys WHEN MATCHED THEN UPDATE * WHEN NOT MATCHED THEN INSERT *``: target rows
 whose key has no match in the source, plus every source row.  Nothing is
-deleted.  The columns are the source's (column sync: new columns appear, NULL
+deleted unless asked for.  The columns are the source's (column sync: new columns appear, NULL
 on old rows; dropped columns disappear).
 
 ``null_safe=False`` compares keys with ``=`` (the warehouse default): a row
@@ -38,10 +38,17 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bo
     return cond
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """U1 + U3: the merged rows, with the source's columns."""
+def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True,
+               deletes: DataFrame | None = None) -> DataFrame:
+    """U1 + U3: the merged rows, with the source's columns.
+
+    ``deletes`` (its columns are some of the target's) names target rows that leave, such
+    as the lines of orders cancelled since.
+    """
     src_keys = source.select(*keys)
     kept = target.join(src_keys, _match(target, src_keys, keys, null_safe), "left_anti")
+    if deletes is not None:
+        kept = kept.join(deletes, list(deletes.columns), "left_anti")
     return kept.unionByName(source, allowMissingColumns=True).select(*source.columns)
 
 
@@ -84,19 +91,19 @@ class PartitionedMerge:
     """
     touched: list
     rewritten: DataFrame          # new content of the touched partitions
-    emptied: list                 # touched partitions left without rows
 
     @staticmethod
     def plan(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
-             null_safe: bool = True) -> "PartitionedMerge":
+             null_safe: bool = True, deletes: DataFrame | None = None) -> "PartitionedMerge":
         src_keys = source.select(*keys)
-        moved = (target.select(*keys, partition_col)
-                 .join(src_keys, _match(target, src_keys, keys, null_safe), "left_semi")
-                 .select(partition_col))
-        touched_df = source.select(partition_col).union(moved).distinct()
-        touched = [r[0] for r in touched_df.collect()]
-        pm = PartitionedMerge(touched, None, [])
-        pm.rewritten = merge_rows(target.where(pm.in_touched(partition_col)), source, keys, null_safe)
+        held = target.select(*keys, partition_col)
+        touched_df = source.select(partition_col).union(
+            held.join(src_keys, _match(held, src_keys, keys, null_safe), "left_semi").select(partition_col))
+        if deletes is not None:
+            touched_df = touched_df.union(held.join(deletes, list(deletes.columns), "left_semi").select(partition_col))
+        touched = [r[0] for r in touched_df.distinct().collect()]
+        pm = PartitionedMerge(touched, None)
+        pm.rewritten = merge_rows(target.where(pm.in_touched(partition_col)), source, keys, null_safe, deletes)
         return pm
 
     def in_touched(self, partition_col: str) -> Column:

@@ -30,7 +30,8 @@ def abc_curve(item_details: DataFrame, a_percent: int = ABC_A_PERCENT, b_percent
     """
     rev = (item_details.where(F.col("product_id") != 0)
            .groupBy("product_id").agg(F.sum("gross_revenue").alias("gross_revenue")))
-    order = [F.col("gross_revenue").desc_nulls_last(), F.col("product_id").asc()]
+    least = F.lit(0).cast("decimal(38,9)")
+    order = [F.col("gross_revenue").isNull(), -F.coalesce(F.col("gross_revenue"), least), F.col("product_id")]
     j = running_sum(rev, "gross_revenue", order, out="cumulative_revenue", ranges=ranges, total_out="_total")
     c, t = F.col("cumulative_revenue"), F.col("_total")
     cls = (F.when(c * 100 <= t * a_percent, F.lit("A"))

@@ -3,21 +3,19 @@ component performance.
 
 Scale notes
 -----------
-* Lines are joined to orders on ``order_id`` only where an order attribute is
-  needed (date in M16, channel in M18).  The line side keeps the hash
-  partitioning on ``order_id`` it got upstream, so those joins re-shuffle at
-  most the order side.
+* Lines meet orders on ``order_id`` once, in M16, which stores the order's date and
+  channel id with the line; M18 needs no second join.
 * Where the result is grouped by product (M18-M20), lines are first
   aggregated per product (and day / channel), partially on the map side, and
   only the aggregated rows meet the product dimension and the kit bridge.  A
   best-selling product is therefore one row per day and map task before any
   shuffle, whatever its share of the lines.  The sums are exact decimals, so
   ``SUM(cost * q) = cost * SUM(q)`` per product holds to the last digit.
+* Lookup joins carry no hint: Spark's size estimates and adaptive execution choose.
 * ``dates_from_orders=False`` (default) takes a line's order date from the
   line table itself: M16 stores exactly M15's date of the order, the same
-  value M17 carries, so joining M17 back only to read it again (as the SQL
-  models do) is a shuffle of all lines for nothing.  ``True`` performs that
-  join; tests check both give the same rows.
+  value M17 carries, so joining M17 back only to read it again is a shuffle of all
+  lines for nothing.  ``True`` performs that join; tests check both give the same rows.
 """
 
 from __future__ import annotations
@@ -26,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.casts import NUMERIC
-from martlet.functions.expressions import matchable_product_id, order_cost, ratio
-from martlet.operators.joins import lookup_side
+from martlet.functions.expressions import matchable_product_id, money_minus, order_cost, ratio, units_times
 
 ITEM_DETAIL_COLUMNS = ["order_id", "order_date", "product_id", "product_name", "product_id_for_merge",
                        "quantity", "order_unit_price", "order_product_cost", "gross_revenue", "gross_profit"]
+# M16 as stored also has sale_channel_id
 FACT_ORDER_COLUMNS = ["order_id", "order_date", "client_id", "sale_channel_name", "order_shipping_cost",
                       "order_discount_value", "order_commission_fee", "total_order_value",
                       "total_order_product_cost", "total_order_cost", "total_order_profit", "total_order_margin"]
@@ -50,25 +48,25 @@ def fact_item_details(silver_items: DataFrame, silver_orders: DataFrame, product
     """One row per silver line with cost, revenue and profit at the current product cost.
 
     The product join is on the integer id (so a product 0, if one existed, would match).
+    ``sale_channel_id`` of the order comes along for M18.
     """
-    od = silver_orders.select("order_id", F.col("order_date").alias("_od_date"))
+    od = silver_orders.select("order_id", F.col("order_date").alias("_od_date"), "sale_channel_id")
     p = products.select("product_id", "product_name", "cost_price")
     oi = silver_items.select("order_id", "product_id", "product_id_for_merge", "quantity", "order_unit_price")
-    # the line side arrives partitioned on order_id: join orders first, then products
     j = oi.join(od, "order_id", "left").join(p, "product_id", "left")
     q, price, cost = F.col("quantity"), F.col("order_unit_price"), F.col("cost_price")
     return j.select(
         "order_id",
         F.col("_od_date").alias("order_date"),
         "product_id", "product_name", "product_id_for_merge", "quantity", "order_unit_price",
-        _num(cost * q).alias("order_product_cost"),
-        _num(price * q).alias("gross_revenue"),
-        _num((price - cost) * q).alias("gross_profit"),
+        _num(units_times(cost, q)).alias("order_product_cost"),
+        _num(units_times(price, q)).alias("gross_revenue"),
+        _num(units_times(money_minus(price, cost), q)).alias("gross_profit"),
+        "sale_channel_id",
     )
 
 
-def fact_orders(silver_orders: DataFrame, item_details: DataFrame, channels: DataFrame,
-                lookups_bounded: bool = True) -> DataFrame:
+def fact_orders(silver_orders: DataFrame, item_details: DataFrame, channels: DataFrame) -> DataFrame:
     """Order costs, profit and margin.
 
     Lines are summed per order first (partial aggregation, then one row per
@@ -78,8 +76,7 @@ def fact_orders(silver_orders: DataFrame, item_details: DataFrame, channels: Dat
     """
     per_order = (item_details.groupBy("order_id")
                  .agg(F.sum("order_product_cost").alias("total_order_product_cost")))
-    ch = lookup_side(channels.select(F.col("channel_id").alias("sale_channel_id"),
-                                     F.col("channel_name").alias("sale_channel_name")), lookups_bounded)
+    ch = channels.select(F.col("channel_id").alias("sale_channel_id"), F.col("channel_name").alias("sale_channel_name"))
     j = silver_orders.join(per_order, "order_id", "left").join(ch, "sale_channel_id", "left")
     ship, disc, comm = F.col("order_shipping_cost"), F.col("order_discount_value"), F.col("order_commission_fee")
     value, pcost = F.col("total_order_value"), F.col("total_order_product_cost")
@@ -89,16 +86,14 @@ def fact_orders(silver_orders: DataFrame, item_details: DataFrame, channels: Dat
         "order_shipping_cost", "order_discount_value", "order_commission_fee", "total_order_value",
         _num(pcost).alias("total_order_product_cost"),
         _num(cost).alias("total_order_cost"),
-        _num(value - cost).alias("total_order_profit"),
-        ratio(value - cost, value).alias("total_order_margin"),
+        _num(money_minus(value, cost)).alias("total_order_profit"),
+        ratio(money_minus(value, cost), value).alias("total_order_margin"),
     )
 
 
-def _product_attrs(products: DataFrame, categories: DataFrame | None, lookups_bounded: bool) -> DataFrame:
+def _product_attrs(products: DataFrame, categories: DataFrame) -> DataFrame:
     p = products.select(F.col("product_id").alias("_pk"), "product_name", "is_kit", "category_id", "cost_price")
-    if categories is None:
-        return p
-    c = lookup_side(categories.select("category_id", "category_name"), lookups_bounded)
+    c = categories.select("category_id", "category_name")
     return p.join(c, "category_id", "left")
 
 
@@ -111,54 +106,39 @@ def _line_dates(item_details: DataFrame, orders: DataFrame, dates_from_orders: b
 
 
 def fact_channel_performance(item_details: DataFrame, orders: DataFrame, products: DataFrame,
-                             categories: DataFrame, lookups_bounded: bool = True) -> DataFrame:
+                             categories: DataFrame, channels: DataFrame) -> DataFrame:
     """Units by (channel, day, category) next to order totals by (channel, day).
 
     Order totals repeat on every category row of their (channel, day); rows
     with a NULL channel or day never pair, so they appear once from each side.
     An unknown product has NULL ``is_kit`` and counts in the total only.
     """
-    fo = orders.select("order_id", "sale_channel_name", "order_date")
-    lines = item_details.select("order_id", "product_id", "quantity").join(fo, "order_id", "left")
-    # pre-aggregate per (channel, day, product) before meeting the product dim
-    per_product = (lines.groupBy("sale_channel_name", "order_date",
+    named = channels.select(F.col("channel_id").alias("sale_channel_id"),
+                            F.col("channel_name").alias("sale_channel_name"))
+    # one row per (channel, day, product) before any dimension
+    sold = (item_details.groupBy("sale_channel_id", "order_date",
                                  matchable_product_id(F.col("product_id")).alias("_pk"))
-                   .agg(F.sum("quantity").alias("_q")))
-    pa = _product_attrs(products, categories, lookups_bounded)
-    j = per_product.join(pa, "_pk", "left")
+            .agg(F.sum("quantity").alias("_q")).join(named, "sale_channel_id", "left")
+            .join(_product_attrs(products, categories), "_pk", "left"))
     q = F.col("_q")
-    item_metrics = (j.groupBy("sale_channel_name", "order_date", "category_name").agg(
+    units = (sold.groupBy("sale_channel_name", "order_date", "category_name").agg(
         F.sum(q).alias("total_quantity_sold"),
         F.sum(F.when(F.col("is_kit"), q).otherwise(F.lit(0))).alias("kit_quantity_sold"),
         F.sum(F.when(~F.col("is_kit"), q).otherwise(F.lit(0))).alias("individual_product_quantity_sold")))
     # fact_orders is one row per order_id, so counting ids is COUNT(DISTINCT order_id)
-    order_metrics = (orders.groupBy("sale_channel_name", "order_date").agg(
+    totals = (orders.groupBy(F.col("sale_channel_name").alias("_channel"), F.col("order_date").alias("_day")).agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("total_order_value").alias("total_revenue"),
-        F.sum("order_shipping_cost").alias("total_shipping_cost"),
-        F.sum("order_discount_value").alias("total_discount_value"),
-        F.sum("total_order_profit").alias("total_profit")))
-    im = item_metrics.alias("im")
-    om = order_metrics.alias("om")
-    j = im.join(om, (F.col("im.sale_channel_name") == F.col("om.sale_channel_name"))
-                & (F.col("im.order_date") == F.col("om.order_date")), "full_outer")
-    return j.select(
-        F.coalesce(F.col("im.sale_channel_name"), F.col("om.sale_channel_name")).alias("sale_channel_name"),
-        F.coalesce(F.col("im.order_date"), F.col("om.order_date")).alias("order_date"),
-        F.col("im.category_name"),
-        F.col("om.total_orders"),
-        _num(F.col("om.total_revenue")).alias("total_revenue"),
-        _num(F.col("om.total_shipping_cost")).alias("total_shipping_cost"),
-        _num(F.col("om.total_discount_value")).alias("total_discount_value"),
-        _num(F.col("om.total_profit")).alias("total_profit"),
-        F.col("im.total_quantity_sold"),
-        F.col("im.kit_quantity_sold"),
-        F.col("im.individual_product_quantity_sold"),
-    )
+        *[_num(F.sum(c)).alias(name) for c, name in (
+            ("total_order_value", "total_revenue"), ("order_shipping_cost", "total_shipping_cost"),
+            ("order_discount_value", "total_discount_value"), ("total_order_profit", "total_profit"))]))
+    both = units.join(totals, (F.col("sale_channel_name") == F.col("_channel")) & (F.col("order_date") == F.col("_day")),
+                      "full_outer")
+    return (both.withColumn("sale_channel_name", F.coalesce("sale_channel_name", "_channel"))
+            .withColumn("order_date", F.coalesce("order_date", "_day")).select(*CHANNEL_PERF_COLUMNS))
 
 
 def fact_product_performance(item_details: DataFrame, orders: DataFrame, products: DataFrame,
-                             categories: DataFrame, lookups_bounded: bool = True,
+                             categories: DataFrame,
                              dates_from_orders: bool = False) -> DataFrame:
     """Revenue, cost at today's cost price, profit and units per product and day.
 
@@ -170,17 +150,17 @@ def fact_product_performance(item_details: DataFrame, orders: DataFrame, product
     lines = _line_dates(item_details, orders, dates_from_orders)
     price, q = F.col("order_unit_price"), F.col("quantity")
     per_day = (lines.groupBy("product_id", "product_id_for_merge", "order_date").agg(
-        F.sum(price * q).alias("_rev"),
+        F.sum(units_times(price, q)).alias("_rev"),
         F.sum(q).alias("_q"),
         F.sum(F.when(price.isNotNull(), q)).alias("_priced_q")))
     per_day = per_day.withColumn("_pk", matchable_product_id(F.col("product_id")))
-    pa = _product_attrs(products, categories, lookups_bounded)
+    pa = _product_attrs(products, categories)
     j = per_day.join(pa, "_pk", "left")
     cost = F.col("cost_price")
     agg = j.groupBy("product_id", "product_name", "product_id_for_merge", "order_date", "category_name").agg(
         F.sum("_rev").alias("gross_revenue"),
-        F.sum(cost * F.col("_q")).alias("total_cost"),
-        F.sum(F.col("_rev") - cost * F.col("_priced_q")).alias("gross_profit"),
+        F.sum(units_times(cost, F.col("_q"))).alias("total_cost"),
+        F.sum(money_minus(F.col("_rev"), units_times(cost, F.col("_priced_q")))).alias("gross_profit"),
         F.sum("_q").alias("total_quantity"))
     return agg.select(
         "product_id", "product_name", "product_id_for_merge", "order_date",

@@ -1,83 +1,42 @@
 """One lazy build of the whole mart from landed inputs.
 
 Every attribute is a DataFrame whose plan reaches back to the landed inputs;
-nothing runs until an action.  The refresh jobs (``plans.refresh``)
-materialize the same models layer by layer instead.
+nothing runs until an action and nothing is written.  The refresh jobs
+(``plans.refresh``) materialize the same models layer by layer instead.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-import hashlib
-import threading
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from martlet.plans import gold, silver, staging
-from martlet.session import app_id, ensure_checkpoint_dir
 from martlet.sources.fixtures import RawSources
 
 
-_WRITTEN: dict[tuple[str, str], tuple[str, object]] = {}
-_LOCK = threading.RLock()
-
-
 class Mart:
-    """The mart's models as DataFrames.
-
-    With ``store_key`` set, every layer several models read (lookups, product
-    dim, kit bridge, silver orders and lines, gold lines and orders) is written
-    once as Parquet under the session's checkpoint folder and read back, the
-    way the warehouse keeps silver and gold as tables; later models (and
-    later queries in the same session over the same inputs) read that copy.
-    Without it everything stays one lazy plan, and a layer read by two
-    consumers is computed twice (their column pruning differs, so no exchange
-    is reused).
-    """
+    """The mart's models as DataFrames over the raw inputs."""
 
-    def __init__(self, raw: RawSources, lookups_bounded: bool = True,
-                 after: dt.date | None = None, dates_from_orders: bool = False,
-                 store_key: str | None = None, spark: SparkSession | None = None):
+    def __init__(self, raw: RawSources, after: dt.date | None = None, dates_from_orders: bool = False):
         self.raw = raw
-        self.spark = spark
-        self.lookups_bounded = lookups_bounded
         self.after = after
         self.dates_from_orders = dates_from_orders
-        self.store_key = store_key
-
-    def _shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """``build()``, or the copy of it written earlier in this session."""
-        if self.store_key is None:
-            return build()
-        spark = self.spark or SparkSession.getActiveSession()
-        app = app_id(spark)
-        key = f"{self.store_key}|{self.lookups_bounded}|{self.after}|{name}"
-        with _LOCK:  # one writer per layer, also when queries run from several threads
-            hit = _WRITTEN.get((app, key))
-            if hit is None:
-                df = build()
-                digest = hashlib.sha1(key.encode()).hexdigest()[:16]
-                root = ensure_checkpoint_dir(spark).rstrip("/")
-                path = f"{root}/martlet-mart-{app}/{name}-{digest}"
-                df.write.mode("overwrite").parquet(path)
-                hit = _WRITTEN[(app, key)] = (path, df.schema)
-        path, schema = hit
-        return spark.read.schema(schema).parquet(path)
 
     # staging -------------------------------------------------------------
     @cached_property
     def stg_categories(self) -> DataFrame:
-        return self._shared("stg_categories", lambda: staging.stg_categories(self.raw.categories))
+        return staging.stg_categories(self.raw.categories)
 
     @cached_property
     def stg_channels(self) -> DataFrame:
-        return self._shared("stg_channels", lambda: staging.stg_channels(self.raw.channels))
+        return staging.stg_channels(self.raw.channels)
 
     @cached_property
     def stg_statuses(self) -> DataFrame:
-        return self._shared("stg_statuses", lambda: staging.stg_statuses(self.raw.statuses))
+        return staging.stg_statuses(self.raw.statuses)
 
     @cached_property
     def stg_products(self) -> DataFrame:
@@ -110,12 +69,11 @@ class Mart:
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return self._shared("dim_products", lambda: silver.dim_products(
-            self.stg_products, self.stg_kit_components))
+        return silver.dim_products(self.stg_products, self.stg_kit_components)
 
     @cached_property
     def kit_bridge(self) -> DataFrame:
-        return self._shared("kit_bridge", lambda: silver.kit_bridge(self.stg_kit_components))
+        return silver.kit_bridge(self.stg_kit_components)
 
     @cached_property
     def dim_kit_components(self) -> DataFrame:
@@ -123,34 +81,30 @@ class Mart:
 
     @cached_property
     def silver_orders(self) -> DataFrame:
-        return self._shared("silver_orders", lambda: silver.silver_orders(
-            self.stg_orders, self.stg_statuses, self.after, self.lookups_bounded))
+        return silver.silver_orders(self.stg_orders, self.stg_statuses, self.after)
 
     @cached_property
     def silver_order_items(self) -> DataFrame:
-        return self._shared("silver_order_items", lambda: silver.silver_order_items(
-            self.stg_order_items, self.stg_statuses, self.after, self.lookups_bounded, audit_columns=False))
+        return silver.silver_order_items(self.stg_order_items, self.stg_statuses, self.after, audit_columns=False)
 
     # gold ----------------------------------------------------------------
     @cached_property
     def fact_item_details(self) -> DataFrame:
-        return self._shared("fact_item_details", lambda: gold.fact_item_details(
-            self.silver_order_items, self.silver_orders, self.dim_products))
+        return gold.fact_item_details(self.silver_order_items, self.silver_orders, self.dim_products)
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return self._shared("fact_orders", lambda: gold.fact_orders(
-            self.silver_orders, self.fact_item_details, self.dim_channels, self.lookups_bounded))
+        return gold.fact_orders(self.silver_orders, self.fact_item_details, self.dim_channels)
 
     @cached_property
     def fact_channel_performance(self) -> DataFrame:
         return gold.fact_channel_performance(self.fact_item_details, self.fact_orders, self.dim_products,
-                                             self.dim_categories, self.lookups_bounded)
+                                             self.dim_categories, self.dim_channels)
 
     @cached_property
     def fact_product_performance(self) -> DataFrame:
         return gold.fact_product_performance(self.fact_item_details, self.fact_orders, self.dim_products,
-                                             self.dim_categories, self.lookups_bounded, self.dates_from_orders)
+                                             self.dim_categories, self.dates_from_orders)
 
     @cached_property
     def fact_component_demand(self) -> DataFrame:
@@ -169,14 +123,11 @@ class FirstLoad(Mart):
     """
 
     def __init__(self, parent: Mart, until: dt.date):
-        key = None if parent.store_key is None else f"{parent.store_key}|first<={until}"
-        super().__init__(parent.raw, parent.lookups_bounded, parent.after, parent.dates_from_orders,
-                         store_key=key, spark=parent.spark)
+        super().__init__(parent.raw, parent.after, parent.dates_from_orders)
         self.parent = parent
         self.until = until
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        from pyspark.sql import functions as F
         return df.where(F.col("order_date") <= F.lit(self.until))
 
     @cached_property

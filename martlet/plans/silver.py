@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.casts import NUMERIC
-from martlet.functions.expressions import merge_key, not_cancelled
+from martlet.functions.expressions import CANCELLED_STATUS, merge_key, not_cancelled, units_times
 from martlet.operators.dedup import latest_per_key
-from martlet.operators.joins import lookup_side
 
 SILVER_ORDER_COLUMNS = [
     "order_id", "client_id", "sale_channel_id", "status_id",
@@ -53,7 +52,7 @@ def kit_costs(stg_products: DataFrame, stg_kit_components: DataFrame) -> DataFra
     cost = stg_products.select(F.col("product_id").alias("component_id"), "cost_price")
     j = comp.join(cost, "component_id", "left")
     return (j.groupBy("composite_product_id")
-            .agg(F.sum(F.col("cost_price") * F.col("component_quantity")).cast(NUMERIC)
+            .agg(F.sum(units_times(F.col("cost_price"), F.col("component_quantity"))).cast(NUMERIC)
                  .alias("calculated_composite_product_cost")))
 
 
@@ -91,38 +90,48 @@ def _window_filter(df: DataFrame, after: dt.date | None) -> DataFrame:
     return df if after is None else df.where(F.col("order_date") > F.lit(after))
 
 
-def silver_orders(stg_orders: DataFrame, statuses: DataFrame, after: dt.date | None = None,
-                  lookups_bounded: bool = True) -> DataFrame:
+def latest_orders(stg_orders: DataFrame) -> DataFrame:
+    """The newest landing of each order: by ``dt``, then ``epoch`` (both if the input has them),
+    then every other column, so that the row kept never depends on the order of the input."""
+    if "dt" not in stg_orders.columns:
+        return stg_orders
+    first = [c for c in ("dt", "epoch") if c in stg_orders.columns]
+    rest = [c for c in stg_orders.columns if c not in (*first, "order_id")]
+    return latest_per_key(stg_orders, ["order_id"], [F.col(c).desc_nulls_last() for c in (*first, *rest)])
+
+
+def silver_orders(stg_orders: DataFrame, statuses: DataFrame, after: dt.date | None = None) -> DataFrame:
     """Orders that are not cancelled (NULL or unknown status drops too).
 
-    ``after`` is the incremental bound of F4 (None on a first run).  When the
-    input carries ``dt``, one copy per order is kept, the latest landing; the
-    table is keyed on ``order_id``, so two copies would fail the upsert.
+    ``after`` is the incremental bound of F4 (None on a first run).  The newest
+    landing of an order is picked first and judged then, so an order landed as
+    active and later as cancelled is out.
     """
-    st = lookup_side(statuses.select("status_id", "status_name"), lookups_bounded)
-    j = stg_orders.join(st, "status_id", "left").where(not_cancelled(F.col("status_name")))
-    j = _window_filter(j, after)
-    if "dt" in stg_orders.columns:
-        j = latest_per_key(j, ["order_id"], [F.col("dt").desc_nulls_last(),
-                                             F.col("order_date").desc_nulls_last()])
-    return j.select(*SILVER_ORDER_COLUMNS)
+    st = statuses.select("status_id", "status_name")
+    j = _window_filter(latest_orders(stg_orders), after).join(st, "status_id", "left")
+    return j.where(not_cancelled(F.col("status_name"))).select(*SILVER_ORDER_COLUMNS)
+
+
+def cancelled_orders(stg_orders: DataFrame, statuses: DataFrame) -> DataFrame:
+    """order_id of the orders whose newest landing is cancelled (their rows leave the tables)."""
+    gone = statuses.where(F.col("status_name") == F.lit(CANCELLED_STATUS)).select("status_id")
+    return latest_orders(stg_orders).join(gone, "status_id", "left_semi").select("order_id")
 
 
-def silver_order_items(stg_items: DataFrame, statuses: DataFrame, after: dt.date | None = None,
-                       lookups_bounded: bool = True, audit_columns: bool = True) -> DataFrame:
+def silver_order_items(stg_items: DataFrame, statuses: DataFrame, after: dt.date | None = None, audit_columns: bool = True) -> DataFrame:
     """Order lines of non-cancelled orders, one per (order, merge key).
 
     ``stg_items`` is ``stg_order_items(with_order_header=True)``: each line
     carries its own order record's date, status and ``dt``.  W1 keeps the line
-    of the latest order date; ties are broken by ``dt``, then quantity, then
+    of the latest order date; ties are broken by ``dt``, ``epoch``, quantity and
     price (all descending), which makes the kept values deterministic.
     """
-    st = lookup_side(statuses.select("status_id", "status_name"), lookups_bounded)
+    st = statuses.select("status_id", "status_name")
     j = stg_items.join(st, "status_id", "left").where(not_cancelled(F.col("status_name")))
     j = _window_filter(j, after)
     j = j.withColumn("product_id_for_merge", merge_key(F.col("product_id"), F.col("order_id")))
-    order = [F.col("order_date").desc_nulls_last(), F.col("dt").desc_nulls_last(),
-             F.col("quantity").desc_nulls_last(), F.col("order_unit_price").desc_nulls_last()]
+    landed = [c for c in ("dt", "epoch") if c in stg_items.columns]
+    order = [F.col(c).desc_nulls_last() for c in ("order_date", *landed, "quantity", "order_unit_price", "product_id")]
     d = latest_per_key(j, ["order_id", "product_id_for_merge"], order, keep_rank=audit_columns)
     if not audit_columns:
         return d.select("order_id", "product_id", "quantity", "order_unit_price",

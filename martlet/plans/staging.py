@@ -1,7 +1,7 @@
 """Staging models (M1-M7): flatten, rename, upper-case and safely type the raw records.
 
 Each model is a pure, lazy function of landed rows.  The raw inputs have the
-header rows already split off (``sources.bronze.split_header``).
+header rows already split off (``sources.bronze.data_rows``).
 """
 
 from __future__ import annotations
@@ -9,16 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions.casts import safe_date, safe_int64, safe_numeric
+from martlet.functions.casts import safe_date, safe_id, safe_int64, safe_numeric
 from martlet.functions.expressions import ACTIVE_FLAG, KIT_FORMAT
 
 
 def stg_categories(raw_categories: DataFrame) -> DataFrame:
     """M1: category_id, category_name, parent_category_id."""
     return raw_categories.select(
-        F.col("id").alias("category_id"),
+        safe_id("id").alias("category_id"),
         F.upper("descricao").alias("category_name"),
-        F.col("categoriaPai.id").alias("parent_category_id"),
+        safe_id("categoriaPai.id").alias("parent_category_id"),
     )
 
 
@@ -32,15 +32,15 @@ def stg_order_items(raw_sales_items: DataFrame, with_order_header: bool = False)
     so no join of lines with orders is needed to get them.
     """
     cols = [
-        F.col("data.id").alias("order_id"),
-        F.col("item.produto.id").alias("product_id"),
+        safe_id("data.id").alias("order_id"),
+        safe_id("item.produto.id").alias("product_id"),
         safe_int64("item.quantidade").alias("quantity"),
         safe_numeric("item.valor").alias("order_unit_price"),
     ]
     if with_order_header:
         cols += [safe_date("data.data").alias("order_date"),
-                 F.col("data.situacao.id").alias("status_id"),
-                 F.col("dt")]
+                 safe_id("data.situacao.id").alias("status_id"),
+                 *[F.col(c) for c in ("dt", "epoch") if c in raw_sales_items.columns]]
     return raw_sales_items.select(*cols)
 
 
@@ -48,14 +48,14 @@ def stg_products(raw_products: DataFrame) -> DataFrame:
     """M3: product attributes with the supplier flattened; flags are three-valued."""
     d = "data."
     return raw_products.select(
-        F.col(d + "id").alias("product_id"),
+        safe_id(d + "id").alias("product_id"),
         F.upper(d + "nome").alias("product_name"),
         F.col(d + "codigo").alias("product_internal_code"),
         F.upper(d + "marca").alias("brand"),
         safe_numeric(d + "preco").alias("price"),
         (F.col(d + "situacao") == F.lit(ACTIVE_FLAG)).alias("is_active"),
         (F.col(d + "formato") == F.lit(KIT_FORMAT)).alias("is_kit"),
-        F.col(d + "categoria.id").alias("category_id"),
+        safe_id(d + "categoria.id").alias("category_id"),
         F.upper(d + "fornecedor.contato.nome").alias("supplier_name"),
         F.col(d + "fornecedor.codigo").alias("product_supplier_code"),
         safe_numeric(d + "fornecedor.precoCusto").alias("cost_price"),
@@ -70,44 +70,53 @@ def stg_kit_components(raw_products: DataFrame) -> DataFrame:
     list gives no row.  Components without an id are kept here.
     """
     kits = raw_products.where(F.col("data.formato") == F.lit(KIT_FORMAT))
-    comp = kits.select(F.col("data.id").alias("composite_product_id"),
+    comp = kits.select(safe_id("data.id").alias("composite_product_id"),
                        F.explode("data.estrutura.componentes").alias("c"))
     return comp.select(
         "composite_product_id",
-        F.col("c.produto.id").alias("component_id"),
+        safe_id("c.produto.id").alias("component_id"),
         safe_int64("c.quantidade").alias("component_quantity"),
     )
 
 
 def stg_channels(raw_channels: DataFrame) -> DataFrame:
     """M5: channel_id, channel_name."""
-    return raw_channels.select(F.col("id").alias("channel_id"), F.upper("descricao").alias("channel_name"))
+    return raw_channels.select(safe_id("id").alias("channel_id"), F.upper("descricao").alias("channel_name"))
 
 
 def stg_orders(raw_sales_orders: DataFrame, with_dt: bool = False) -> DataFrame:
     """M6: one row per landed order record, typed."""
     d = "data."
     cols = [
-        F.col(d + "id").alias("order_id"),
-        F.col(d + "numero").alias("order_number"),
+        safe_id(d + "id").alias("order_id"),
+        safe_id(d + "numero").alias("order_number"),
         safe_date(d + "data").alias("order_date"),
         safe_date(d + "dataSaida").alias("dispatch_date"),
         safe_date(d + "dataPrevista").alias("estimated_delivery_date"),
         safe_numeric(d + "totalProdutos").alias("total_products_value"),
         safe_numeric(d + "total").alias("total_order_value"),
-        F.col(d + "contato.id").alias("client_id"),
-        F.col(d + "situacao.id").alias("status_id"),
-        F.col(d + "loja.id").alias("sale_channel_id"),
+        safe_id(d + "contato.id").alias("client_id"),
+        safe_id(d + "situacao.id").alias("status_id"),
+        safe_id(d + "loja.id").alias("sale_channel_id"),
         safe_numeric(d + "desconto.valor").alias("order_discount_value"),
         safe_numeric(d + "taxas.taxaComissao").alias("order_commission_fee"),
         safe_numeric(d + "taxas.custoFrete").alias("order_shipping_cost"),
         safe_numeric(d + "taxas.valorBase").alias("base_value"),
     ]
     if with_dt:
-        cols.append(F.col("dt"))
+        cols += [F.col(c) for c in ("dt", "epoch") if c in raw_sales_orders.columns]
     return raw_sales_orders.select(*cols)
 
 
 def stg_statuses(raw_statuses: DataFrame) -> DataFrame:
     """M7: status_id, status_name."""
-    return raw_statuses.select(F.col("id").alias("status_id"), F.upper("nome").alias("status_name"))
+    return raw_statuses.select(safe_id("id").alias("status_id"), F.upper("nome").alias("status_name"))
+
+
+def create_views(raw) -> None:
+    """The staging models as session views under their names."""
+    for name, df in (("stg_categories", stg_categories(raw.categories)), ("stg_order_items", stg_order_items(raw.sales_items)),
+                     ("stg_products", stg_products(raw.products)), ("stg_kit_components", stg_kit_components(raw.products)),
+                     ("stg_channels", stg_channels(raw.channels)), ("stg_orders", stg_orders(raw.sales_orders)),
+                     ("stg_statuses", stg_statuses(raw.statuses))):
+        df.createOrReplaceTempView(name)

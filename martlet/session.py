@@ -1,4 +1,4 @@
-"""Session settings and the shared scratch location.
+"""Session settings and the shared scratch folder.
 
 Results must not depend on session settings the caller may not control, so the
 models themselves avoid such dependence (explicit casts, ``nullif`` before
@@ -7,7 +7,6 @@ division).  ``build_session`` is for tests, the bench and stand-alone jobs.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,51 +30,43 @@ MART_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "martlet", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the mart's settings.
+
+    Master, shuffle partitions and memory are whatever the job was submitted with;
+    they are set only if asked for (tests, the bench).
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(MART_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "8g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-LOCAL_FALLBACK = os.path.join("/tmp", "martlet-checkpoints")
-
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which the driver and all executors share.
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the session has none (local tests) is a folder set here.
+    A job without one fails: a folder of our own choosing would be on one machine.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a session without a local SparkContext (Spark Connect)
-        return spark.conf.get("spark.checkpoint.dir", None) or fallback or LOCAL_FALLBACK
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = fallback or LOCAL_FALLBACK
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
-
-
-def app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", None) or "app"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        try:
+            named = spark.sparkContext.getCheckpointDir()
+        except Exception:  # a session without a local SparkContext
+            named = None
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location, for written intermediate tables."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/martlet-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared folder, for written intermediate tables."""
+    return f"{shared_folder(spark)}/martlet-{name}-{uuid.uuid4().hex[:12]}"

@@ -7,8 +7,9 @@ Layout (as the extraction writes it)::
     <root>/dim_data/categories|channels|statuses/*.json
 
 Every file carries a header row ``{"metadata": {...}}``.  Reads use declared
-schemas and PERMISSIVE mode: a broken line lands in ``_corrupt_record``
-instead of failing the job, and is kept out of the data rows.
+schemas and PERMISSIVE mode: a line that is no JSON lands in ``_corrupt_record``
+instead of failing the job and is kept out of the data rows; a record with a bad
+field stays, with that field NULL.  Both kinds go to the quarantine rows.
 """
 
 from __future__ import annotations
@@ -37,9 +38,20 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
             .json(path))
 
 
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """S1-S6 for lines already read as text (``value``, and ``dt`` if they have it)."""
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT})
+    keys = ["dt"] if "dt" in lines.columns else []
+    return lines.select(*keys, parsed.alias("r")).select("r.*", *keys)
+
+
+def _record(raw: DataFrame) -> str:
+    return "data" if "data" in raw.columns else "id"
+
+
 def data_rows(raw: DataFrame) -> DataFrame:
-    """Records only (no header row, no broken line)."""
-    return raw.where(F.col("metadata").isNull() & F.col(S.CORRUPT).isNull()).drop("metadata", S.CORRUPT)
+    """Records only (no header row, no line without a record)."""
+    return raw.where(F.col("metadata").isNull() & F.col(_record(raw)).isNotNull()).drop("metadata", S.CORRUPT)
 
 
 def header_rows(raw: DataFrame) -> DataFrame:
@@ -48,9 +60,10 @@ def header_rows(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("metadata").isNotNull()).select(*cols)
 
 
-def corrupt_rows(raw: DataFrame) -> DataFrame:
+def quarantine_rows(raw: DataFrame) -> DataFrame:
+    """The text of every line that did not parse as declared, and whether a record was kept from it."""
     cols = [S.CORRUPT] + (["dt"] if "dt" in raw.columns else [])
-    return raw.where(F.col(S.CORRUPT).isNotNull()).select(*cols)
+    return raw.where(F.col(S.CORRUPT).isNotNull()).select(*cols, F.col(_record(raw)).isNotNull().alias("kept"))
 
 
 def split_sales(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,37 +75,64 @@ def split_sales(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
     so no later step has to join lines back to orders to find them.  Both are
     narrow projections of the same scan.
     """
-    orders = sales.select(F.col("data").dropFields("itens").alias("data"), "dt")
+    landed = [c for c in ("dt", "epoch") if c in sales.columns]
+    orders = sales.select(F.col("data").dropFields("itens").alias("data"), *landed)
     lines = sales.select(
         F.struct(F.col("data.id").alias("id"), F.col("data.data").alias("data"),
                  F.col("data.situacao").alias("situacao")).alias("data"),
-        "dt",
+        *landed,
         F.explode("data.itens").alias("item"))
     return orders, lines
 
 
-def read_sources(spark: SparkSession, root: str) -> RawSources:
-    """Landed files -> the raw inputs of the mart (data rows only)."""
+def sources_of(sales: DataFrame, products: DataFrame, lookups: dict[str, DataFrame]) -> RawSources:
+    """The raw inputs of the mart from parsed rows (headers and quarantined lines still among them)."""
+    orders, lines = split_sales(data_rows(sales))
+    return RawSources(sales_orders=orders, sales_items=lines, products=data_rows(products),
+                      **{k: data_rows(v) for k, v in lookups.items()})
+
+
+def _landed(spark: SparkSession, root: str, dates: tuple | None) -> tuple[DataFrame, DataFrame, dict]:
     root = root.rstrip("/")
+    sales = read_landed(spark, f"{root}/{SALES_DIR}", S.RAW_SALES)
+    if dates is not None:
+        first, last = dates
+        sales = sales.where(F.col("dt") >= F.lit(first)) if first is not None else sales
+        sales = sales.where(F.col("dt") <= F.lit(last)) if last is not None else sales
+    products = read_landed(spark, f"{root}/{PRODUCTS_DIR}", S.RAW_PRODUCTS)
+    return sales, products, {k: read_landed(spark, f"{root}/{d}", LOOKUP_SCHEMAS[k]) for k, d in LOOKUP_DIRS.items()}
 
-    def sales():
-        return data_rows(read_landed(spark, f"{root}/{SALES_DIR}", S.RAW_SALES))
 
-    split: dict = {}
+def read_sources(spark: SparkSession, root: str) -> RawSources:
+    """Landed files -> the raw inputs of the mart, as one lazy plan (each use parses the files)."""
+    return sources_of(*_landed(spark, root, None))
 
-    def part(i):
-        if not split:
-            split["v"] = split_sales(sales())
-        return split["v"][i]
 
-    return RawSources(
-        sales_orders=lambda: part(0),
-        sales_items=lambda: part(1),
-        products=lambda: data_rows(read_landed(spark, f"{root}/{PRODUCTS_DIR}", S.RAW_PRODUCTS)),
-        categories=lambda: data_rows(read_landed(spark, f"{root}/{LOOKUP_DIRS['categories']}", S.RAW_CATEGORIES)),
-        channels=lambda: data_rows(read_landed(spark, f"{root}/{LOOKUP_DIRS['channels']}", S.RAW_CHANNELS)),
-        statuses=lambda: data_rows(read_landed(spark, f"{root}/{LOOKUP_DIRS['statuses']}", S.RAW_STATUSES)),
-    )
+def ingest(spark: SparkSession, root: str, bronze_root: str, dates: tuple | None = None,
+           only_sales: bool = False) -> RawSources:
+    """Parse the landed files once into Parquet under ``bronze_root`` and read the inputs from there.
+
+    ``dates`` (first, last) limits the order files to those ``dt`` folders; the bronze
+    folders of other dates stay.  Lines that did not parse go to ``quarantine`` with theirs.
+    """
+    bronze_root = bronze_root.rstrip("/")
+    sales, products, lookups = _landed(spark, root, dates)
+    (sales.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
+     .parquet(f"{bronze_root}/sales"))
+    kept = spark.read.schema(sales.schema).parquet(f"{bronze_root}/sales")
+    if dates is not None:
+        kept = kept.where(F.col("dt").between(*[F.lit(d) for d in (dates[0] or dt.date.min, dates[1] or dt.date.max)]))
+    (quarantine_rows(kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
+     .parquet(f"{bronze_root}/quarantine"))
+    if not only_sales:
+        for name, df in (("products", products), *lookups.items()):
+            df.write.mode("overwrite").parquet(f"{bronze_root}/{name}")
+            df = spark.read.schema(df.schema).parquet(f"{bronze_root}/{name}")
+            if name == "products":
+                products = df
+            else:
+                lookups[name] = df
+    return sources_of(kept, products, lookups)
 
 
 def _with_header(records: DataFrame, metadata: dict) -> DataFrame:
@@ -124,21 +164,23 @@ def land_full(records: DataFrame, path: str, metadata: dict) -> None:
     _with_header(records, metadata).write.mode("overwrite").json(path)
 
 
-def run_audit(raw: DataFrame, declared_field: str = "total_records") -> DataFrame:
-    """Header rows parsed, next to the number of data rows landed beside them.
+def run_audit(raw: DataFrame) -> DataFrame:
+    """Header rows parsed, next to the number of data rows and quarantined lines landed beside them.
 
-    One row per header (per ``dt`` for orders); ``landed_rows`` counts the data
-    rows of the same ``dt`` (or of the whole list).
+    One row per header (per ``dt`` for orders); the counts are those of the same
+    ``dt`` (or of the whole list).
     """
     keys = ["dt"] if "dt" in raw.columns else []
     meta = header_rows(raw).select(*keys, F.from_json("metadata", S.RUN_METADATA).alias("m"))
     meta = meta.select(*keys, "m.*")
     declared = F.coalesce(F.col("total_orders"), F.col("total_products"), F.col("total_records"))
+    record = F.col("metadata").isNull() & F.col(_record(raw)).isNotNull()
+    counts = [F.count_if(record).alias("landed_rows"), F.count_if(F.col(S.CORRUPT).isNotNull()).alias("quarantined_rows")]
     if keys:
-        landed = data_rows(raw).groupBy(*keys).agg(F.count(F.lit(1)).alias("landed_rows"))
-        out = meta.join(landed, keys, "left")
+        out = meta.join(raw.groupBy(*keys).agg(*counts), keys, "left")
     else:  # one list: a one-row count
-        out = meta.withColumn("landed_rows", F.lit(data_rows(raw).count()).cast("bigint"))
+        n = raw.agg(*counts).first()
+        out = meta.withColumns({k: F.lit(n[k]).cast("bigint") for k in ("landed_rows", "quarantined_rows")})
     return out.withColumn("declared_rows", declared).withColumn(
         "count_matches", F.coalesce(F.col("declared_rows") == F.col("landed_rows"), F.lit(False)))
 

@@ -11,8 +11,8 @@ DataFrame projections (no grouping of unbounded sets):
 * ``raw_products``      one row per product with the nested supplier and kit structure
 * ``raw_categories`` / ``raw_channels`` / ``raw_statuses``  lookup lists
 
-Lookup lists are derived from the tables through a fixed mapping, so each has
-a proven row bound (statuses 3, categories 5, channels 10).
+Lookup lists are derived from the tables through a fixed mapping; their joins
+are left to Spark's size estimates.
 """
 
 from __future__ import annotations
@@ -42,7 +42,6 @@ ACTIVE_MAX_SIZE = 40                   # situacao 'A' when p_size <= 40, else 'I
 KIT_EVERY = 10                         # formato 'E' when p_partkey % 10 = 0, else 'S'
 NULL_COST_EVERY = 17                   # precoCusto NULL when p_partkey % 17 = 0
 NULL_COMPONENT_EVERY = 50              # extra component without id when p_partkey % 50 = 0
-SUPPLIER_MODULUS = 10                  # supplier s_suppkey = p_partkey % 10
 COST_FACTOR, BUY_FACTOR = 60, 55       # cents factors on p_retailprice
 DISCOUNT_FACTOR, COMMISSION_FACTOR, FREIGHT_FACTOR = 2, 10, 5  # cents factors on o_totalprice
 DISPATCH_DAYS, DELIVERY_DAYS = 2, 10
@@ -75,31 +74,18 @@ DRIVER_SCHEMAS = {
 }
 
 
-_SPLITS: dict[str, int] = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread_scan(spark, spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path), path)
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_scan(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than half the cores.
+def priority_id(priority: Column) -> Column:
+    """Channel id: the number before the first ``-`` of an order priority."""
+    return F.substring_index(priority, "-", 1).try_cast("bigint")
 
-    A file written as one row group cannot be split, so its scan is a single
-    task and every per-row expression before the first shuffle runs serially.
-    A large table stored as many files / row groups yields many splits and is
-    returned untouched, so this never adds a shuffle at scale.  The split
-    count is planned once per path (no job runs).
-    """
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        n = _SPLITS.get(key)
-        if n is None:
-            n = _SPLITS[key] = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API on this session: leave the scan as it is
-        return df
-    return df.repartition(cores) if n < max(2, cores // 2) else df
+
+def priority_name(priority: Column) -> Column:
+    """Channel name: all that follows the first ``-``."""
+    return F.substr(priority, F.instr(priority, "-") + F.lit(1))
 
 
 def landing_dt(order_ts: Column) -> Column:
@@ -142,7 +128,7 @@ def raw_sales_orders(spark: SparkSession, sf_dir: str, until: str | None = None)
         total.alias("total"),
         F.struct(o.o_custkey.alias("id")).alias("contato"),
         o.situacao,
-        F.struct(F.substring(o.o_orderpriority, 1, 1).try_cast("bigint").alias("id")).alias("loja"),
+        F.struct(priority_id(o.o_orderpriority).alias("id")).alias("loja"),
         F.struct(cents(o.o_totalprice * DISCOUNT_FACTOR).alias("valor")).alias("desconto"),
         F.struct(cents(o.o_totalprice * COMMISSION_FACTOR).alias("taxaComissao"),
                  freight.alias("custoFrete"),
@@ -182,11 +168,10 @@ def raw_sales_items(spark: SparkSession, sf_dir: str, with_header: bool = True,
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part").where(F.col("p_partkey") > 0)
-    # at most SUPPLIER_MODULUS rows: s_suppkey is the supplier key
-    s = (_read(spark, sf_dir, "supplier")
-         .where(F.col("s_suppkey").between(0, SUPPLIER_MODULUS - 1))
-         .select("s_suppkey", "s_name"))
-    j = p.join(F.broadcast(s), (p.p_partkey % SUPPLIER_MODULUS) == s.s_suppkey, "left")
+    # every supplier is used: products are dealt over the supplier keys (one number is read first)
+    s = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    keys = (s.agg(F.max("s_suppkey")).first()[0] or 0) + 1
+    j = p.join(s, (p.p_partkey % keys) == s.s_suppkey, "left")
     pk = j.p_partkey
     is_kit = pk % KIT_EVERY == 0
 
@@ -217,7 +202,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most 3 rows: the order statuses mapped onto the fixed status list."""
+    """The order statuses mapped onto the fixed status list."""
     st = F.col("o_orderstatus")
     return (_read(spark, sf_dir, "orders").select(
         _case(st, {k: v[0] for k, v in STATUS_BY_ORDERSTATUS.items()}).cast("bigint").alias("id"),
@@ -226,16 +211,16 @@ def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most 10 rows: one per leading digit of the order priority."""
+    """One row per number that an order priority starts with."""
     pr = F.col("o_orderpriority")
     return (_read(spark, sf_dir, "orders").where(pr != F.lit(UNKNOWN_CHANNEL_PRIORITY))
-            .select(F.substring(pr, 1, 1).try_cast("bigint").alias("id"), F.substring(pr, 3, 1 << 20).alias("descricao"))
+            .select(priority_id(pr).alias("id"), priority_name(pr).alias("descricao"))
             .where(F.col("id").isNotNull())
             .groupBy("id").agg(F.max("descricao").alias("descricao")))
 
 
 def raw_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most 5 rows: the product types mapped onto the fixed category list."""
+    """The product types mapped onto the fixed category list."""
     t = F.col("p_type")
     return (_read(spark, sf_dir, "part").select(
         _case(t, {k: v[0] for k, v in CATEGORY_ROWS.items()}).cast("bigint").alias("id"),
@@ -317,3 +302,53 @@ def extraction_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("attempt") == F.col("_ok_at"), F.lit(False)))
     return attempts.select("run_id", "entity", "batch", "object_id",
                            F.col("attempt").cast("int").alias("attempt"), ok.alias("ok"))
+
+
+# ---------------------------------------------------------------------------
+# Landed text derived from the tables (fixed values of the rule): what the files hold,
+# line by line, with bad fields, empty and missing item lists, headers and broken lines.
+# ---------------------------------------------------------------------------
+BAD_TOTAL_EVERY = 31       # total is the text 'abc' when o_orderkey % 31 = 0
+BAD_DATE_EVERY = 29        # data is '0000-00-00' when o_orderkey % 29 = 0
+BAD_CHANNEL_EVERY = 37     # loja.id is 'x9' when o_orderkey % 37 = 0
+BROKEN_LINE_EVERY = 41     # one broken line beside the order when o_orderkey % 41 = 0
+HALF_UNIT_EVERY = 43       # quantidade is n.5 when l_orderkey % 43 = 0
+BAD_QUANTITY_EVERY = 47    # quantidade is 'x' when l_partkey % 47 = 0
+WRONG_HEADER_EVERY = 3     # the header declares one order more when its day of the month % 3 = 0
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value, dt): the landed lines of all orders.
+
+    Orders come as records with an empty or a missing item list; each line comes as a
+    further record of its order with a list of one item, so nothing is collected per order.
+    """
+    o = _order_header(_read(spark, sf_dir, "orders"))
+    k = o.id
+    date = F.when(k % BAD_DATE_EVERY == 0, F.lit("0000-00-00")).otherwise(o.data_txt)
+    total = F.when(k % BAD_TOTAL_EVERY == 0, F.lit("abc")).otherwise(o.o_totalprice.cast(MONEY).cast("string"))
+    channel = F.when(k % BAD_CHANNEL_EVERY == 0, F.lit("x9")).otherwise(priority_id(o.o_orderpriority).cast("string"))
+    item = "array<struct<produto:struct<id:bigint>,quantidade:string,valor:decimal(18,2)>>"
+    none = F.when(k % 2 == 0, F.array().cast(item))
+    head = [k.alias("id"), date.alias("data"), o.situacao.alias("situacao")]
+    orders = o.select(o.dt, F.to_json(F.struct(F.struct(
+        *head, total.alias("total"), F.struct(channel.alias("id")).alias("loja"), none.alias("itens")).alias("data")))
+        .alias("value"))
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    j = li.join(o, li.l_orderkey == o.id)
+    units = F.concat(j.l_quantity.cast("bigint").cast("string"),
+                     F.when(j.l_orderkey % HALF_UNIT_EVERY == 0, F.lit(".5")).otherwise(F.lit("")))
+    units = F.when(j.l_partkey % BAD_QUANTITY_EVERY == 0, F.lit("x")).otherwise(units)
+    one = F.array(F.struct(F.struct(j.l_partkey.alias("id")).alias("produto"), units.alias("quantidade"),
+                           cents(j.l_extendedprice * 100 / j.l_quantity).alias("valor")))
+    lines = j.select(j.dt, F.to_json(F.struct(F.struct(*head, one.alias("itens")).alias("data"))).alias("value"))
+    broken = o.where(k % BROKEN_LINE_EVERY == 0).select(o.dt, F.concat(F.lit("{bad "), k.cast("string")).alias("value"))
+    wrong = (F.dayofmonth("dt") % WRONG_HEADER_EVERY == 0).cast("bigint")
+    headers = (o.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).select("dt", F.to_json(F.struct(
+        F.struct((F.col("n") + wrong).alias("total_orders")).alias("metadata"))).alias("value")))
+    return headers.unionByName(orders).unionByName(lines).unionByName(broken).select("value", "dt")
+
+
+def landed_orders_only(lines: DataFrame) -> DataFrame:
+    """The landed lines without the records that hold one item."""
+    return lines.where(~F.col("value").contains('"itens":[{'))

@@ -1,17 +1,17 @@
 """Read schemas for the landed NDJSON files.
 
 Schemas are always declared, never inferred: a file that holds only its header
-row would otherwise infer no ``data`` column.  Ids are BIGINT.  Money,
-quantities and dates are read as text and typed by the staging casts (the
-JSON reader turns a numeric token into its text for a STRING field), so a bad
-value becomes NULL in one column instead of spoiling the whole record.
+row would otherwise infer no ``data`` column.  Ids, money, quantities and dates
+are read as text and typed by the staging casts (the JSON reader turns a numeric
+token into its text for a STRING field), so a bad value becomes NULL in one column
+instead of spoiling the whole record.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-ID = T.LongType()
+ID = T.StringType()  # typed later by functions.casts.safe_id
 TXT = T.StringType()
 NUM = T.StringType()  # typed later by functions.casts.safe_numeric
 
@@ -68,7 +68,7 @@ RAW_STATUSES = _s(("metadata", TXT), ("id", ID), ("nome", TXT), (CORRUPT, TXT))
 
 # Landed extraction bookkeeping, one row per fetch attempt of one object id.
 EXTRACTION_ATTEMPTS = _s(("run_id", TXT), ("entity", TXT), ("batch", T.IntegerType()),
-                         ("object_id", ID), ("attempt", T.IntegerType()), ("ok", T.BooleanType()))
+                         ("object_id", T.LongType()), ("attempt", T.IntegerType()), ("ok", T.BooleanType()))
 
 # Parsed header of a landed file (the reference's run metadata block).
 RUN_METADATA = _s(

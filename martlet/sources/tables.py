@@ -1,12 +1,11 @@
 """Mart tables as Parquet directories, with keyed upserts.
 
-A new table state is always staged first: the rows are written to a fresh
-folder under the session's checkpoint location (shared on a cluster), read
-back, and only then written over the table.  The write therefore never reads
-the path it overwrites, the lineage back to the old table is cut, and a job
-that dies during the final write can be re-run from the staged copy.
-Date-partitioned tables rewrite only the partitions the source touches
-(dynamic partition overwrite).
+Tables lie in a folder per layer (``silver``, ``gold``).  A whole-table write goes to a
+fresh folder beside the table and takes its place by a rename once it is complete, so a
+job that dies before leaves the old table, and one that dies between the two renames is
+finished by the next reader.  A date-partitioned table rewrites only the partitions that
+a merge touches: their new rows are staged in the shared folder first, so the write never
+reads what it replaces, and the staged folder is removed afterwards.
 """
 
 from __future__ import annotations
@@ -20,6 +19,12 @@ from martlet.operators.upsert import PartitionedMerge, check_mergeable, merge_ro
 from martlet.session import scratch_path
 
 HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+NEXT, LAST = "__next", "__last"
+
+
+def layer_of(name: str) -> str:
+    """The layer a table belongs to, by its name."""
+    return "gold" if name.startswith("fact_") else "silver"
 
 
 class TableStore:
@@ -29,69 +34,90 @@ class TableStore:
         self.last_touched: dict[str, list | None] = {}  # partition values each upsert rewrote
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{layer_of(name)}/{name}"
+
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
+    def _rename(self, a: str, b: str) -> None:
+        fs, p = self._fs(a)
+        if not fs.rename(p, self._fs(b)[1]):
+            raise OSError(f"could not rename {a} to {b}")
+
+    def _switch(self, name: str) -> None:
+        """Put the complete folder beside the table in its place."""
+        path = self.path(name)
+        if self._exists(path):
+            self._delete(path + LAST)
+            self._rename(path, path + LAST)
+        self._rename(path + NEXT, path)
+        self._delete(path + LAST)
 
     def read(self, name: str) -> DataFrame | None:
+        """The table, or None where there is none; any other fault is raised."""
+        path = self.path(name)
+        if not self._exists(path) and self._exists(f"{path}{NEXT}/_SUCCESS"):
+            self._switch(name)  # a job died between the two renames
         try:
-            return self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return None
+            return self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def exists(self, name: str) -> bool:
         return self.read(name) is not None
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` to a fresh folder under the checkpoint location and read it back."""
-        p = scratch_path(self.spark, name)
-        df.write.mode("overwrite").parquet(p)
-        return self.spark.read.parquet(p)
-
     def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Full refresh (``materialized='table'``)."""
-        staged = self.stage(df, name)
-        w = staged.write.mode("overwrite")
+        """Full refresh (``materialized='table'``): one write, then the switch."""
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
-            w = w.option("partitionOverwriteMode", "static").partitionBy(partition_by)
-        w.parquet(self.path(name))
+            w = w.partitionBy(partition_by)
+        w.parquet(self.path(name) + NEXT)
+        self._switch(name)
         return self.read(name)
 
     def upsert(self, name: str, df: DataFrame, keys: Sequence[str], partition_by: str | None = None,
-               null_safe: bool = True, check: bool = True) -> DataFrame:
+               null_safe: bool = True, check: bool = True, deletes: DataFrame | None = None) -> DataFrame:
         """Incremental model: first run writes, later runs merge on ``keys``."""
         target = self.read(name)
+        self.last_touched[name] = None  # everything, unless the partitions below tell
         if target is None:
-            self.last_touched[name] = None  # everything is new
             return self.overwrite(name, df, partition_by)
-        src = self.stage(df, f"{name}-src")
-        if check:
-            check_mergeable(target, src, keys, null_safe)
-        self.last_touched[name] = None
-        if partition_by is None or set(src.columns) != set(target.columns):
-            # whole-table rewrite; also when the columns changed (U3), so that
-            # no partition keeps files of the old schema
-            merged = self.stage(merge_rows(target, src, keys, null_safe), f"{name}-merged")
-            w = merged.write.mode("overwrite")
-            if partition_by:
-                w = w.option("partitionOverwriteMode", "static").partitionBy(partition_by)
-            w.parquet(self.path(name))
-            return self.read(name)
-        pm = PartitionedMerge.plan(target, src, keys, partition_by, null_safe)
-        self.last_touched[name] = list(pm.touched)
-        rewritten = self.stage(pm.rewritten, f"{name}-merged")
-        present = {r[0] for r in rewritten.select(partition_by).distinct().collect()}
-        (rewritten.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(self.path(name)))
-        self._drop_partitions(name, partition_by, [v for v in pm.touched if v not in present])
+        staged = [scratch_path(self.spark, f"{name}-src"), scratch_path(self.spark, f"{name}-merged")]
+        try:
+            df.write.parquet(staged[0])
+            src = self.spark.read.schema(df.schema).parquet(staged[0])
+            if check:
+                check_mergeable(target, src, keys, null_safe)
+            if partition_by is None or set(src.columns) != set(target.columns):
+                # whole table; also when the columns changed (U3), so that no partition keeps the old schema
+                return self.overwrite(name, merge_rows(target, src, keys, null_safe, deletes), partition_by)
+            pm = PartitionedMerge.plan(target, src, keys, partition_by, null_safe, deletes)
+            self.last_touched[name] = list(pm.touched)
+            pm.rewritten.write.parquet(staged[1])
+            rewritten = self.spark.read.schema(pm.rewritten.schema).parquet(staged[1])
+            self.replace_partitions(name, rewritten, partition_by, pm.touched)
+        finally:
+            for path in staged:
+                self._delete(path)
         return self.read(name)
 
-    def _drop_partitions(self, name: str, partition_by: str, values: list) -> None:
-        """Remove touched partitions whose rows all moved elsewhere (dynamic
-        overwrite leaves a partition alone when it receives no rows)."""
-        if not values:
-            return
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+    def replace_partitions(self, name: str, rows: DataFrame, partition_by: str, values: list) -> None:
+        """Write ``rows`` over the partitions ``values``; one without rows goes."""
+        present = {r[0] for r in rows.select(partition_by).distinct().collect()}
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_by).parquet(self.path(name)))
         for v in values:
-            part = HIVE_NULL_PARTITION if v is None else str(v)
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{partition_by}={part}")
-            p.getFileSystem(conf).delete(p, True)
+            if v not in present:
+                self._delete(f"{self.path(name)}/{partition_by}={HIVE_NULL_PARTITION if v is None else v}")

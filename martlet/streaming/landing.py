@@ -3,7 +3,8 @@
 The landing folder is read as a file-source stream with the declared raw
 schema (``dt`` comes from the ``dt=`` folder names), so each run parses only
 files it has not seen; the stream's checkpoint records which.  Each
-micro-batch is split into header rows, order records and exploded lines and
+micro-batch is split into header rows, order records, exploded lines and lines that
+did not parse, and
 written under ``epoch=<batch id>``, overwriting that folder: a batch retried
 after a failure rewrites the same folder, so the bronze tables stay
 exactly-once.  ``Trigger.AvailableNow`` processes what is there and stops,
@@ -39,11 +40,14 @@ def ingest_sales(spark: SparkSession, landing_root: str, bronze_root: str, check
     stream = reader.json(f"{landing_root.rstrip('/')}/{bronze.SALES_DIR}")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        orders, lines = bronze.split_sales(bronze.data_rows(batch))
-        _write_epoch(orders, f"{bronze_root}/sales_orders", epoch)
-        _write_epoch(lines, f"{bronze_root}/sales_items", epoch)
-        headers = bronze.header_rows(batch)
-        _write_epoch(headers, f"{bronze_root}/sales_headers", epoch)
+        batch = batch.persist()  # parsed once, written four times
+        try:
+            orders, lines = bronze.split_sales(bronze.data_rows(batch))
+            for name, rows in (("orders", orders), ("items", lines), ("headers", bronze.header_rows(batch)),
+                               ("quarantine", bronze.quarantine_rows(batch))):
+                _write_epoch(rows, f"{bronze_root}/sales_{name}", epoch)
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -51,11 +55,12 @@ def ingest_sales(spark: SparkSession, landing_root: str, bronze_root: str, check
 
 
 def read_bronze_sales(spark: SparkSession, bronze_root: str) -> tuple[DataFrame, DataFrame]:
-    """(orders, lines) as written by ``ingest_sales``; ``dt`` and ``epoch`` prune."""
+    """(orders, lines) as written by ``ingest_sales``.
+
+    ``dt`` and ``epoch`` prune, and ``epoch`` tells which of two landings of one ``dt`` is newer.
+    """
     root = bronze_root.rstrip("/")
-    orders = spark.read.parquet(f"{root}/sales_orders").drop("epoch")
-    lines = spark.read.parquet(f"{root}/sales_items").drop("epoch")
-    return orders, lines
+    return spark.read.parquet(f"{root}/sales_orders"), spark.read.parquet(f"{root}/sales_items")
 
 
 def sources_from_bronze(spark: SparkSession, bronze_root: str, landing_root: str) -> RawSources:

@@ -16,7 +16,8 @@ def spark():
     from martlet.session import build_session
 
     s = build_session(master="local[4]", shuffle_partitions=4, app_name="martlet-tests",
-                      extra={"spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="martlet-checkpoint-", dir="/tmp")})
     yield s
     s.stop()
 

@@ -38,7 +38,7 @@ def test_running_sum_matches_serial_with_ties(spark):
     rnd = random.Random(7)
     data = [(i, rnd.choice([0, 1, 5, 5, 5, 9, 100])) for i in range(500)]
     df = spark.createDataFrame(data, "k int, v int")
-    out = running_sum(df, "v", [F.col("v").desc(), F.col("k").asc()], ranges=7)
+    out = running_sum(df, "v", [-F.col("v"), F.col("k")], ranges=7)
     got = {r.k: r.running_total for r in out.collect()}
     acc, want = 0, {}
     for k, v in sorted(data, key=lambda t: (-t[1], t[0])):
@@ -47,6 +47,23 @@ def test_running_sum_matches_serial_with_ties(spark):
     assert got == want
 
 
+def test_running_sum_with_more_columns_and_without_exchange_reuse(spark):
+    n = 100_000
+    df = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 7919 % 1009).alias("v"),
+                               F.concat(F.lit("x"), F.col("id")).alias("note"), (F.col("id") % 7).alias("other"))
+    data = sorted(((r.k, r.v) for r in df.select("k", "v").collect()), key=lambda t: (-t[1], t[0]))
+    acc, want = 0, {}
+    for k, v in data:
+        acc += v
+        want[k] = acc
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = running_sum(df, "v", [-F.col("v"), F.col("k")], ranges=9, total_out="total").collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert {r.k: r.running_total for r in out} == want and {r.total for r in out} == {acc}
+
+
 def test_abc_classes(spark):
     lines = spark.createDataFrame([(1, 70.0), (2, 20.0), (3, 6.0), (4, 4.0), (0, 1000.0)],
                                   "product_id bigint, gross_revenue double")

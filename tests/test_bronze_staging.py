@@ -38,10 +38,10 @@ def test_header_corrupt_and_explode(spark, tmp_dir):
     ])
     raw = bronze.read_landed(spark, f"{tmp_dir}/sales_data", S.RAW_SALES).cache()
     assert raw.where(F.col("metadata").isNotNull()).count() == 1
-    assert bronze.corrupt_rows(raw).count() == 1
+    assert bronze.quarantine_rows(raw).count() == 1
     data = bronze.data_rows(raw)
     orders, lines = bronze.split_sales(data)
-    assert sorted(r[0] for r in orders.select("data.id").collect()) == [1, 2, 3, 4]
+    assert sorted(r[0] for r in orders.select("data.id").collect()) == ["1", "2", "3", "4"]
     st = staging.stg_order_items(lines, with_order_header=True)
     got = rows(st, "order_id", "product_id", "quantity", "order_unit_price")
     assert [(g[0], g[1], g[2]) for g in got] == [(1, 0, 2), (1, 5, 2), (4, 5, 2)]
@@ -73,3 +73,19 @@ def test_products_flags_and_kit_components(spark, tmp_dir):
     assert p[10].supplier_name == "ACME"
     comps = rows(staging.stg_kit_components(raw))
     assert comps == [(10, 11, 2), (10, None, 1)]  # kit 12 without components gives no row
+
+
+def test_one_bad_field_keeps_the_record(spark, tmp_dir):
+    lines = [json.dumps({"metadata": {"total_orders": 2}}), _order(1, loja={"id": "abc"}), _order(2, loja="text"),
+             _order("x3"), "{bad"]
+    _write(f"{tmp_dir}/sales_data/dt=2024-01-07/a.json", lines)
+    raw = bronze.read_landed(spark, f"{tmp_dir}/sales_data", S.RAW_SALES).cache()
+    text = spark.createDataFrame([(x,) for x in lines], "value string").selectExpr("value", "date'2024-01-07' AS dt")
+    for parsed in (raw, bronze.parse_lines(text, S.RAW_SALES)):
+        orders = staging.stg_orders(bronze.split_sales(bronze.data_rows(parsed))[0])
+        got = sorted(((r.order_id, r.sale_channel_id) for r in orders.collect()), key=str)
+        assert got == [(1, None), (2, None), (None, 1)]
+        q = {r[S.CORRUPT]: r.kept for r in bronze.quarantine_rows(parsed).collect()}
+        assert q["{bad"] is False and all(q[x] for x in q if x != "{bad")
+        audit = bronze.run_audit(parsed).first()
+        assert audit.landed_rows == 3 and not audit.count_matches and audit.quarantined_rows == len(q)

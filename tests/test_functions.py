@@ -50,9 +50,17 @@ def test_ratio_and_cost_nulls_no_error_under_ansi(spark):
     assert got == [None, 10]
 
 
-def test_checked_broadcast_falls_back_beyond_bound(spark):
-    from martlet.operators.joins import checked_broadcast, within_rows
-    df = spark.range(10)
-    assert within_rows(df, 10) and not within_rows(df, 9)
-    _, ok = checked_broadcast(df, 9)
-    assert ok is False
+def test_money_keeps_nine_decimals_under_default_settings(spark):
+    from martlet.functions.expressions import money_minus, units_times
+    one = spark.createDataFrame([(Decimal("1.123456789"), Decimal("0.111111111"), 1, Decimal("4.381381367"))],
+                                "price decimal(38,9), cost decimal(38,9), q bigint, fee decimal(38,9)")
+    price, cost, q = F.col("price"), F.col("cost"), F.col("q")
+    got = one.select(units_times(price, q), units_times(cost, q), units_times(money_minus(price, cost), q),
+                     order_cost(F.col("fee"), price, cost, cost).cast("decimal(38,9)")).first()
+    assert [str(x) for x in got] == ["1.123456789", "0.111111111", "1.012345678", "5.727060378"]
+
+
+def test_ids_from_text(spark):
+    from martlet.functions.casts import safe_id
+    df = spark.createDataFrame([("12",), ("abc",), ("",), (None,), ("99999999999999999999",)], "x string")
+    assert [r[0] for r in df.select(safe_id("x")).collect()] == [12, None, None, None, None]

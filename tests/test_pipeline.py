@@ -98,6 +98,7 @@ def test_first_load_then_weekly_equals_full_build(spark, tmp_dir):
     b = si.groupBy("order_id").agg(F.sum("quantity").alias("q"))
     assert a.exceptAll(b).count() == 0
     # a second weekly run with the same data changes nothing (null-safe keys)
+    assert spark.table("stg_orders").columns[0] == "order_id"  # staging models are views
     n = store.read("fact_order_channel_performance").count()
     store = refresh.refresh_weekly(spark, f"{tmp_dir}/mart", fixtures.from_driver_tables(spark, SF001), AS_OF_WEEK)
     assert store.read("fact_order_channel_performance").count() == n
@@ -112,3 +113,63 @@ def test_weekly_gold_limited_to_touched_dates_equals_full_recompute(spark, tmp_d
     b = refresh.refresh_weekly(spark, f"{tmp_dir}/b", full, AS_OF_WEEK, gold_scope="touched")
     for t in refresh.GOLD:
         _same(a.read(t), b.read(t))
+
+
+def test_missing_gold_table_is_built_in_full(spark, tmp_dir):
+    first = fixtures.from_driver_tables(spark, SF001, until=FIRST_END)
+    store = refresh.refresh_full(spark, f"{tmp_dir}/m", first, AS_OF_FIRST)
+    store._delete(store.path("fact_orders"))
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", fixtures.from_driver_tables(spark, SF001), AS_OF_WEEK)
+    _same(store.read("fact_orders"), mart(spark, SF001).fact_orders)
+
+
+def test_weekly_run_leaves_other_dates_alone(spark, tmp_dir):
+    import os
+    full = fixtures.from_driver_tables(spark, SF001)
+    store = refresh.refresh_full(spark, f"{tmp_dir}/m", full, AS_OF_FIRST)
+
+    def files():
+        out = {}
+        for name in ("silver_order_items_details", *refresh.GOLD):
+            for d in os.listdir(store.path(name)):
+                if "=" in d:
+                    out[name, d] = sorted(os.listdir(f"{store.path(name)}/{d}"))
+        return out
+    before = files()
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", full, dt.date(2001, 7, 1))
+    changed = {d for (name, d), f in files().items() if before.get((name, d)) != f}
+    assert changed and min(changed) > "order_date=2001-06-20"
+
+
+def test_cancelled_orders_leave_the_mart(spark, tmp_dir):
+    raw = fixtures.from_driver_tables(spark, SF001)
+    refresh.refresh_full(spark, f"{tmp_dir}/m", raw, AS_OF_FIRST)
+    some = mart(spark, SF001).silver_orders.where("order_date > '2001-07-20'").orderBy("order_id").limit(3)
+    ids = [r.order_id for r in some.collect()]
+    assert ids
+    cancelled = F.when(F.col("data.id").isin(ids), F.lit(3)).otherwise(F.col("data.situacao.id")).cast("bigint")
+    data = F.col("data").withField("situacao", F.struct(cancelled.alias("id")))
+    again = fixtures.RawSources(sales_orders=raw.sales_orders.withColumn("data", data),
+                                sales_items=raw.sales_items.withColumn("data", data), products=raw.products,
+                                categories=raw.categories, channels=raw.channels, statuses=raw.statuses)
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", again, dt.date(2001, 7, 15), delete_cancelled=True)
+    for name in ("silver_orders_details", "silver_order_items_details", "fact_order_items_details", "fact_orders"):
+        assert store.read(name).where(F.col("order_id").isin(ids)).count() == 0
+    _same(store.read("fact_order_channel_performance"), Mart(again).fact_channel_performance)
+
+
+def test_command_line_full_weekly_and_back_fill(spark, landed, tmp_dir, capsys):
+    import os
+
+    from martlet.__main__ import main
+    from martlet.sources.tables import TableStore
+
+    m = f"{tmp_dir}/m"
+    assert main(["full", "--landing", landed, "--mart", m, "--as-of", "2001-08-02"]) == 0
+    _same(TableStore(spark, m).read("fact_orders"), mart(spark, SF001).fact_orders)
+    written = {d: os.stat(f"{m}/bronze/sales/{d}").st_mtime_ns for d in os.listdir(f"{m}/bronze/sales") if "=" in d}
+    assert main(["weekly", "--landing", landed, "--mart", m, "--start", "2001-07-01", "--end", "2001-07-31"]) == 0
+    again = {d for d in written if os.stat(f"{m}/bronze/sales/{d}").st_mtime_ns != written[d]}
+    assert again == {d for d in written if "dt=2001-07-01" <= d <= "dt=2001-07-31"}  # only its folders are read
+    _same(TableStore(spark, m).read("fact_orders"), mart(spark, SF001).fact_orders)
+    assert main(["weekly", "--landing", landed, "--mart", m, "--as-of", "2001-08-02"]) == 0

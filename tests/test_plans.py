@@ -24,27 +24,72 @@ def _explain(df):
 
 
 def test_dedup_plans_partial_window_group_limit(spark):
-    p = _explain(mart(spark, SF001, materialize=False).silver_order_items)
+    p = _explain(mart(spark, SF001).silver_order_items)
     assert p.count("WindowGroupLimit") >= 2  # partial before the shuffle, final after
 
 
-def test_lookups_broadcast_only_when_bounded(spark):
-    hint = "strategy=broadcast"
-    bounded = mart(spark, SF001, materialize=False).silver_orders._jdf.queryExecution().analyzed().toString()
-    unbounded = mart(spark, SF001, materialize=False, lookups_bounded=False).silver_orders._jdf.queryExecution().analyzed().toString()
-    assert bounded.count(hint) == 1 and unbounded.count(hint) == 0
-    assert "BroadcastHashJoin" in _explain(mart(spark, SF001, materialize=False).silver_orders)
+def test_no_join_carries_a_hint(spark):
+    m = mart(spark, SF001)
+    for df in (m.silver_orders, m.fact_orders, m.fact_channel_performance, m.stg_products):
+        assert "strategy=broadcast" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_queries_write_nothing_while_they_are_built(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from martlet.plans.catalog import queries
+
+    def refuse(*a, **k):
+        raise AssertionError("a query wrote a table")
+    monkeypatch.setattr(DataFrameWriter, "parquet", refuse)
+    for name in ("fact_channel_performance", "upsert_null_safe", "abc_curve", "landed_audit"):
+        queries()[name](spark, SF001)
+
+
+def test_jobs_need_a_shared_folder():
+    import pytest
+
+    from martlet.session import shared_folder
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session())
+
+
+def test_submitted_settings_survive(tmp_dir):
+    """A session built without requests keeps the master and parallelism of the submission."""
+    import os
+    import subprocess
+    import sys
+
+    code = ("from martlet.session import build_session; s = build_session(); "
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'))")
+    env = {**os.environ, "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+           "PYSPARK_SUBMIT_ARGS": "--master local[3] --conf spark.sql.shuffle.partitions=777 "
+                                  "--conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=tmp_dir)
+    assert "GOT local[3] 777" in out.stdout
 
 
 def test_scans_read_only_needed_columns(spark):
-    p = _explain(mart(spark, SF001, materialize=False).fact_component_demand)
+    p = _explain(mart(spark, SF001).fact_component_demand)
     schemas = re.findall(r"ReadSchema: (struct<[^\n]*>)", p)
     line_scans = [s for s in schemas if "l_orderkey" in s]
     assert line_scans and all("l_shipdate" not in s and "l_discount" not in s for s in line_scans)
 
 
 def test_component_demand_aggregates_before_kit_join(spark):
-    p = _explain(mart(spark, SF001, materialize=False).fact_component_demand)
+    p = _explain(mart(spark, SF001).fact_component_demand)
     physical = p.split("\n\n")[0]
     # the first (lowest) aggregate over lines appears below the join with the kit bridge
     assert "HashAggregate" in physical and "Join" in physical

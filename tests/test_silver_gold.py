@@ -37,6 +37,21 @@ def test_silver_orders_status_filter_and_latest_copy(spark):
     assert [(r.order_id, r.order_date, r.total_order_value) for r in got] == [(1, D(2024, 1, 2), Dm("20.000000000"))]
 
 
+def test_newest_landing_decides_whatever_the_input_order(spark):
+    rows_ = [
+        (1, 1, 1, 1, D(2024, 1, 1), None, None, Dm(1), Dm(1), Dm(1), Dm(100), D(2024, 1, 7)),
+        (1, 1, 1, 1, D(2024, 1, 1), None, None, Dm(1), Dm(1), Dm(1), Dm(200), D(2024, 1, 7)),   # same dt
+        (2, 1, 1, 1, D(2024, 1, 1), None, None, Dm(1), Dm(1), Dm(1), Dm(10), D(2024, 1, 7)),
+        (2, 1, 1, 3, D(2024, 1, 1), None, None, Dm(1), Dm(1), Dm(1), Dm(10), D(2024, 1, 14)),   # cancelled later
+    ]
+    got = {tuple(rows(silver.silver_orders(_orders(spark, r), _statuses(spark)), "order_id", "total_order_value"))
+           for r in (rows_, rows_[::-1])}
+    assert got == {((1, Dm("200.000000000")),)}
+    epochs = _orders(spark, rows_[:2]).withColumn("epoch", F.when(F.col("total_order_value") == 100, 1).otherwise(0))
+    assert silver.silver_orders(epochs, _statuses(spark)).first().total_order_value == 100
+    assert rows(silver.cancelled_orders(_orders(spark, rows_), _statuses(spark))) == [(2,)]
+
+
 def test_silver_items_dedup_and_merge_key(spark):
     items = spark.createDataFrame([
         (1, 5, 2, Dm("5.0"), D(2024, 1, 1), 1, D(2024, 1, 7)),
@@ -124,7 +139,7 @@ def test_channel_performance_null_kit_flag_and_unpaired_channel(spark):
     so, si, p, ch, cat, _ = _gold_inputs(spark)
     fid = gold.fact_item_details(si, so, p)
     fo = gold.fact_orders(so, fid, ch)
-    cp = gold.fact_channel_performance(fid, fo, p, cat)
+    cp = gold.fact_channel_performance(fid, fo, p, cat, ch)
     got = rows(cp, "sale_channel_name", "order_date", "category_name", "total_orders",
                "total_quantity_sold", "kit_quantity_sold", "individual_product_quantity_sold")
     # unknown product 99 and missing product: NULL is_kit -> total only

@@ -63,7 +63,7 @@ def test_partitioned_upsert_moves_rows_and_drops_emptied_partition(spark, tmp_di
         (1, D(2024, 1, 1), 10), (2, D(2024, 1, 1), 20), (3, D(2024, 1, 5), 31), (4, D(2024, 1, 5), 40)]
     # order 3 left 2024-01-02, which is now empty and removed; 2024-01-01 was not touched
     import os
-    assert not os.path.exists(f"{tmp_dir}/o/order_date=2024-01-02")
+    assert not os.path.exists(f"{tmp_dir}/silver/o/order_date=2024-01-02")
     pm = PartitionedMerge.plan(store.read("o"), s, ["order_id"], "order_date")
     assert sorted(pm.touched) == [D(2024, 1, 5)]
     # running the same source again changes nothing
@@ -87,3 +87,54 @@ def test_partitioned_upsert_with_new_column_rewrites_all_partitions(spark, tmp_d
     s = spark.createDataFrame([(2, D(2024, 1, 2), 21, "x")], "order_id bigint, order_date date, v int, note string")
     out = store.upsert("o", s, ["order_id"], partition_by="order_date")
     assert rows(out, "order_id", "v", "note") == [(1, 10, None), (2, 21, "x")]
+
+
+def test_merge_deletes_named_rows(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    s = spark.createDataFrame([(1, "new")], "k int, v string")
+    gone = spark.createDataFrame([(3,)], "k int")
+    assert rows(merge_rows(t, s, ["k"], deletes=gone)) == [(1, "new"), (2, "b")]
+
+
+def test_merge_leaves_untouched_partitions_alone(spark, tmp_dir):
+    import os
+    store = TableStore(spark, tmp_dir)
+    t = spark.createDataFrame([(i, D(2024, 1, 1 + i % 5), i) for i in range(20)], "order_id bigint, order_date date, v int")
+    store.upsert("o", t, ["order_id"], partition_by="order_date")
+
+    def files():
+        return {d: sorted(os.listdir(f"{tmp_dir}/silver/o/{d}")) for d in os.listdir(f"{tmp_dir}/silver/o") if "=" in d}
+    before = files()
+    s = spark.createDataFrame([(0, D(2024, 1, 1), 100)], "order_id bigint, order_date date, v int")
+    store.upsert("o", s, ["order_id"], partition_by="order_date")
+    after = files()
+    assert {d for d in before if before[d] != after[d]} == {"order_date=2024-01-01"}
+
+
+def test_a_write_that_dies_leaves_the_old_table(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    store.overwrite("t", spark.createDataFrame([(1,)], "k int"))
+
+    def dies(name):
+        raise OSError("lost")
+    store._switch = dies
+    try:
+        store.overwrite("t", spark.createDataFrame([(2,)], "k int"))
+    except OSError:
+        pass
+    del store._switch
+    assert rows(store.read("t")) == [(1,)]
+    # died between the two renames: the reader finishes the switch
+    store._rename(store.path("t"), store.path("t") + "__last")
+    assert rows(store.read("t")) == [(2,)]
+
+
+def test_only_a_missing_table_reads_as_none(spark, tmp_dir):
+    import os
+    import pytest as pt
+    from pyspark.errors import AnalysisException
+    store = TableStore(spark, tmp_dir)
+    assert store.read("none") is None
+    os.makedirs(store.path("empty"))
+    with pt.raises(AnalysisException):
+        store.read("empty")
