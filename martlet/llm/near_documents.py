@@ -5,10 +5,13 @@ words), weighted 1 + ln(count).  Every element is a Poisson process of that rate
 arrivals fall on random registers; a register keeps the element that arrives first, and a
 document's arrivals stop once none can be first any more.  Two documents agree in a
 register with their probability Jaccard similarity.  Bands of registers deal documents
-into buckets; buckets propose pairs with their smallest member, later rounds pairs between
-the parts of a bucket that are still unconnected, until no bucket proposes a new one.  A
-proposed pair is a link if the Jaccard similarity of the shingle sets, computed from the
-whole texts, is 0.8 or more.  Classes are the connected components.
+into buckets.  Inside a bucket the registers are compared as arrays, and each member
+proposes its closest partners among the members that it is not yet connected with; nothing
+else leaves the bucket.  A proposed pair is a link if the Jaccard similarity of the shingle
+sets, computed from the whole texts, is 0.8 or more.  Classes are the connected components.
+Rounds follow, with more partners each, until no bucket has an untried likely pair between
+unconnected members.  A bucket of more than ``BLOCK`` members is compared block by block,
+each pair of blocks a unit of work.
 
 Equal texts are one class from the start, and only one of them goes further.  Null and
 empty texts, and texts of white space alone, have no shingle: they link only with equal
@@ -31,8 +34,10 @@ from martlet.llm.texts import chunks, mix, word_hashes, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-REGISTERS, BAND = 96, 4  # a pair at 0.8 shares one of the 24 bands with probability 0.999997
-LEAST_AGREEING = 0.55  # of registers, six standard deviations below 0.8: spares reading texts of other pairs
+REGISTERS, BAND = 125, 5  # a pair at 0.8 shares one of the 25 bands with probability 0.99995
+FIRST_BANDS = 5  # the first round looks into these only: they connect most of what belongs together
+LEAST_AGREEING = 0.62  # of registers, five standard deviations below 0.8: spares reading texts of other pairs
+BLOCK = 2000
 
 
 def row_id(key: str = "doc_id", text: str = "text") -> Column:
@@ -107,12 +112,62 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "n", "marks", "bands"])
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """u, v and their register bytes in; the pairs that agree in enough registers out."""
-    for b in batches:
-        m = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in (2, 3)]
-        keep = (m[0] == m[1]).mean(1) >= LEAST_AGREEING
-        yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(keep)) for c in (0, 1)], ["u", "v"])
+def _closest(n: np.ndarray, marks: np.ndarray, part: np.ndarray, sub: np.ndarray | None, first: int, partners: int):
+    """Index pairs: each member with its closest ``partners`` likely partners in other parts."""
+    found = []
+    for k in range(0, len(n), 64):
+        rows = np.arange(k, min(k + 64, len(n)))
+        agree = (marks[rows, None, :] == marks[None, :, :]).sum(2, dtype=np.int32)
+        ok = (part[rows, None] != part[None, :]) & (agree >= LEAST_AGREEING * REGISTERS)
+        # sets whose sizes differ more cannot be that similar
+        ok &= np.minimum(n[rows, None], n[None, :]) >= SIMILARITY * np.maximum(n[rows, None], n[None, :]) - 1e-9
+        if sub is not None:
+            ok &= (sub[rows, None] == first) != (sub[None, :] == first)
+        agree[~ok] = -1
+        best = np.argsort(-agree, axis=1, kind="stable")[:, :partners]
+        hit = np.take_along_axis(agree, best, 1) >= 0
+        found.append((np.repeat(rows, hit.sum(1)), best[hit]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _propose(partners: int):
+    """Sorted rows (band, a, b, sub, id, part, n, marks) in; proposed pairs u > v out."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(kept).combine_chunks()
+            band, a, b, sub, ids, part, n = (t.column(c).to_numpy() for c in range(7))
+            if len(ids) < 2:
+                return
+            marks = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(-1, REGISTERS)
+            cuts = np.flatnonzero((np.diff(band) != 0) | (np.diff(a) != 0) | (np.diff(b) != 0)) + 1
+            pairs = []
+            for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
+                if hi - lo > 1:
+                    i, j = _closest(n[lo:hi], marks[lo:hi], part[lo:hi],
+                                    None if a[lo] == b[lo] else sub[lo:hi], int(a[lo]), partners)
+                    x, y = ids[lo:hi][i], ids[lo:hi][j]
+                    pairs.append(np.column_stack((np.maximum(x, y), np.minimum(x, y))))
+            if pairs:
+                out = np.unique(np.concatenate(pairs), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
+
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
+            if kept and tuple(kept[-1].column(c)[-1].as_py() for c in range(3)) != tuple(key[0].tolist()):
+                yield from work(kept)
+                kept = []
+            other = np.flatnonzero((key != key[-1]).any(1))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield from work([*kept, batch.slice(0, cut)])
+                kept = []
+            kept.append(batch.slice(cut))
+        if kept:
+            yield from work(kept)
+    return task
 
 
 def jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -143,18 +198,22 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in (0, 1)], ["u", "v"])
 
 
-def _proposed(stands: DataFrame, component: DataFrame | None) -> DataFrame:
-    """Pairs (u, v), u > v, of one bucket: with its smallest member, or between its unconnected parts."""
+def _proposed(stands: DataFrame, component: DataFrame | None, partners: int) -> DataFrame:
+    """Proposed pairs (u, v) from the buckets that still hold several parts."""
     if component is None:
-        least = stands.groupBy("band").agg(F.min("id").alias("v"))
-        return stands.join(least, "band").filter("id != v").select(F.col("id").alias("u"), "v").distinct()
-    parts = (stands.join(component.withColumnRenamed("node", "id"), "id", "left")
-             .select("band", "id", F.coalesce("component", "id").alias("part")))
-    firsts = parts.groupBy("band", "part").agg(F.min("id").alias("first"))
-    split = firsts.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("band")
-    firsts = firsts.join(split, "band")
-    met = parts.join(firsts.withColumnRenamed("part", "other"), "band").filter("part != other")
-    return met.select(F.greatest("id", "first").alias("u"), F.least("id", "first").alias("v")).distinct()
+        parts = stands.withColumn("part", F.col("id"))
+    else:
+        parts = (stands.join(component.withColumnRenamed("node", "id"), "id", "left")
+                 .withColumn("part", F.coalesce("component", "id")).drop("component"))
+        open_ = (parts.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+                 .filter("lo < hi").select("band"))
+        parts = parts.join(open_, "band")
+    blocks = parts.withColumn("nb", F.ceil(F.col("k") / BLOCK).cast("int"))
+    blocks = blocks.withColumn("sub", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+    work = blocks.select("band", "sub", "id", "part", "n", "marks", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    work = (work.select("band", F.least("sub", "o").alias("a"), F.greatest("sub", "o").alias("b"), "sub", "id", "part",
+                        "n", "marks").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "id"))
+    return work.mapInArrow(_propose(partners), "u long, v long").distinct()
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,34 +224,32 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     texts = signed.groupBy("h1", "h2").agg(F.min("id").alias("text_id"), F.first("n").alias("n"))
     reps = stored(signed.join(texts.select(F.col("text_id").alias("id")).distinct(), "id", "left_semi")
                   .dropDuplicates(["id"]).select("id", "n", "marks", "bands"), "signature-classes")
-    spread = reps.select("id", F.explode("bands").alias("band")).distinct()
-    shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("band")
-    stands = stored(spread.join(shared, "band"), "buckets")
+    spread = reps.select("id", F.posexplode("bands").alias("place", "band"))
+    shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    stands = stored(spread.join(shared, "band").join(reps.select("id", "n", "marks"), "id"), "buckets")
 
     near = None  # texts of the documents in buckets, read once
     links = tried = comp = None
+    partners = 1
     while True:
-        pairs = _proposed(stands, comp)
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        sig = reps.select("id", "n", "marks")
-        pairs = pairs.join(sig.toDF("u", "nu", "mu"), "u").join(sig.toDF("v", "nv", "mv"), "v")
-        # sets whose sizes differ more cannot be that similar
-        pairs = pairs.filter(F.least("nu", "nv") >= SIMILARITY * F.greatest("nu", "nv") - 1e-9)
-        likely = stored(pairs.select("u", "v", "mu", "mv").mapInArrow(_likely, "u long, v long"), "pairs")
-        if not likely.take(1):
+        if tried is None:
+            pairs = _proposed(stands.filter(F.col("place") < FIRST_BANDS), None, partners)
+        else:
+            pairs = _proposed(stands, comp, partners).join(tried, ["u", "v"], "left_anti")
+        likely = stored(pairs, "pairs")
+        if tried is not None and not likely.take(1):
             break
         if near is None:
-            # later rounds only pair documents of these buckets
             members = stands.select("id").distinct()
             near = stored(rows.join(members, "id").dropDuplicates(["id"]), "bucket-texts")
         joined = likely.join(near.toDF("u", "tu"), "u").join(near.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
         found = stored(joined.mapInArrow(_verified, "u long, v long"), "near-links")
-        tried = likely if tried is None else stored(tried.unionByName(likely), "tried")
-        if links is not None and not found.take(1):
-            break
         links = found if links is None else stored(links.unionByName(found), "near-links")
-        comp = components(links)
+        if tried is not None:
+            partners *= 8
+        tried = likely if tried is None else stored(tried.unionByName(likely), "tried")
+        if found.take(1):
+            comp = components(links)
     by_text = texts.select("h1", "h2", "text_id")
     if comp is not None:
         by_text = by_text.join(comp.withColumnRenamed("node", "text_id"), "text_id", "left")
