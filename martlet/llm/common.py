@@ -37,11 +37,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage ends there."""
+    """Write ``df`` to the shared folder and read it back: the lineage ends there.
+
+    The shuffle files behind it are not needed any more; Spark frees them when the JVM
+    collects their handles, which it is asked to do now rather than at some later time.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -35,8 +35,8 @@ from martlet.llm.near_documents import row_id
 from martlet.llm.texts import buffers, chunks, mix, word_hashes, words
 
 HOT = 2000
-STEP = 1 << 20  # windows looked at together
-SHARD_BYTES = 1 << 21
+STEP = 1 << 19  # windows looked at together
+SHARD_BYTES = 1 << 20
 SEEN = 200_000  # segments a task remembers in order not to repeat their bytes
 
 
@@ -145,9 +145,8 @@ def _scan(spec: Windows):
     return task
 
 
-def _digest(*parts: bytes) -> tuple[int, int]:
-    d = xxhash.xxh3_128_digest(b"".join(parts))
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def _digest(*parts: bytes) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(b"".join(parts)), "little", signed=True)
 
 
 def _cut(spec: Windows):
@@ -182,13 +181,14 @@ def _cut(spec: Windows):
                             p = end
                     for lo, nw, key in runs:
                         seg = piece(lo, lo + nw + w - 1)
-                        sid = _digest(key, b"|", nw.to_bytes(4, "little"), seg)
-                        fresh = sid not in seen
+                        # key and sid together name a segment
+                        name = _digest(key), _digest(b"|", nw.to_bytes(4, "little"), seg)
+                        fresh = name not in seen
                         if fresh:
                             if len(seen) >= SEEN:
                                 seen.clear()
-                            seen.add(sid)
-                        out.append((_digest(key)[0], *sid, doc, lo, nw, seg if fresh else None))
+                            seen.add(name)
+                        out.append((*name, doc, lo, nw, seg if fresh else None))
                     if len(out) >= 5000:
                         yield _segment_batch(out)
                         out = []
@@ -197,13 +197,13 @@ def _cut(spec: Windows):
     return task
 
 
-_SEGMENT = "key long, s1 long, s2 long, id long, lo int, nw int, seg binary"
+_SEGMENT = "key long, sid long, id long, lo int, nw int, seg binary"
 
 
 def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
-    cols = [pa.array([x[k] for x in rows], kinds[k]) for k in range(7)]
-    return pa.RecordBatch.from_arrays(cols, ["key", "s1", "s2", "id", "lo", "nw", "seg"])
+    kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary()]
+    cols = [pa.array([x[k] for x in rows], kinds[k]) for k in range(6)]
+    return pa.RecordBatch.from_arrays(cols, ["key", "sid", "id", "lo", "nw", "seg"])
 
 
 #: What a shard's index gets: the segments' bytes, windows, least documents; it returns for
@@ -212,15 +212,15 @@ Index = Callable[[list[bytes], np.ndarray, np.ndarray], list[list[tuple[int, int
 
 
 def _index_shards(index: Index):
-    """Distinct segments sorted by key in; s1, s2, least, n and the runs of repeated windows out."""
+    """Distinct segments sorted by key in; key, sid, least, n and the runs of repeated windows out."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answer(t: pa.Table) -> pa.RecordBatch:
             segs = t.column("seg").to_pylist()
             runs = index(segs, t.column("nw").to_numpy(), t.column("least").to_numpy())
             kind = pa.list_(pa.struct([("a", pa.int32()), ("n", pa.int32())]))
             found = pa.array([[{"a": a, "n": n} for a, n in r] for r in runs], kind)
-            cols = [t.column(c).combine_chunks() for c in ("s1", "s2", "least", "n")]
-            return pa.RecordBatch.from_arrays([*cols, found], ["s1", "s2", "least", "n", "runs"])
+            cols = [t.column(c).combine_chunks() for c in ("key", "sid", "least", "n")]
+            return pa.RecordBatch.from_arrays([*cols, found], ["key", "sid", "least", "n", "runs"])
 
         kept: list[pa.RecordBatch] = []
         size = 0
@@ -274,21 +274,26 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
     places = (scanned.join(reps, "id", "left_semi").dropDuplicates(["id"])
               .select("id", F.explode(F.arrays_zip("g", "lo", "nw", "ao")).alias("a")).select("id", "a.*"))
     more = F.min("id") != F.max("id") if earlier else F.count(F.lit(1)) > 1
-    grams = places.groupBy("g").agg(F.count(F.lit(1)).alias("n"), more.alias("more")).filter("more")
-    flagged = (places.join(grams.select("g", (F.col("n") > hot).alias("hot")), "g")
+    # a table of its own, so that a hot gram can be split where places meet it
+    grams = stored(places.groupBy("g").agg(F.count(F.lit(1)).alias("n"), more.alias("more")).filter("more")
+                   .select("g", (F.col("n") > hot).alias("hot")), "grams")
+    flagged = (places.join(grams, "g")
                .groupBy("id").agg(F.collect_list(F.struct("g", "lo", "nw", "ao", "hot")).alias("at")))
     held = stored(rows.select("id", "text").join(flagged, "id").dropDuplicates(["id"]), "held-texts")
 
     segs = stored(held.select("id", "text", "at").mapInArrow(_cut(spec), _SEGMENT), "segments")
-    distinct = segs.groupBy("key", "s1", "s2").agg(
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.max("seg").alias("seg"), F.first("nw").alias("nw"))
-    answers = (distinct.select("key", "s1", "s2", "least", "n", "nw", "seg").repartition("key")
-               .sortWithinPartitions("key", "s1", "s2")
-               .mapInArrow(_index_shards(index), "s1 long, s2 long, least long, n long, runs array<struct<a:int,n:int>>")
-               .filter((F.col("n") > 1) | (F.size("runs") > 0)))
+    # counts meet before the shuffle; bytes, once per task and segment, go to their key's place once
+    counts = segs.groupBy("key", "sid").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("nw").alias("nw"))
+    both = counts.withColumn("seg", F.lit(None).cast("binary")).unionByName(
+        segs.filter("seg is not null").select("key", "sid", "seg"), allowMissingColumns=True)
+    distinct = both.repartition("key").groupBy("key", "sid").agg(
+        *[F.max(c).alias(c) for c in ("least", "n", "seg", "nw")])
+    answers = stored(distinct.sortWithinPartitions("key", "sid")
+                     .mapInArrow(_index_shards(index), "key long, sid long, least long, n long, runs array<struct<a:int,n:int>>")
+                     .filter((F.col("n") > 1) | (F.size("runs") > 0)), "answers")
     whole = F.col("id") > F.col("least") if earlier else F.col("n") > 1
     runs = F.when(whole, F.array(F.struct(F.lit(0).alias("a"), F.col("nw").alias("n")))).otherwise(F.col("runs"))
-    spans = (segs.select("s1", "s2", "id", "lo", "nw").join(answers, ["s1", "s2"])
+    spans = (segs.select("key", "sid", "id", "lo", "nw").join(answers, ["key", "sid"])
              .select("id", "lo", F.explode(runs).alias("r"))
              .select("id", F.struct((F.col("lo") + F.col("r.a")).alias("a"),
                                     (F.col("lo") + F.col("r.a") + F.col("r.n") + spec.width - 1).alias("b")).alias("s"))

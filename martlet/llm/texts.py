@@ -13,7 +13,7 @@ import pyarrow as pa
 
 from martlet.llm.common import SPACE_CHARS
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[ord(c) for c in SPACE_CHARS]] = True
 _rng = np.random.default_rng(20240817)
