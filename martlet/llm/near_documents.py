@@ -5,13 +5,15 @@ words), weighted 1 + ln(count).  Every element is a Poisson process of that rate
 arrivals fall on random registers; a register keeps the element that arrives first, and a
 document's arrivals stop once none can be first any more.  Two documents agree in a
 register with their probability Jaccard similarity.  Bands of registers deal documents
-into buckets.  Inside a bucket the registers are compared as arrays, and each member
-proposes its closest partners among the members that it is not yet connected with; nothing
-else leaves the bucket.  A proposed pair is a link if the Jaccard similarity of the shingle
-sets, computed from the whole texts, is 0.8 or more.  Classes are the connected components.
-Rounds follow, with more partners each, until no bucket has an untried likely pair between
-unconnected members.  A bucket of more than ``BLOCK`` members is compared block by block,
-each pair of blocks a unit of work.
+into buckets.  Inside a bucket the registers are compared as arrays.  First each member
+of a few bands' buckets proposes its closest partner, and the pairs are verified from their
+texts; that connects most of what belongs together.  Then the buckets that still hold
+unconnected members with enough common registers get the shingle sets of just these, and
+all such pairs are verified inside the bucket, each pair in the first band that it shares.
+Only a spanning forest of the links found leaves the bucket.  A link is a Jaccard similarity
+of the shingle sets of the whole texts of 0.8 or more; classes are the connected components.
+A bucket of more than ``BLOCK`` members is compared block by block, each pair of blocks a
+unit of work.
 
 Equal texts are one class from the start, and only one of them goes further.  Null and
 empty texts, and texts of white space alone, have no shingle: they link only with equal
@@ -36,7 +38,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS, BAND = 125, 5  # a pair at 0.8 shares one of the 25 bands with probability 0.99995
 FIRST_BANDS = 5  # the first round looks into these only: they connect most of what belongs together
-LEAST_AGREEING = 0.62  # of registers, five standard deviations below 0.8: spares reading texts of other pairs
+LEAST_AGREEING = 0.66  # of registers, four standard deviations below 0.8: spares verifying other pairs
 BLOCK = 2000
 
 
@@ -112,62 +114,125 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "n", "marks", "bands"])
 
 
-def _closest(n: np.ndarray, marks: np.ndarray, part: np.ndarray, sub: np.ndarray | None, first: int, partners: int):
-    """Index pairs: each member with its closest ``partners`` likely partners in other parts."""
-    found = []
-    for k in range(0, len(n), 64):
-        rows = np.arange(k, min(k + 64, len(n)))
-        agree = (marks[rows, None, :] == marks[None, :, :]).sum(2, dtype=np.int32)
-        ok = (part[rows, None] != part[None, :]) & (agree >= LEAST_AGREEING * REGISTERS)
-        # sets whose sizes differ more cannot be that similar
-        ok &= np.minimum(n[rows, None], n[None, :]) >= SIMILARITY * np.maximum(n[rows, None], n[None, :]) - 1e-9
-        if sub is not None:
-            ok &= (sub[rows, None] == first) != (sub[None, :] == first)
-        agree[~ok] = -1
-        best = np.argsort(-agree, axis=1, kind="stable")[:, :partners]
-        hit = np.take_along_axis(agree, best, 1) >= 0
-        found.append((np.repeat(rows, hit.sum(1)), best[hit]))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
-def _propose(partners: int):
-    """Sorted rows (band, a, b, sub, id, part, n, marks) in; proposed pairs u > v out."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def work(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            t = pa.Table.from_batches(kept).combine_chunks()
-            band, a, b, sub, ids, part, n = (t.column(c).to_numpy() for c in range(7))
-            if len(ids) < 2:
-                return
-            marks = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(-1, REGISTERS)
-            cuts = np.flatnonzero((np.diff(band) != 0) | (np.diff(a) != 0) | (np.diff(b) != 0)) + 1
-            pairs = []
-            for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
-                if hi - lo > 1:
-                    i, j = _closest(n[lo:hi], marks[lo:hi], part[lo:hi],
-                                    None if a[lo] == b[lo] else sub[lo:hi], int(a[lo]), partners)
-                    x, y = ids[lo:hi][i], ids[lo:hi][j]
-                    pairs.append(np.column_stack((np.maximum(x, y), np.minimum(x, y))))
-            if pairs:
-                out = np.unique(np.concatenate(pairs), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
-
-        kept: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
-            if kept and tuple(kept[-1].column(c)[-1].as_py() for c in range(3)) != tuple(key[0].tolist()):
-                yield from work(kept)
-                kept = []
-            other = np.flatnonzero((key != key[-1]).any(1))
-            cut = int(other[-1]) + 1 if len(other) else 0
-            if cut:
-                yield from work([*kept, batch.slice(0, cut)])
-                kept = []
-            kept.append(batch.slice(cut))
-        if kept:
-            yield from work(kept)
-    return task
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by their first ``keys`` columns."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.column_stack([batch.column(c).to_numpy() for c in range(keys)])
+        if kept and tuple(kept[-1].column(c)[-1].as_py() for c in range(keys)) != tuple(key[0].tolist()):
+            yield pa.Table.from_batches(kept).combine_chunks()
+            kept = []
+        other = np.flatnonzero((key != key[-1]).any(1))
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield pa.Table.from_batches([*kept, batch.slice(0, cut)]).combine_chunks()
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+class _Buckets:
+    """The columns (band, a, b, sub, id, part, n, marks) of a table of whole units of work."""
+
+    def __init__(self, t: pa.Table):
+        self.table = t
+        self.band, self.a, self.b, self.sub, self.ids, self.part, self.n = (t.column(c).to_numpy() for c in range(7))
+        self.marks = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(-1, REGISTERS)
+
+    def units(self) -> Iterator[tuple[int, int]]:
+        change = (np.diff(self.band) != 0) | (np.diff(self.a) != 0) | (np.diff(self.b) != 0)
+        cuts = np.flatnonzero(change) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(self.ids)]):
+            if hi - lo > 1:
+                yield lo, hi
+
+    def agreeing(self, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of rows of a unit: (rows, common registers with each row; -1 where no likely partner)."""
+        n, part, marks, sub = self.n[lo:hi], self.part[lo:hi], self.marks[lo:hi], self.sub[lo:hi] == self.a[lo]
+        for k in range(0, hi - lo, 64):
+            r = np.arange(k, min(k + 64, hi - lo))
+            agree = (marks[r, None, :] == marks[None, :, :]).sum(2, dtype=np.int32)
+            ok = (part[r, None] != part[None, :]) & (agree >= LEAST_AGREEING * REGISTERS)
+            # sets whose sizes differ more cannot be that similar
+            ok &= np.minimum(n[r, None], n[None, :]) >= SIMILARITY * np.maximum(n[r, None], n[None, :]) - 1e-9
+            if self.a[lo] != self.b[lo]:
+                ok &= sub[r, None] != sub[None, :]
+            agree[~ok] = -1
+            yield r, agree
+
+
+def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pair u > v of each member and its closest likely partner."""
+    for t in whole_groups(batches, 3):
+        x, pairs = _Buckets(t), [np.zeros((0, 2), np.int64)]
+        for lo, hi in x.units():
+            for r, agree in x.agreeing(lo, hi):
+                best = agree.argmax(1)
+                hit = agree[np.arange(len(r)), best] >= 0
+                u, v = x.ids[lo:hi][r[hit]], x.ids[lo:hi][best[hit]]
+                pairs.append(np.column_stack((np.maximum(u, v), np.minimum(u, v))))
+        out = np.unique(np.concatenate(pairs), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
+
+
+def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (band, a, b, sub, id, part, n, marks) that have a likely partner in another part."""
+    for t in whole_groups(batches, 3):
+        x = _Buckets(t)
+        keep = np.zeros(len(x.ids), bool)
+        for lo, hi in x.units():
+            for r, agree in x.agreeing(lo, hi):
+                keep[lo + r] |= (agree >= 0).any(1)
+        yield from t.filter(pa.array(keep)).to_batches()
+
+
+def _links_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (band .. marks, bands, values) in; a spanning forest of the verified links of each unit out."""
+    for t in whole_groups(batches, 3):
+        x, out = _Buckets(t), []
+        bands = np.array(t.column(8).to_pylist(), np.int64)
+        sets = [frozenset(np.frombuffer(v, np.uint64).tolist()) for v in t.column(9).to_pylist()]
+        for lo, hi in x.units():
+            root = {p: p for p in set(x.part[lo:hi].tolist())}
+
+            def find(p: int) -> int:
+                while root[p] != p:
+                    root[p] = root[root[p]]
+                    p = root[p]
+                return p
+
+            for r, agree in x.agreeing(lo, hi):
+                i, j = np.nonzero(agree >= 0)
+                i = r[i]
+                i, j = i[i < j], j[i < j]
+                # a pair counts in the first band that it shares
+                i, j = i + lo, j + lo
+                place = (bands[i] == bands[j]).argmax(1)
+                here = bands[i, place] == x.band[lo]
+                for p, q in zip(i[here].tolist(), j[here].tolist()):
+                    a, b = find(x.part[p]), find(x.part[q])
+                    if a == b:
+                        continue
+                    common = len(sets[p] & sets[q])
+                    if common >= SIMILARITY * (len(sets[p]) + len(sets[q]) - common) - 1e-9:
+                        root[a] = b
+                        out.append((int(x.ids[p]), int(x.ids[q])))
+        cols = [pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays(cols, ["u", "v"])
+
+
+def _shingle_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, text in; id and the text's distinct shingle hashes out."""
+    for b in batches:
+        for rows, data, offsets in chunks(b.column(1)):
+            doc, value, _ = shingles(data, offsets)
+            cuts = np.searchsorted(doc, np.arange(len(offsets)))
+            values = [value[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(rows.start, len(values)), pa.array(values, pa.binary())], ["id", "values"])
 
 
 def jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -198,22 +263,25 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in (0, 1)], ["u", "v"])
 
 
-def _proposed(stands: DataFrame, component: DataFrame | None, partners: int) -> DataFrame:
-    """Proposed pairs (u, v) from the buckets that still hold several parts."""
-    if component is None:
-        parts = stands.withColumn("part", F.col("id"))
-    else:
-        parts = (stands.join(component.withColumnRenamed("node", "id"), "id", "left")
-                 .withColumn("part", F.coalesce("component", "id")).drop("component"))
-        open_ = (parts.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-                 .filter("lo < hi").select("band"))
-        parts = parts.join(open_, "band")
-    blocks = parts.withColumn("nb", F.ceil(F.col("k") / BLOCK).cast("int"))
+_UNIT = "band long, a int, b int, sub int, id long, part long, n long, marks binary"
+
+
+def _units(stands: DataFrame) -> DataFrame:
+    """Rows of the units of work, together and sorted; ``stands`` has band, k, id, part, n, marks."""
+    blocks = stands.withColumn("nb", F.ceil(F.col("k") / BLOCK).cast("int"))
     blocks = blocks.withColumn("sub", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    work = blocks.select("band", "sub", "id", "part", "n", "marks", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
-    work = (work.select("band", F.least("sub", "o").alias("a"), F.greatest("sub", "o").alias("b"), "sub", "id", "part",
+    rows = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o"))
+    return (rows.select("band", F.least("sub", "o").alias("a"), F.greatest("sub", "o").alias("b"), "sub", "id", "part",
                         "n", "marks").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "id"))
-    return work.mapInArrow(_propose(partners), "u long, v long").distinct()
+
+
+def _with_parts(stands: DataFrame, component: DataFrame) -> DataFrame:
+    """The buckets that still hold several parts."""
+    parts = (stands.join(component.withColumnRenamed("node", "id"), "id", "left")
+             .withColumn("part", F.coalesce("component", "id")).drop("component"))
+    several = (parts.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+               .filter("lo < hi").select("band"))
+    return parts.join(several, "band")
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,35 +294,24 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                   .dropDuplicates(["id"]).select("id", "n", "marks", "bands"), "signature-classes")
     spread = reps.select("id", F.posexplode("bands").alias("place", "band"))
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    stands = stored(spread.join(shared, "band").join(reps.select("id", "n", "marks"), "id"), "buckets")
-
-    near = None  # texts of the documents in buckets, read once
-    links = tried = comp = None
-    partners = 1
-    while True:
-        if tried is None:
-            pairs = _proposed(stands.filter(F.col("place") < FIRST_BANDS), None, partners)
-        else:
-            pairs = _proposed(stands, comp, partners).join(tried, ["u", "v"], "left_anti")
-        likely = stored(pairs, "pairs")
-        if tried is not None and not likely.take(1):
-            break
-        if near is None:
-            members = stands.select("id").distinct()
-            near = stored(rows.join(members, "id").dropDuplicates(["id"]), "bucket-texts")
-        joined = likely.join(near.toDF("u", "tu"), "u").join(near.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
-        found = stored(joined.mapInArrow(_verified, "u long, v long"), "near-links")
-        links = found if links is None else stored(links.unionByName(found), "near-links")
-        if tried is not None:
-            partners *= 8
-        tried = likely if tried is None else stored(tried.unionByName(likely), "tried")
-        if found.take(1):
-            comp = components(links)
+    stands = stored(spread.join(shared, "band"), "buckets")
+    marks = reps.select("id", "n", "marks")
+
+    # texts of the documents in buckets, read once
+    near = stored(rows.join(stands.select("id").distinct(), "id").dropDuplicates(["id"]), "bucket-texts")
+    first = _units(stands.filter(F.col("place") < FIRST_BANDS).withColumn("part", F.col("id")).join(marks, "id"))
+    pairs = first.mapInArrow(_closest, "u long, v long").distinct()
+    joined = pairs.join(near.toDF("u", "tu"), "u").join(near.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
+    links = stored(joined.mapInArrow(_verified, "u long, v long"), "near-links")
+    likely = stored(_units(_with_parts(stands, components(links)).join(marks, "id")).mapInArrow(_open_members, _UNIT), "open-members")
+    sets = (near.join(likely.select("id").distinct(), "id").select("id", "text")
+            .mapInArrow(_shingle_values, "id long, values binary"))
+    unit = likely.join(reps.select("id", "bands"), "id").join(sets, "id")
+    unit = (unit.select("band", "a", "b", "sub", "id", "part", "n", "marks", "bands", "values")
+            .repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "id"))
+    comp = components(links.unionByName(unit.mapInArrow(_links_inside, "u long, v long")))
     by_text = texts.select("h1", "h2", "text_id")
-    if comp is not None:
-        by_text = by_text.join(comp.withColumnRenamed("node", "text_id"), "text_id", "left")
-    else:
-        by_text = by_text.withColumn("component", F.lit(None).cast("long"))
+    by_text = by_text.join(comp.withColumnRenamed("node", "text_id"), "text_id", "left")
     return signed.select("id", "h1", "h2").join(by_text, ["h1", "h2"]).select(
         "id", "text_id", F.coalesce("component", "text_id").alias("class_id"))
 
