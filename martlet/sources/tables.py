@@ -27,6 +27,11 @@ def layer_of(name: str) -> str:
     return "gold" if name.startswith("fact_") else "silver"
 
 
+def _by_partition(df: DataFrame, partition_by: str | None) -> DataFrame:
+    """Rows of a partition together, so that each gets few files; Spark splits large ones."""
+    return df.hint("rebalance", partition_by) if partition_by else df
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -80,7 +85,7 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Full refresh (``materialized='table'``): one write, then the switch."""
-        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        w = _by_partition(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(self.path(name) + NEXT)
@@ -116,7 +121,7 @@ class TableStore:
     def replace_partitions(self, name: str, rows: DataFrame, partition_by: str, values: list) -> None:
         """Write ``rows`` over the partitions ``values``; one without rows goes."""
         present = {r[0] for r in rows.select(partition_by).distinct().collect()}
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (_by_partition(rows, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_by).parquet(self.path(name)))
         for v in values:
             if v not in present:

@@ -8,23 +8,36 @@ import pytest
 from pyspark.sql import functions as F
 
 from martlet.plans import refresh
-from martlet.plans.catalog import for_compare, mart
+from martlet.plans.catalog import for_compare
 from martlet.plans.mart import Mart
 from martlet.sources import bronze, fixtures
 from martlet.streaming import landing
 
 from conftest import SF001
 
-FIRST_END = "1999-12-31"
-AS_OF_FIRST = dt.date(2000, 1, 1)
+SINCE = "2001-06-04"  # the refresh tests take the last weeks only: every order date is a folder per table
+FIRST_END = "2001-07-05"
+AS_OF_FIRST = dt.date(2001, 7, 6)
 AS_OF_WEEK = dt.date(2001, 8, 2)
 
 
+def recent(spark, until=None):
+    raw = fixtures.from_driver_tables(spark, SF001, until=until)
+    since = F.col("dt") >= F.lit(SINCE).cast("date")
+    return fixtures.RawSources(sales_orders=raw.sales_orders.where(since), sales_items=raw.sales_items.where(since),
+                               products=raw.products, categories=raw.categories, channels=raw.channels,
+                               statuses=raw.statuses)
+
+
+def whole(spark):
+    """The mart over all recent inputs, built at once."""
+    return Mart(recent(spark))
+
+
 def _land(spark, root, sf_dir=SF001):
     """Test helper (sf0.001 only): nest the fixture's lines back into order records, as the
     extraction lands them, and write them with header rows.  The library never nests lines."""
-    orders = fixtures.raw_sales_orders(spark, sf_dir)
-    lines = fixtures.raw_sales_items(spark, sf_dir)
+    orders, lines = recent(spark).sales_orders, recent(spark).sales_items
     per_order = lines.groupBy(F.col("data.id").alias("_id")).agg(F.collect_list("item").alias("itens"))
     nested = (orders.join(per_order, orders["data.id"] == per_order["_id"], "left")
               .select(F.col("data").withField("itens", F.col("itens")).alias("data"), "dt"))
@@ -65,7 +78,7 @@ def test_json_landing_round_trip(spark, landed):
     audit = bronze.run_audit(raw)
     assert audit.where(~F.col("count_matches")).count() == 0
     m_json = Mart(bronze.read_sources(spark, landed))
-    m_fix = mart(spark, SF001)
+    m_fix = whole(spark)
     for attr in ("fact_orders", "fact_channel_performance", "fact_component_demand", "silver_order_items"):
         _same(getattr(m_json, attr), getattr(m_fix, attr))
 
@@ -74,18 +87,18 @@ def test_streaming_ingest_matches_batch(spark, landed, tmp_dir):
     q = landing.ingest_sales(spark, landed, f"{tmp_dir}/bronze", f"{tmp_dir}/chk")
     q.awaitTermination(300)
     m_stream = Mart(landing.sources_from_bronze(spark, f"{tmp_dir}/bronze", landed))
-    _same(m_stream.fact_orders, mart(spark, SF001).fact_orders)
+    _same(m_stream.fact_orders, whole(spark).fact_orders)
     # a second run finds no new files and writes nothing new
     q2 = landing.ingest_sales(spark, landed, f"{tmp_dir}/bronze", f"{tmp_dir}/chk")
     q2.awaitTermination(300)
-    assert spark.read.parquet(f"{tmp_dir}/bronze/sales_orders").count() == 1500
+    assert spark.read.parquet(f"{tmp_dir}/bronze/sales_orders").count() == recent(spark).sales_orders.count()
 
 
 def test_first_load_then_weekly_equals_full_build(spark, tmp_dir):
-    first = fixtures.from_driver_tables(spark, SF001, until=FIRST_END)
+    first = recent(spark, FIRST_END)
     refresh.refresh_full(spark, f"{tmp_dir}/mart", first, AS_OF_FIRST)
-    store = refresh.refresh_weekly(spark, f"{tmp_dir}/mart", fixtures.from_driver_tables(spark, SF001), AS_OF_WEEK)
-    full = mart(spark, SF001)
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/mart", recent(spark), AS_OF_WEEK)
+    full = whole(spark)
     _same(store.read("fact_orders"), full.fact_orders)
     _same(store.read("fact_order_channel_performance"), full.fact_channel_performance)
     _same(store.read("fact_order_items_stock"), full.fact_component_demand)
@@ -100,15 +113,15 @@ def test_first_load_then_weekly_equals_full_build(spark, tmp_dir):
     # a second weekly run with the same data changes nothing (null-safe keys)
     assert spark.table("stg_orders").columns[0] == "order_id"  # staging models are views
     n = store.read("fact_order_channel_performance").count()
-    store = refresh.refresh_weekly(spark, f"{tmp_dir}/mart", fixtures.from_driver_tables(spark, SF001), AS_OF_WEEK)
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/mart", recent(spark), AS_OF_WEEK)
     assert store.read("fact_order_channel_performance").count() == n
 
 
 def test_weekly_gold_limited_to_touched_dates_equals_full_recompute(spark, tmp_dir):
-    first = fixtures.from_driver_tables(spark, SF001, until=FIRST_END)
+    first = recent(spark, FIRST_END)
     refresh.refresh_full(spark, f"{tmp_dir}/a", first, AS_OF_FIRST)
     refresh.refresh_full(spark, f"{tmp_dir}/b", first, AS_OF_FIRST)
-    full = fixtures.from_driver_tables(spark, SF001)
+    full = recent(spark)
     a = refresh.refresh_weekly(spark, f"{tmp_dir}/a", full, AS_OF_WEEK, gold_scope="all")
     b = refresh.refresh_weekly(spark, f"{tmp_dir}/b", full, AS_OF_WEEK, gold_scope="touched")
     for t in refresh.GOLD:
@@ -116,16 +129,16 @@ def test_weekly_gold_limited_to_touched_dates_equals_full_recompute(spark, tmp_d
 
 
 def test_missing_gold_table_is_built_in_full(spark, tmp_dir):
-    first = fixtures.from_driver_tables(spark, SF001, until=FIRST_END)
+    first = recent(spark, FIRST_END)
     store = refresh.refresh_full(spark, f"{tmp_dir}/m", first, AS_OF_FIRST)
     store._delete(store.path("fact_orders"))
-    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", fixtures.from_driver_tables(spark, SF001), AS_OF_WEEK)
-    _same(store.read("fact_orders"), mart(spark, SF001).fact_orders)
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", recent(spark), AS_OF_WEEK)
+    _same(store.read("fact_orders"), whole(spark).fact_orders)
 
 
 def test_weekly_run_leaves_other_dates_alone(spark, tmp_dir):
     import os
-    full = fixtures.from_driver_tables(spark, SF001)
+    full = recent(spark)
     store = refresh.refresh_full(spark, f"{tmp_dir}/m", full, AS_OF_FIRST)
 
     def files():
@@ -136,15 +149,15 @@ def test_weekly_run_leaves_other_dates_alone(spark, tmp_dir):
                     out[name, d] = sorted(os.listdir(f"{store.path(name)}/{d}"))
         return out
     before = files()
-    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", full, dt.date(2001, 7, 1))
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", full, AS_OF_WEEK)
     changed = {d for (name, d), f in files().items() if before.get((name, d)) != f}
-    assert changed and min(changed) > "order_date=2001-06-20"
+    assert changed and min(changed) > "order_date=2001-07-20"
 
 
 def test_cancelled_orders_leave_the_mart(spark, tmp_dir):
-    raw = fixtures.from_driver_tables(spark, SF001)
+    raw = recent(spark)
     refresh.refresh_full(spark, f"{tmp_dir}/m", raw, AS_OF_FIRST)
-    some = mart(spark, SF001).silver_orders.where("order_date > '2001-07-20'").orderBy("order_id").limit(3)
+    some = whole(spark).silver_orders.where("order_date > '2001-07-20'").orderBy("order_id").limit(3)
     ids = [r.order_id for r in some.collect()]
     assert ids
     cancelled = F.when(F.col("data.id").isin(ids), F.lit(3)).otherwise(F.col("data.situacao.id")).cast("bigint")
@@ -152,7 +165,7 @@ def test_cancelled_orders_leave_the_mart(spark, tmp_dir):
     again = fixtures.RawSources(sales_orders=raw.sales_orders.withColumn("data", data),
                                 sales_items=raw.sales_items.withColumn("data", data), products=raw.products,
                                 categories=raw.categories, channels=raw.channels, statuses=raw.statuses)
-    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", again, dt.date(2001, 7, 15), delete_cancelled=True)
+    store = refresh.refresh_weekly(spark, f"{tmp_dir}/m", again, dt.date(2001, 7, 28), delete_cancelled=True)
     for name in ("silver_orders_details", "silver_order_items_details", "fact_order_items_details", "fact_orders"):
         assert store.read(name).where(F.col("order_id").isin(ids)).count() == 0
     _same(store.read("fact_order_channel_performance"), Mart(again).fact_channel_performance)
@@ -166,10 +179,10 @@ def test_command_line_full_weekly_and_back_fill(spark, landed, tmp_dir, capsys):
 
     m = f"{tmp_dir}/m"
     assert main(["full", "--landing", landed, "--mart", m, "--as-of", "2001-08-02"]) == 0
-    _same(TableStore(spark, m).read("fact_orders"), mart(spark, SF001).fact_orders)
+    _same(TableStore(spark, m).read("fact_orders"), whole(spark).fact_orders)
     written = {d: os.stat(f"{m}/bronze/sales/{d}").st_mtime_ns for d in os.listdir(f"{m}/bronze/sales") if "=" in d}
     assert main(["weekly", "--landing", landed, "--mart", m, "--start", "2001-07-01", "--end", "2001-07-31"]) == 0
     again = {d for d in written if os.stat(f"{m}/bronze/sales/{d}").st_mtime_ns != written[d]}
     assert again == {d for d in written if "dt=2001-07-01" <= d <= "dt=2001-07-31"}  # only its folders are read
-    _same(TableStore(spark, m).read("fact_orders"), mart(spark, SF001).fact_orders)
+    _same(TableStore(spark, m).read("fact_orders"), whole(spark).fact_orders)
     assert main(["weekly", "--landing", landed, "--mart", m, "--as-of", "2001-08-02"]) == 0
