@@ -36,7 +36,7 @@ from martlet.llm.texts import buffers, chunks, mix, word_hashes, words
 
 HOT = 2000
 STEP = 1 << 19  # windows looked at together
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 21
 SEEN = 200_000  # segments a task remembers in order not to repeat their bytes
 
 
@@ -72,7 +72,7 @@ class Windows:
         return None, None, offsets, h
 
 
-BYTES_200 = Windows(False, 200, 16, 4)
+BYTES_200 = Windows(False, 200, 48, 4)
 WORDS_50 = Windows(True, 50, 8, 1)
 
 
@@ -215,8 +215,16 @@ def _index_shards(index: Index):
     """Distinct segments sorted by key in; key, sid, least, n and the runs of repeated windows out."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answer(t: pa.Table) -> pa.RecordBatch:
-            segs = t.column("seg").to_pylist()
-            runs = index(segs, t.column("nw").to_numpy(), t.column("least").to_numpy())
+            # the windows of one segment differ from each other (their anchor lies at other places in
+            # them), so a key with one kind of segment needs no search: its count tells
+            _, kind_of, kinds = np.unique(t.column("key").to_numpy(), return_inverse=True, return_counts=True)
+            several = np.flatnonzero(kinds[kind_of] > 1)
+            runs: list = [[] for _ in range(t.num_rows)]
+            if len(several):
+                found = t.take(pa.array(several))
+                for i, r in zip(several.tolist(), index(found.column("seg").to_pylist(), found.column("nw").to_numpy(),
+                                                        found.column("least").to_numpy())):
+                    runs[i] = r
             kind = pa.list_(pa.struct([("a", pa.int32()), ("n", pa.int32())]))
             found = pa.array([[{"a": a, "n": n} for a, n in r] for r in runs], kind)
             cols = [t.column(c).combine_chunks() for c in ("key", "sid", "least", "n")]
