@@ -161,8 +161,12 @@ def _cut(spec: Windows):
                 raw = (b.column(1)[i].as_py() or "").encode()
                 data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
                 if spec.by_words:
+                    # words alone name a segment, whatever white space stands between them
                     starts, ends, _ = words(data, offsets)
-                    piece = lambda x, y: raw[starts[x]:ends[y - 1]]
+                    joined = kept_words(raw, starts, ends)
+                    stops = np.cumsum(ends - starts + 1) - 1
+                    begins = stops - (ends - starts)
+                    piece = lambda x, y: joined[begins[x]:stops[y - 1]]
                 else:
                     piece = lambda x, y: raw[x:y]
                 doc = b.column(0)[i].as_py()

@@ -2,13 +2,14 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import pytest
 
-from conftest import corpus
+from conftest import corpus, sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,6 +75,26 @@ def test_substring_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
     assert counted(got) == counted(want)
 
 
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_substring_dedup_compares_words_whatever_the_white_space(spark, hot, monkeypatch):
+    from martlet.llm import repeats, substring_dedup
+
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", hot))
+    rng = random.Random(12)
+    passage = sentence(rng, 70).split()
+    rows = []
+    for i in range(8):  # every copy is wrapped differently
+        wrapped = "".join(w + rng.choice([" ", "\n", "\t", "  ", "\r\n"]) for w in passage)
+        rows.append((i, f"{sentence(rng, 12)} {wrapped}{sentence(rng, 9)}"))
+    monkeypatch.setattr(substring_dedup, "read_table",
+                        lambda *a: spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.op5_substring_dedup(spark, "").collect()}
+    for i, text in rows:
+        w = WORD.findall(text)
+        kept = w if i == 0 else w[:12] + w[-9:]
+        assert got[i] == (91, 91 - len(kept), sha(" ".join(kept).encode()))
+
+
 def test_byte_bpe_matches_the_library(spark, docs, monkeypatch):
     import public_tokenizers as P
     import tiktoken
