@@ -1,11 +1,12 @@
 """Operator 4: near-duplicate documents by ProbMinHash, bands and exact verification.
 
 A document's elements are its distinct five-word shingles (the whole text if it has fewer
-words), weighted 1 + ln(count).  Every element is a Poisson process of that rate whose
-arrivals fall on random registers; a register keeps the element that arrives first, and a
+words), all of weight 1.  Every element is a Poisson process of that rate whose arrivals
+fall on random registers; a register keeps the element that arrives first, and a
 document's arrivals stop once none can be first any more.  Two documents agree in a
-register with their probability Jaccard similarity.  Bands of registers deal documents
-into buckets.  Inside a bucket the registers are compared as arrays.  First each member
+register with their probability Jaccard similarity, which with equal weights is the Jaccard
+similarity of the sets, the same that decides a link; counts would part the two.  Bands of
+registers deal documents into buckets.  Inside a bucket the registers are compared as arrays.  First each member
 of a few bands' buckets proposes its closest partner, and the pairs are verified from their
 texts; that connects most of what belongs together.  Then the buckets that still hold
 unconnected members with enough common registers get the shingle sets of just these, and
@@ -38,7 +39,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS, BAND = 125, 5  # a pair at 0.8 shares one of the 25 bands with probability 0.99995
 FIRST_BANDS = 5  # the first round looks into these only: they connect most of what belongs together
-LEAST_AGREEING = 0.66  # of registers, four standard deviations below 0.8: spares verifying other pairs
+LEAST_AGREEING = 0.62  # of registers, five standard deviations below 0.8: spares verifying other pairs
 BLOCK = 2000
 
 
@@ -97,9 +98,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for rows, data, offsets in chunks(b.column(1)):
             docs = len(offsets) - 1
-            doc, value, count = shingles(data, offsets)
+            doc, value, _ = shingles(data, offsets)
             n = np.bincount(doc, minlength=docs)
-            first = prob_minhash(doc, value, 1 + np.log(count), docs)
+            first = prob_minhash(doc, value, np.ones(len(value)), docs)
             marks = (mix(first) & np.uint64(255)).astype(np.uint8)
             bands = np.empty((docs, REGISTERS // BAND), np.uint64)
             for k in range(bands.shape[1]):

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import corpus
@@ -109,6 +110,22 @@ def test_near_documents_chain_links(spark):
     assert got == brute_classes(rows)
 
 
+def test_near_documents_with_repeated_passages(spark):
+    """Repeats of a passage change no set of shingles; the registers must not see them either."""
+    from martlet.llm.near_documents import LEAST_AGREEING, REGISTERS, _signatures, classify
+
+    rng = random.Random(21)
+    rows = []
+    for i in range(40):
+        x, y = ([f"w{rng.randrange(10**6)}" for _ in range(50)] for _ in range(2))
+        rows += [(2 * i, " ".join(x + y)), (2 * i + 1, " ".join(x + y * 100))]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([t for _, t in rows])], ["id", "text"])
+    marks = np.array([np.frombuffer(m, np.uint8) for s in _signatures(iter([batch])) for m in s.column(2).to_pylist()])
+    assert ((marks[::2] == marks[1::2]).sum(1) > LEAST_AGREEING * REGISTERS).all()
+    got = {r.id: r.class_id for r in classify(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows) == {k: k // 2 * 2 for k, _ in rows}
+
+
 def brute_links(rows):
     ok = [(k, v) for k, v in rows if k is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     n, parent = collections.Counter(), {k: k for k, _ in ok}
