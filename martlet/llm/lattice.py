@@ -41,10 +41,10 @@ def nearest(x: np.ndarray) -> np.ndarray:
     return np.where(closer[:, None], a, b)
 
 
-def cell_keys(points: np.ndarray, table: int) -> np.ndarray:
-    """A 64-bit key of each row of lattice points (n, 8 * blocks) in a table."""
+def cell_keys(points: np.ndarray, table: int, dims: int) -> np.ndarray:
+    """A 64-bit key of each row of lattice points (n, 8 * blocks) in a table of vectors of a length."""
     twice = np.rint(2 * points).astype(np.int64).view(np.uint64)
-    h = np.full(len(points), np.uint64(table + 1))
+    h = mix(np.full(len(points), np.uint64(dims))) + np.uint64(table + 1)
     for c in range(points.shape[1]):
         h = mix(h ^ mix(twice[:, c] + np.uint64(c + 1)))
     return h.view(np.int64)
@@ -55,7 +55,7 @@ class Tables:
 
     def __init__(self, dims: int, tables: int, blocks: int, scale: float, probes: int, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.blocks, self.probes, self.scale = blocks, probes, scale
+        self.dims, self.blocks, self.probes, self.scale = dims, blocks, probes, scale
         self.projections, self.shifts = [], []
         for _ in range(tables):
             width = 8 * blocks
@@ -72,7 +72,7 @@ class Tables:
         for t, (p, shift) in enumerate(zip(self.projections, self.shifts)):
             y = (units @ p) * self.scale + shift
             home = np.concatenate([nearest(y[:, 8 * b:8 * b + 8]) for b in range(self.blocks)], 1)
-            out[:, t, 0] = cell_keys(home, t)
+            out[:, t, 0] = cell_keys(home, t, self.dims)
             # gain of each step in each block: how much closer the neighbouring point is than others
             gain = np.concatenate([(y[:, 8 * b:8 * b + 8] - home[:, 8 * b:8 * b + 8]) @ STEPS.T
                                    for b in range(self.blocks)], 1)
@@ -82,5 +82,5 @@ class Tables:
                 block, step = np.divmod(best[:, k], len(STEPS))
                 cols = 8 * block[:, None] + np.arange(8)
                 near[np.arange(n)[:, None], cols] += STEPS[step]
-                out[:, t, 1 + k] = cell_keys(near, t)
+                out[:, t, 1 + k] = cell_keys(near, t, self.dims)
         return out

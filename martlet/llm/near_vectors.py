@@ -10,7 +10,7 @@ its links, from which the components follow.
 
 Equal vectors are one class with a count.  A cell with more than ``BLOCK`` classes is cut
 into blocks and every pair of blocks is a unit of work, so that no task holds a whole hot
-cell.  Vectors of different lengths never link.  A vector that is null, zero or holds a
+cell.  Vectors of different lengths share no cell and never link.  A vector that is null, zero or holds a
 null or non-finite component links with nothing, and neither does a row without vec_id.
 The number of lattice blocks in a key follows the number of classes, so that cells stay
 small; with more blocks there are more tables and probes (see :func:`hashing`).
@@ -148,13 +148,15 @@ def _links_in_cells(tables: int):
             cuts = np.flatnonzero((np.diff(cell) != 0) | (np.diff(a) != 0) | (np.diff(b) != 0)) + 1
             out: list[tuple] = []
             for lo, hi in zip([0, *cuts], [*cuts, n]):
-                if hi - lo < 2 or dims[lo:hi].min() != dims[lo:hi].max():
-                    continue  # keys of different lengths are equal only by chance
-                units = _units(flat[off[lo]:off[hi]].reshape(hi - lo, -1))
-                got = _compare(int(cell[lo]), a[lo] == b[lo], sub[lo:hi], int(a[lo]), ids[lo:hi], copies[lo:hi],
-                               keys[lo:hi], units, tables)
-                if got is not None:
-                    out.append(got)
+                for d in np.unique(dims[lo:hi]):  # one, as keys hold the length, but for a chance equality
+                    r = lo + np.flatnonzero(dims[lo:hi] == d)
+                    if len(r) < 2:
+                        continue
+                    units = _units(flat[off[r][:, None] + np.arange(d)])
+                    got = _compare(int(cell[lo]), a[lo] == b[lo], sub[r], int(a[lo]), ids[r], copies[r], keys[r],
+                                   units, tables)
+                    if got is not None:
+                        out.append(got)
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([x[k] for x in out])) for k in range(3)], ["id", "links", "root"])

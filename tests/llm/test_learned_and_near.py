@@ -177,6 +177,31 @@ def test_vector_links_match_brute_force(spark, shape, block):
     assert link_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_two_lengths_match_brute_force(spark):
+    """Half 64, half 32 components: no length takes another's links."""
+    from martlet.llm.near_vectors import link_vectors
+
+    rng = np.random.default_rng(11)
+    rows = []
+    for d in (64, 32):
+        for c in rng.standard_normal((40, d)):
+            rows += [(len(rows) + k, [float(np.float32(a)) for a in c + rng.standard_normal(d) * 0.05]) for k in range(8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in link_vectors(df).collect()}
+    assert got == brute_links(rows)
+
+
+def test_cells_of_two_lengths_differ():
+    from martlet.llm.lattice import Tables
+
+    rng = np.random.default_rng(3)
+    cells = []
+    for d in (64, 63, 32):
+        x = rng.standard_normal((5000, d))
+        cells.append(np.unique(Tables(d, 4, 1, 5.0, 2).keys(x / np.linalg.norm(x, axis=1, keepdims=True))))
+    assert len(np.unique(np.concatenate(cells))) == sum(map(len, cells))
+
+
 def test_pipeline_stages(spark, tmp_dir):
     import corpus_pipeline as cp
 
