@@ -19,7 +19,10 @@ unit of work.
 Equal texts are one class from the start, and only one of them goes further.  Null and
 empty texts, and texts of white space alone, have no shingle: they link only with equal
 texts.  A row without doc_id gets an id from its text's hash, larger than 2**62, so that it
-is kept only where no row with a doc_id is in its class.  Repeated rows share a class.
+is kept only where no row with a doc_id is in its class.  Repeated rows share a class.  Rows
+that repeat a doc_id with other texts (a page fetched again) are judged by their own text:
+only text_id and class_id are ids, so texts of one doc_id that are not alike show the same
+class_id in different classes, and each of these classes keeps its row.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import read_table, stored, text_or_empty
@@ -49,6 +52,11 @@ def row_id(key: str = "doc_id", text: str = "text") -> Column:
     return F.coalesce(F.col(key).cast("long"), spare)
 
 
+def text_hash(text: str = "text") -> Column:
+    """A 64-bit hash that, with the id, names a text."""
+    return F.xxhash64(F.lit(1), text_or_empty(text))
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, hash, count) of the distinct shingles, in order of document."""
     starts, ends, first = words(data, offsets)
@@ -286,20 +294,29 @@ def _with_parts(stands: DataFrame, component: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """id (see :func:`row_id`), text_id (least id with the same text) and class_id of each row of ``docs``."""
-    rows = docs.select(row_id(key, text).alias("id"), text_or_empty(text).alias("text"))
+    """id (see :func:`row_id`), h1 (hash of the text), text_id (least id with the same text), class_id and kept of each row.
+
+    Kept is the text of a class with the least id, where it stands with that id.
+    """
+    rows = docs.select(row_id(key, text).alias("id"), text_or_empty(text).alias("text"), text_hash(text).alias("h1"))
     signed = stored(
         rows.mapInArrow(_with_hashes, "id long, n long, marks binary, bands array<long>, h1 long, h2 long"), "signatures")
-    texts = signed.groupBy("h1", "h2").agg(F.min("id").alias("text_id"), F.first("n").alias("n"))
-    reps = stored(signed.join(texts.select(F.col("text_id").alias("id")).distinct(), "id", "left_semi")
-                  .dropDuplicates(["id"]).select("id", "n", "marks", "bands"), "signature-classes")
+    texts = signed.groupBy("h1", "h2").agg(F.min("id").alias("text_id"))
+    # a text is a node by its least id; further texts with that least id are nodes below -2**62
+    spare = -F.xxhash64("text_id", "h1", "h2").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    place = F.row_number().over(Window.partitionBy("text_id").orderBy("h1", "h2"))
+    texts = stored(texts.select("*", F.when(place == 1, F.col("text_id")).otherwise(spare).alias("node")), "text-nodes")
+    names = texts.select(F.col("text_id").alias("id"), "h1", "h2", "node")
+    reps = stored(signed.join(names, ["id", "h1", "h2"]).dropDuplicates(["node"])
+                  .select(F.col("node").alias("id"), "n", "marks", "bands"), "signature-classes")
     spread = reps.select("id", F.posexplode("bands").alias("place", "band"))
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     stands = stored(spread.join(shared, "band"), "buckets")
     marks = reps.select("id", "n", "marks")
 
     # texts of the documents in buckets, read once
-    near = stored(rows.join(stands.select("id").distinct(), "id").dropDuplicates(["id"]), "bucket-texts")
+    wanted = names.join(stands.select(F.col("id").alias("node")).distinct(), "node").select("id", "h1", "node")
+    near = stored(rows.join(wanted, ["id", "h1"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"]), "bucket-texts")
     first = _units(stands.filter(F.col("place") < FIRST_BANDS).withColumn("part", F.col("id")).join(marks, "id"))
     pairs = first.mapInArrow(_closest, "u long, v long").distinct()
     joined = pairs.join(near.toDF("u", "tu"), "u").join(near.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
@@ -311,34 +328,37 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     unit = (unit.select("band", "a", "b", "sub", "id", "part", "n", "marks", "bands", "values")
             .repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "id"))
     comp = components(links.unionByName(unit.mapInArrow(_links_inside, "u long, v long")))
-    by_text = texts.select("h1", "h2", "text_id")
-    by_text = by_text.join(comp.withColumnRenamed("node", "text_id"), "text_id", "left")
+    classes = texts.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    best = classes.groupBy("c").agg(F.min(F.struct("text_id", "h1", "h2")).alias("best"))
+    by_text = classes.join(best, "c").select(
+        "h1", "h2", "text_id", F.col("best.text_id").alias("class_id"),
+        (F.struct("text_id", "h1", "h2") == F.col("best")).alias("first"))
     return signed.select("id", "h1", "h2").join(by_text, ["h1", "h2"]).select(
-        "id", "text_id", F.coalesce("component", "text_id").alias("class_id"))
+        "id", "h1", "text_id", "class_id", (F.col("first") & (F.col("id") == F.col("class_id"))).alias("kept"))
 
 
 def _with_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signatures and a 128-bit hash of each text."""
+    """Signatures of id, text, h1 and a second hash of each text."""
     import xxhash
 
     for b in batches:
         at = 0
         for s in _signatures(iter([b])):
-            digests = [xxhash.xxh3_128_digest(t.as_py().encode()) for t in b.column(1).slice(at, s.num_rows)]
-            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*s.columns, pa.array(h[:, 0]), pa.array(h[:, 1])],
-                                             [*s.schema.names, "h1", "h2"])
+            digests = [xxhash.xxh3_64_digest(t.as_py().encode()) for t in b.column(1).slice(at, s.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [*s.columns, b.column(2).slice(at, s.num_rows), pa.array(np.frombuffer(b"".join(digests), np.int64))],
+                [*s.schema.names, "h1", "h2"])
             at += s.num_rows
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose id is the least of its class, one row each; all columns stay."""
-    least = classify(docs).filter("id = class_id").select(F.col("id").alias("_id")).distinct()
-    return (docs.withColumn("_key", row_id()).join(least, F.col("_key") == F.col("_id"))
-            .dropDuplicates(["_key"]).select(*docs.columns))
+    """One row of each class, with the least id; all columns stay."""
+    kept = classify(docs).filter("kept").select(F.col("id").alias("_id"), F.col("h1").alias("_h")).distinct()
+    return (docs.withColumn("_key", row_id()).withColumn("_text", text_hash())
+            .join(kept, (F.col("_key") == F.col("_id")) & (F.col("_text") == F.col("_h")))
+            .dropDuplicates(["_key", "_text"]).select(*docs.columns))
 
 
 def op4_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    out = classify(docs)
-    return out.select(F.col("id").alias("doc_id"), "text_id", "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+    return classify(docs).select(F.col("id").alias("doc_id"), "text_id", "class_id", "kept")

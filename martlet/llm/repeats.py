@@ -7,7 +7,8 @@ can be brought together by the hash of the anchor's gram, and a window whose anc
 stands nowhere else needs no work.  Consecutive windows with the same anchor make one
 segment.  The steps, all Spark jobs:
 
-1. every text gives its anchors (a row of arrays per document); equal texts become one;
+1. every text gives its anchors (a row of arrays per document); equal texts become one,
+   named by its least id and the hash ``h1`` of its text, as a doc_id may stand with several texts;
 2. grams that stand more than once are joined back, and their segments cut from the texts;
 3. equal segments become one with a count and a least document; the distinct segments go
    to shards by key, where the operator's index finds the repeated windows;
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.llm.common import stored, text_or_empty
-from martlet.llm.near_documents import row_id
+from martlet.llm.near_documents import row_id, text_hash
 from martlet.llm.texts import buffers, chunks, mix, word_hashes, words
 
 HOT = 2000
@@ -129,7 +130,7 @@ def _scan(spec: Windows):
                 bounds = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=docs)))).astype(np.int32)
                 raw = data.tobytes()
                 texts = [raw[x:y] for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                ids = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t) for t in texts), np.int64).reshape(-1, 2)
+                h2 = np.frombuffer(b"".join(xxhash.xxh3_64_digest(t) for t in texts), np.int64)
                 if spec.by_words:
                     whole = [hashlib.sha256(kept_words(raw, starts[i:j], ends[i:j])).hexdigest()
                              for i, j in zip(first[:-1], first[1:])]
@@ -139,7 +140,7 @@ def _scan(spec: Windows):
                          for x in (gram.view(np.int64), lo.astype(np.int32), nw.astype(np.int32), ao.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(rows.start, docs), b.column(2).slice(rows.start, docs),
-                     pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(np.diff(first).astype(np.int64)),
+                     b.column(3).slice(rows.start, docs), pa.array(h2), pa.array(np.diff(first).astype(np.int64)),
                      pa.array(whole), *lists],
                     ["id", "doc_id", "h1", "h2", "n_units", "whole", "g", "lo", "nw", "ao"])
     return task
@@ -150,7 +151,7 @@ def _digest(*parts: bytes) -> int:
 
 
 def _cut(spec: Windows):
-    """id, text and its repeated anchors in; a row per segment out, with its bytes once per task."""
+    """id, h1, text and its repeated anchors in; a row per segment out, with its bytes once per task."""
     w, r = spec.width, spec.fine
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +159,7 @@ def _cut(spec: Windows):
         for b in batches:
             out: list[tuple] = []
             for i in range(b.num_rows):
-                raw = (b.column(1)[i].as_py() or "").encode()
+                raw = (b.column(2)[i].as_py() or "").encode()
                 data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
                 if spec.by_words:
                     # words alone name a segment, whatever white space stands between them
@@ -169,8 +170,8 @@ def _cut(spec: Windows):
                     piece = lambda x, y: joined[begins[x]:stops[y - 1]]
                 else:
                     piece = lambda x, y: raw[x:y]
-                doc = b.column(0)[i].as_py()
-                for a in b.column(2)[i].as_py():
+                doc = b.column(0)[i].as_py(), b.column(1)[i].as_py()
+                for a in b.column(3)[i].as_py():
                     g = a["g"].to_bytes(8, "little", signed=True)
                     if not a["hot"]:
                         runs = [(a["lo"], a["nw"], g)]
@@ -192,7 +193,7 @@ def _cut(spec: Windows):
                             if len(seen) >= SEEN:
                                 seen.clear()
                             seen.add(name)
-                        out.append((*name, doc, lo, nw, seg if fresh else None))
+                        out.append((*name, *doc, lo, nw, seg if fresh else None))
                     if len(out) >= 5000:
                         yield _segment_batch(out)
                         out = []
@@ -201,13 +202,13 @@ def _cut(spec: Windows):
     return task
 
 
-_SEGMENT = "key long, sid long, id long, lo int, nw int, seg binary"
+_SEGMENT = "key long, sid long, id long, h1 long, lo int, nw int, seg binary"
 
 
 def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary()]
-    cols = [pa.array([x[k] for x in rows], kinds[k]) for k in range(6)]
-    return pa.RecordBatch.from_arrays(cols, ["key", "sid", "id", "lo", "nw", "seg"])
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
+    cols = [pa.array([x[k] for x in rows], kinds[k]) for k in range(7)]
+    return pa.RecordBatch.from_arrays(cols, ["key", "sid", "id", "h1", "lo", "nw", "seg"])
 
 
 #: What a shard's index gets: the segments' bytes, windows, least documents; it returns for
@@ -272,28 +273,29 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
                    key: str = "doc_id", text: str = "text", hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Two tables: the scanned rows, and the texts that hold repeated windows with their spans.
 
-    Scanned: id, doc_id, n_units, whole (digest of all that is kept if nothing goes), rep,
-    copies, and ``full`` where the whole text is repeated as an equal text.  Texts: id, text,
-    spans (array of from, to in units).  ``earlier``: only windows that also stand in a
+    Scanned: id, h1, doc_id, n_units, whole (digest of all that is kept if nothing goes) and
+    ``full`` where the whole text is repeated as an equal text.  Texts: id, h1, text, spans
+    (array of from, to in units); id and h1 together name a text.  ``earlier``: only windows that also stand in a
     document with a smaller id count; else any other place does.
     """
-    rows = docs.select(row_id(key, text).alias("id"), text_or_empty(text).alias("text"), F.col(key).cast("long").alias("doc_id"))
+    rows = docs.select(row_id(key, text).alias("id"), text_or_empty(text).alias("text"), F.col(key).cast("long").alias("doc_id"),
+                       text_hash(text).alias("h1"))
     scanned = stored(rows.mapInArrow(_scan(spec), (
         "id long, doc_id long, h1 long, h2 long, n_units long, whole string, "
         "g array<long>, lo array<int>, nw array<int>, ao array<int>")), "scanned")
     same = scanned.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    reps = same.select(F.col("rep").alias("id")).distinct()
-    places = (scanned.join(reps, "id", "left_semi").dropDuplicates(["id"])
-              .select("id", F.explode(F.arrays_zip("g", "lo", "nw", "ao")).alias("a")).select("id", "a.*"))
+    reps = same.select(F.col("rep").alias("id"), "h1", "h2")
+    places = (scanned.join(reps, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1"])
+              .select("id", "h1", F.explode(F.arrays_zip("g", "lo", "nw", "ao")).alias("a")).select("id", "h1", "a.*"))
     more = F.min("id") != F.max("id") if earlier else F.count(F.lit(1)) > 1
     # a table of its own, so that a hot gram can be split where places meet it
     grams = stored(places.groupBy("g").agg(F.count(F.lit(1)).alias("n"), more.alias("more")).filter("more")
                    .select("g", (F.col("n") > hot).alias("hot")), "grams")
     flagged = (places.join(grams, "g")
-               .groupBy("id").agg(F.collect_list(F.struct("g", "lo", "nw", "ao", "hot")).alias("at")))
-    held = stored(rows.select("id", "text").join(flagged, "id").dropDuplicates(["id"]), "held-texts")
+               .groupBy("id", "h1").agg(F.collect_list(F.struct("g", "lo", "nw", "ao", "hot")).alias("at")))
+    held = stored(rows.select("id", "h1", "text").join(flagged, ["id", "h1"]).dropDuplicates(["id", "h1"]), "held-texts")
 
-    segs = stored(held.select("id", "text", "at").mapInArrow(_cut(spec), _SEGMENT), "segments")
+    segs = stored(held.select("id", "h1", "text", "at").mapInArrow(_cut(spec), _SEGMENT), "segments")
     # counts meet before the shuffle; bytes, once per task and segment, go to their key's place once
     counts = segs.groupBy("key", "sid").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("nw").alias("nw"))
     both = counts.withColumn("seg", F.lit(None).cast("binary")).unionByName(
@@ -305,14 +307,14 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
                      .filter((F.col("n") > 1) | (F.size("runs") > 0)), "answers")
     whole = F.col("id") > F.col("least") if earlier else F.col("n") > 1
     runs = F.when(whole, F.array(F.struct(F.lit(0).alias("a"), F.col("nw").alias("n")))).otherwise(F.col("runs"))
-    spans = (segs.select("key", "sid", "id", "lo", "nw").join(answers, ["key", "sid"])
-             .select("id", "lo", F.explode(runs).alias("r"))
-             .select("id", F.struct((F.col("lo") + F.col("r.a")).alias("a"),
+    spans = (segs.select("key", "sid", "id", "h1", "lo", "nw").join(answers, ["key", "sid"])
+             .select("id", "h1", "lo", F.explode(runs).alias("r"))
+             .select("id", "h1", F.struct((F.col("lo") + F.col("r.a")).alias("a"),
                                     (F.col("lo") + F.col("r.a") + F.col("r.n") + spec.width - 1).alias("b")).alias("s"))
-             .groupBy("id").agg(F.collect_list("s").alias("spans")))
-    texts = held.select("id", "text").join(spans, "id")
+             .groupBy("id", "h1").agg(F.collect_list("s").alias("spans")))
+    texts = held.select("id", "h1", "text").join(spans, ["id", "h1"])
 
     marked = scanned.select("id", "doc_id", "h1", "h2", "n_units", "whole").join(same, ["h1", "h2"])
     again = F.col("id") > F.col("rep") if earlier else F.col("copies") > 1
     full = again & (F.col("n_units") >= spec.width)
-    return marked.select("id", "doc_id", "n_units", "whole", full.alias("full")), texts
+    return marked.select("id", "h1", "doc_id", "n_units", "whole", full.alias("full")), texts

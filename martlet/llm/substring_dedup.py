@@ -9,7 +9,7 @@ words or longer are reported.
 
 Null and empty texts have no words.  Of equal texts the one with the least doc_id is
 searched, and the others go whole if they have a window.  Rows that repeat a doc_id do not
-count against each other.  Rows without doc_id come after all others.
+count against each other, but each is answered by its own text.  Rows without doc_id come after all others.
 """
 
 from __future__ import annotations
@@ -49,20 +49,20 @@ def earlier_windows(segments: list[bytes], windows: np.ndarray, least: np.ndarra
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, text, spans of words in; id, words removed, the words that stay joined by one space out."""
-    def batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
-        return pa.RecordBatch.from_arrays(cols, ["id", "n_removed", "kept"])
+    """id, h1, text, spans of words in; id, h1, words removed, the words that stay joined by one space out."""
+    def batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+        cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(cols, ["id", "h1", "n_removed", "kept"])
 
     for b in batches:
         out, size = [], 0
         for i in range(b.num_rows):
-            raw = (b.column(1)[i].as_py() or "").encode()
+            raw = (b.column(2)[i].as_py() or "").encode()
             starts, ends, _ = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
             stay = np.ones(len(starts), bool)
-            for s, e in union_of_spans([(x["a"], x["b"]) for x in b.column(2)[i].as_py()]):
+            for s, e in union_of_spans([(x["a"], x["b"]) for x in b.column(3)[i].as_py()]):
                 stay[s:e] = False
-            out.append((b.column(0)[i].as_py(), int((~stay).sum()), kept_words(raw, starts[stay], ends[stay])))
+            out.append((b.column(0)[i].as_py(), b.column(1)[i].as_py(), int((~stay).sum()), kept_words(raw, starts[stay], ends[stay])))
             size += len(raw)
             if size >= CHUNK:
                 yield batch(out)
@@ -72,9 +72,9 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_earlier_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(scanned rows of ``llm.repeats``, id and n_removed and kept bytes of the searched texts that lose words)."""
+    """(scanned rows of ``llm.repeats``, id, h1, n_removed and kept bytes of the searched texts that lose words)."""
     scanned, texts = repeated_spans(docs, WORDS_50, earlier_windows, earlier=True)
-    return scanned, texts.select("id", "text", "spans").mapInArrow(_without, "id long, n_removed long, kept binary")
+    return scanned, texts.select("id", "h1", "text", "spans").mapInArrow(_without, "id long, h1 long, n_removed long, kept binary")
 
 
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -82,8 +82,8 @@ NOTHING = hashlib.sha256(b"").hexdigest()
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned, cut = remove_earlier_windows(read_table(spark, sf_dir, "documents"))
-    cut = cut.select("id", "n_removed", F.sha2("kept", 256).alias("sha"))
-    return scanned.join(cut, "id", "left").select(
+    cut = cut.select("id", "h1", "n_removed", F.sha2("kept", 256).alias("sha"))
+    return scanned.join(cut, ["id", "h1"], "left").select(
         "doc_id", F.col("n_units").alias("n_words"),
         F.when(F.col("full"), F.col("n_units")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("full"), F.lit(NOTHING)).otherwise(F.coalesce("sha", "whole")).alias("kept_sha256"))

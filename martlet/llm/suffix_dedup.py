@@ -7,7 +7,8 @@ common prefixes along; neighbours in the order with a common prefix of 200 bytes
 mark both their places.  Strings are judged on the input, not on what is left.
 
 Null and empty texts have no bytes.  A text that occurs twice as a whole (repeated rows
-included) goes whole if it has 200 bytes.
+included) goes whole if it has 200 bytes.  Rows that repeat a doc_id with other texts are
+texts of their own.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm.common import read_table
-from martlet.llm.repeats import BYTES_200, Windows, repeated_spans, row_id, union_of_spans
+from martlet.llm.repeats import BYTES_200, Windows, repeated_spans, row_id, text_hash, union_of_spans
 from martlet.llm.substring_dedup import runs_of
 from martlet.llm.suffix_sort import sort_suffixes
 from martlet.llm.texts import CHUNK
@@ -52,20 +53,20 @@ def repeated_windows(segments: list[bytes], windows: np.ndarray, least: np.ndarr
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, text, spans of bytes in; id, bytes and runs removed, the bytes that stay out."""
-    def batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    """id, h1, text, spans of bytes in; id, h1, bytes and runs removed, the bytes that stay out."""
+    def batch(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
-                                          ["id", "n_removed", "n_spans", "kept"])
+                                          ["id", "h1", "n_removed", "n_spans", "kept"])
 
     for b in batches:
         out, size = [], 0
         for i in range(b.num_rows):
-            raw = (b.column(1)[i].as_py() or "").encode()
-            spans = union_of_spans([(x["a"], x["b"]) for x in b.column(2)[i].as_py()])
+            raw = (b.column(2)[i].as_py() or "").encode()
+            spans = union_of_spans([(x["a"], x["b"]) for x in b.column(3)[i].as_py()])
             edges = [0, *[e for s in spans for e in s], len(raw)]
             kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2]))
-            out.append((b.column(0)[i].as_py(), len(raw) - len(kept), len(spans), kept))
+            out.append((b.column(0)[i].as_py(), b.column(1)[i].as_py(), len(raw) - len(kept), len(spans), kept))
             size += len(raw)
             if size >= CHUNK:
                 yield batch(out)
@@ -75,17 +76,17 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(scanned rows of ``llm.repeats``; id, n_removed, n_spans and kept bytes of the searched texts that lose bytes)."""
+    """(scanned rows of ``llm.repeats``; id, h1, n_removed, n_spans and kept bytes of the searched texts that lose bytes)."""
     scanned, texts = repeated_spans(docs, BYTES_200, repeated_windows, earlier=False)
-    return scanned, texts.select("id", "text", "spans").mapInArrow(
-        _without, "id long, n_removed long, n_spans long, kept binary")
+    return scanned, texts.select("id", "h1", "text", "spans").mapInArrow(
+        _without, "id long, h1 long, n_removed long, n_spans long, kept binary")
 
 
 def _as_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id and kept bytes in; id and text out, without the bytes of characters cut in part."""
+    """id, h1 and kept bytes in; id, h1 and text out, without the bytes of characters cut in part."""
     for b in batches:
-        kept = [x.as_py().decode("utf-8", "ignore") for x in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string())], ["_id", "_kept"])
+        kept = [x.as_py().decode("utf-8", "ignore") for x in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(kept, pa.string())], ["_id", "_h", "_kept"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -95,10 +96,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     becomes empty if it has 200 bytes.
     """
     scanned, cut = remove_repeats(docs)
-    changed = (cut.select("id", "kept").mapInArrow(_as_text, "_id long, _kept string")
-               .unionByName(scanned.filter("full").select(F.col("id").alias("_id"), F.lit("").alias("_kept")))
-               .groupBy("_id").agg(F.min("_kept").alias("_kept")))
-    out = docs.withColumn("_row", row_id()).join(changed, F.col("_row") == F.col("_id"), "left")
+    changed = (cut.select("id", "h1", "kept").mapInArrow(_as_text, "_id long, _h long, _kept string")
+               .unionByName(scanned.filter("full").select(F.col("id").alias("_id"), F.col("h1").alias("_h"), F.lit("").alias("_kept")))
+               .groupBy("_id", "_h").agg(F.min("_kept").alias("_kept")))
+    out = docs.withColumn("_key", row_id()).withColumn("_text", text_hash()).join(
+        changed, (F.col("_key") == F.col("_id")) & (F.col("_text") == F.col("_h")), "left")
     out = out.withColumn("text", F.coalesce("_kept", "text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.length("text").cast("long"))
@@ -111,9 +113,9 @@ NOTHING = hashlib.sha256(b"").hexdigest()
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned, cut = remove_repeats(read_table(spark, sf_dir, "documents"))
-    cut = cut.select("id", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
+    cut = cut.select("id", "h1", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
     full = F.col("full")
-    return scanned.join(cut, "id", "left").select(
+    return scanned.join(cut, ["id", "h1"], "left").select(
         "doc_id", F.col("n_units").alias("n_bytes"),
         F.when(full, F.col("n_units")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(full, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),

@@ -95,6 +95,55 @@ def test_substring_dedup_compares_words_whatever_the_white_space(spark, hot, mon
         assert got[i] == (91, 91 - len(kept), sha(" ".join(kept).encode()))
 
 
+def test_rows_of_one_id_with_other_texts(spark, monkeypatch):
+    """A page fetched again: each row is judged by its own text."""
+    from martlet.llm import near_documents, substring_dedup, suffix_dedup
+
+    rng = random.Random(31)
+    a, b, c = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, f"{sentence(rng, 10)} {a}"), (5, f"{sentence(rng, 30)} {a} {sentence(rng, 5)}"), (5, f"{b} {sentence(rng, 70)}"),
+            (5, c), (9, f"{sentence(rng, 90)} {b}"), (9, c), (9, c), (12, " ".join(c.split()[:-1]))]
+    # the page again with one word more, and with nothing new around it
+    near = sentence(rng, 80)
+    rows += [(20, near), (20, near + " more"), (20, sentence(rng, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    counts = collections.Counter(t.encode()[i:i + 200] for _, t in rows for i in range(len(t.encode()) - 199))
+    first = {}
+    for k, t in rows:
+        w = WORD.findall(t)
+        for i in range(len(w) - 49):
+            first[tuple(w[i:i + 50])] = min(k, first.get(tuple(w[i:i + 50]), k))
+    want3, want5, texts3 = [], [], []
+    for k, t in rows:
+        x, w = t.encode(), WORD.findall(t)
+        gone = bytearray(len(x))
+        for i in range(len(x) - 199):
+            if counts[x[i:i + 200]] > 1:
+                gone[i:i + 200] = b"\1" * 200
+        kept = bytes(v for v, g in zip(x, gone) if not g)
+        want3.append((k, len(x), sum(gone), sha(kept)))
+        texts3.append((k, kept.decode()))
+        out = [False] * len(w)
+        for i in range(len(w) - 49):
+            if first[tuple(w[i:i + 50])] < k:
+                out[i:i + 50] = [True] * 50
+        want5.append((k, len(w), sum(out), sha(" ".join(v for v, g in zip(w, out) if not g).encode())))
+    for m in (near_documents, substring_dedup, suffix_dedup):
+        monkeypatch.setattr(m, "read_table", lambda *z: docs)
+    got3 = suffix_dedup.op3_suffix_dedup(spark, "").drop("n_spans").collect()
+    assert counted(got3) == counted(want3)
+    assert counted(suffix_dedup.without_repeats(docs).collect()) == counted(texts3)
+    assert counted(substring_dedup.op5_substring_dedup(spark, "").collect()) == counted(want5)
+
+    kept = near_documents.keep_one(docs).collect()
+    lone = [r for i, r in enumerate(rows) if i not in (5, 6, 7, 8, 9)]  # c and near have copies or close texts
+    assert sum(r.text in (near, near + " more") for r in kept) == 1
+    assert counted(r for r in kept if not r.text.startswith(near)) == counted(lone)
+    marks = near_documents.op4_near_documents(spark, "").collect()
+    assert len(marks) == len(rows) and sum(r.kept for r in marks) == len(kept)
+
+
 def test_byte_bpe_matches_the_library(spark, docs, monkeypatch):
     import public_tokenizers as P
     import tiktoken
