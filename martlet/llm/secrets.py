@@ -2,11 +2,14 @@
 
 Strong spans (assignments with a long value, access keys, long hex runs) are reported
 wherever they stand.  Weak parts are spans that mean little alone: an assignment with a
-short value, an account identifier, an endpoint.  An interval join within the scope (one
+short value or to a name that is only like a secret's (secret_access_key, private_key, pwd),
+a bare mixed string of 40 code points or more, user:password in a URL, an account
+identifier, an endpoint.  An interval join within the scope (one
 text) links parts whose starts are at most ``reach`` code points apart: a short secret is
-reported only beside an identifier or access key, an identifier only beside a secret, an
+reported only beside an identifier or access key (the user in a URL is one), an identifier only beside a secret, an
 endpoint only beside both.  The join is a range window over the parts of one text in order
-of place, so no pair of parts is ever written out.
+of place, so no pair of parts is ever written out.  A weak secret inside another reported
+secret is not reported again.
 
 Places are code points, the end excluded.  A null or empty text has no span.  Rows with the
 same doc_id and text are answered alike; a null doc_id is a value like any other.
@@ -43,6 +46,19 @@ KINDS = (
     Kind("hex", r"[0-9a-f]{32,}", 0, 32),
     Kind("", r"""((?i)username|user_?id|login|account|client_?id|access_?key_?id)(?-i)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]+)""",
          2, 0, "identifier", 3),
+    # a secret-like name that goes on after the keyword; "assign" has the names that end with one
+    Kind("", r"""((?i)(?:secret|passwd|password|token|api_?key)[_.-][a-z0-9_.-]{1,32}"""
+             r"""|(?:secret|private|access|account|auth|encryption|signing|shared|storage|master)(?:[_.-]?access)?[_.-]?key"""
+             r"""|pwd|pass_?phrase|credentials?)"""
+             r"""(?<!password|passwd|secret|token|api_?key|key_?id)(?-i)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+         2, 0, "weak_secret", 4),
+    # a bare string with small and capital letters and digits; not a piece of a path or a name
+    Kind("", r"""(?<![A-Za-z0-9+/_.@%?&-])(?=[A-Z0-9+/]{0,127}[a-z])(?=[a-z0-9+/]{0,127}[A-Z])(?=[A-Za-z+/]{0,127}[0-9])"""
+             r"""[A-Za-z0-9+/]{40,128}={0,2}(?![A-Za-z0-9+/=_@%-]|\.[A-Za-z0-9])""",
+         0, 0, "weak_secret", 40),
+    # user:password@ in a URL, and the user as its identifier
+    Kind("", r"""(?<=://)[^\s/:@"'<>]{1,64}:([^\s/:@"'<>]{4,128})@""", 1, 0, "weak_secret", 4),
+    Kind("", r"""(?<=://)[^\s/:@"'<>]{1,64}(?=:[^\s/:@"'<>]{4,128}@)""", 0, 0, "identifier", 1),
     Kind("", r"https?://[A-Za-z0-9.:/_-]+", 0, 0, "endpoint", 12),
 )
 BASE = ("assign", "access", "hex")
@@ -88,7 +104,12 @@ def _linked(parts: DataFrame, reach: int) -> DataFrame:
             | ((F.col("kind") == "weak_secret") & F.col("_id"))
             | ((F.col("kind") == "identifier") & F.col("_secret"))
             | ((F.col("kind") == "endpoint") & F.col("_id") & F.col("_secret")))
-    return seen.filter(keep).drop("_secret", "_id")
+    # a weak secret inside a secret that starts before it, or at the same place and ends later
+    outer = (Window.partitionBy("doc_id", "h").orderBy("start", F.desc("end"), "rank")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    reached = F.max(F.when(F.col("kind").isin(*BASE, "weak_secret"), F.col("end"))).over(outer)
+    again = (F.col("kind") == "weak_secret") & (F.col("end") <= F.coalesce("_reached", F.lit(-1)))
+    return seen.filter(keep).withColumn("_reached", reached).filter(~again).drop("_secret", "_id", "_reached")
 
 
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
