@@ -5,10 +5,7 @@ import tempfile
 import pytest
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, REPO)
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+sys.path[:0] = [REPO, os.path.dirname(os.path.abspath(__file__))]
 
 
 @pytest.fixture(scope="session")
@@ -25,9 +22,3 @@ def spark():
 @pytest.fixture
 def tmp_dir():
     return tempfile.mkdtemp(prefix="martlet-test-", dir="/tmp")
-
-
-def rows(df, *cols, sort=True):
-    cols = cols or df.columns
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t)) if sort else out

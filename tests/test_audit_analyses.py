@@ -8,7 +8,7 @@ from martlet.operators import audit
 from martlet.operators.running import running_sum
 from martlet.plans import analyses
 
-from conftest import rows
+from helpers import rows
 
 
 def test_window_parameters():

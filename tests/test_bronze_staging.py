@@ -7,7 +7,7 @@ from martlet.plans import staging
 from martlet.sources import bronze
 from martlet.sources import schemas as S
 
-from conftest import rows
+from helpers import rows
 
 
 def _write(path, lines):

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from martlet.plans.catalog import queries
 
-from conftest import SF001
+from helpers import SF001
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 

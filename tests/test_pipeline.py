@@ -13,7 +13,7 @@ from martlet.plans.mart import Mart
 from martlet.sources import bronze, fixtures
 from martlet.streaming import landing
 
-from conftest import SF001
+from helpers import SF001
 
 SINCE = "2001-06-04"  # the refresh tests take the last weeks only: every order date is a folder per table
 FIRST_END = "2001-07-05"

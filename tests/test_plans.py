@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martlet.plans.catalog import mart
 from martlet.sources.tables import TableStore
 
-from conftest import SF001
+from helpers import SF001
 
 
 def _plan(df):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martlet.plans import gold, silver
 from martlet.plans.catalog import mart
 
-from conftest import SF001, rows
+from helpers import SF001, rows
 
 D = dt.date
 STATUS = [(1, "ATENDIDO"), (2, "EM ABERTO"), (3, "CANCELADO")]

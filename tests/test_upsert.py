@@ -7,7 +7,7 @@ from martlet.operators.upsert import (DuplicateKeyError, PartitionedMerge, check
 from martlet.plans.silver import incremental_lower_bound
 from martlet.sources.tables import TableStore
 
-from conftest import rows
+from helpers import rows
 
 D = dt.date
 
