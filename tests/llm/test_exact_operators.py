@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import corpus, sentence
+from llm_helpers import corpus, sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest import corpus
+from llm_helpers import corpus
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
