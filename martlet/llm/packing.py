@@ -9,15 +9,22 @@ end; going back through the kept steps gives how many items of each length to ta
 the same multiset is used again while the counts allow.  Only the last windows of a group
 can have slack.  Ids never leave the task that made them: items carry length and checksum.
 
+The ids are those of the ``tokenizers`` library for the vocabulary's JSON file, its special
+tokens included.  ``tiktoken`` gives the same ids from the same vocabulary in a quarter of the
+time, but its pattern matcher gives up on very long runs of white space; such a text is
+encoded by ``tokenizers`` itself.
+
 Null and empty texts are a single end mark.  Repeated rows and null doc_ids are items like
-any other.
+any other; they are dealt to groups by their place in the table as well, so copies of a row
+do not meet in one group.  Texts of any length are encoded whole.  An empty table has no
+pieces.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +38,6 @@ from martlet.llm.common import read_table, stored, text_or_empty
 CAPACITY = 2048
 END_ID = 1
 GROUP_ITEMS = 40_000
-SPECIAL = {"<|endoftext|>": 50256}  # fixed value of the vocabulary
 
 
 def closest_multiset(counts: dict[int, int], order: list[int], capacity: int) -> dict[int, int]:
@@ -93,22 +99,34 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
 
 
 @lru_cache(maxsize=2)
-def _encoder(rank_path: str, pattern: str):
+def encoder(json_path: str, rank_path: str, pattern: str) -> Callable[[str], np.ndarray]:
+    """A function from a text to its ids."""
     import tiktoken
+    from tokenizers import Tokenizer
 
+    whole = Tokenizer.from_file(json_path)
+    special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
     with open(rank_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # its matcher ran out of stack
+            return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    return encode
 
 
-def cut_documents(docs: DataFrame, rank_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def cut_documents(docs: DataFrame, json_path: str, rank_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(rank_path, pattern).encode_to_numpy
+        encode = encoder(json_path, rank_path, pattern)
         for b in batches:
             doc, start, length, crc, total = [], [], [], [], []
             for i, text in enumerate(b.column(1)):
-                ids = np.append(encode(text.as_py() or "", allowed_special="all"), END_ID).astype("<u4")
+                ids = np.append(encode(text.as_py() or ""), END_ID).astype("<u4")
                 for at in range(0, len(ids), capacity):
                     piece = ids[at:at + capacity]
                     doc.append(i)
@@ -128,7 +146,9 @@ def cut_documents(docs: DataFrame, rank_path: str, pattern: str, capacity: int =
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS) -> DataFrame:
     """Add sequence_id and offset.  ``pieces`` is a stored table of :func:`cut_documents`."""
     groups = pieces.count() // group_items + 1
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    # the place in the stored table tells copies of a row apart
+    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()),
+                                          F.lit(groups)))
 
     def pack(items: pd.DataFrame) -> pd.DataFrame:
         items = items.sort_values(["length", "doc_id", "start", "ids_crc32"], ignore_index=True)
@@ -139,12 +159,12 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_items: int =
     return dealt.groupBy("g").applyInPandas(pack, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    return pack_pieces(stored(cut_documents(docs, rank_path, pattern), "pieces"))
+def pack_documents(docs: DataFrame, json_path: str, rank_path: str, pattern: str) -> DataFrame:
+    return pack_pieces(stored(cut_documents(docs, json_path, rank_path, pattern), "pieces"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(read_table(spark, sf_dir, "documents"),
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                           public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
