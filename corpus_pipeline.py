@@ -40,7 +40,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES = [
@@ -51,7 +52,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL cannot express the stages; tests/llm/test_pipeline.py holds them against brute force.
+#: SQL cannot express the stages; test_pipeline_stages in tests/llm holds each against brute force.
 ORACLE_SQL = None
 
 
