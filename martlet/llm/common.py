@@ -36,18 +36,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: A public setting of Spark 4: a query's shuffle files go when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there.
 
-    The shuffle files behind it are not needed any more; Spark frees them when the JVM
-    collects their handles, which it is asked to do now rather than at some later time.
+    The shuffle files behind it are not needed any more and are removed with the write.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return out
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

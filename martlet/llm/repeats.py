@@ -14,9 +14,15 @@ segment.  The steps, all Spark jobs:
    to shards by key, where the operator's index finds the repeated windows;
 4. the answers are joined to the segments' places and become spans per document.
 
-A gram that stands more than ``HOT`` times would bring many distinct segments together
-(a common passage in ever new surroundings).  Its segments are cut into runs of ``fine``
-windows, keyed by the content that all windows of the run share, which spreads them.
+A gram whose segments have more than ``HOT`` distinct contents would bring them all together
+(the edge of a common passage in ever new surroundings).  Its segments are cut into shorter
+runs of windows, keyed by the content that all windows of the run share, which spreads
+them; the more contents, the shorter the runs.  Segments inside the passage are one content
+with a count, however often it stands, and stay whole.
+
+A periodic stretch (padding, one repeated word) has the same short segment again and again.
+Such segments in a row are one place with a number of times, so places follow the distinct
+windows of a text and not its length.
 """
 
 from __future__ import annotations
@@ -35,7 +41,8 @@ from martlet.llm.common import stored, text_or_empty
 from martlet.llm.near_documents import row_id, text_hash
 from martlet.llm.texts import buffers, chunks, mix, word_hashes, words
 
-HOT = 2000
+HOT = 2000      # distinct contents of a gram's segments from which they are cut into runs
+HOTTER = 50_000  # ... and into the shortest runs
 STEP = 1 << 19  # windows looked at together
 SHARD_BYTES = 1 << 21
 SEEN = 200_000  # segments a task remembers in order not to repeat their bytes
@@ -46,7 +53,7 @@ class Windows:
     by_words: bool
     width: int
     gram: int
-    fine: int
+    runs: tuple[int, int]  # windows of a run from HOT and from HOTTER contents
 
     def units(self, data: np.ndarray, offsets: np.ndarray):
         """Starts and ends of the units (None for bytes), first unit of each document, hash of the gram at each unit."""
@@ -73,8 +80,8 @@ class Windows:
         return None, None, offsets, h
 
 
-BYTES_200 = Windows(False, 200, 48, 4)
-WORDS_50 = Windows(True, 50, 8, 1)
+BYTES_200 = Windows(False, 200, 48, (32, 4))
+WORDS_50 = Windows(True, 50, 8, (8, 1))
 
 
 def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
@@ -88,9 +95,11 @@ def _sliding_least(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(h: np.ndarray, first: np.ndarray, spec: Windows) -> tuple[np.ndarray, ...]:
-    """(document, first window, windows, offset of the anchor in the first window, gram hash) of each segment.
+    """(document, first window, windows, offset of the anchor in the first window, gram hash, content, times) of segments.
 
-    Places are units from the document's start.
+    Places are units from the document's start; ``content`` is a 32-bit hash of all units of the
+    segment, and ``times`` tells how often the segment follows itself, each starting where the
+    windows of the one before end.
     """
     w = spec.width - spec.gram + 1
     bits = np.uint64(22)
@@ -110,10 +119,21 @@ def anchors(h: np.ndarray, first: np.ndarray, spec: Windows) -> tuple[np.ndarray
         new = np.ones(len(p), bool)
         new[1:] = (at[1:] != at[:-1]) | (p[1:] != p[:-1] + 1)
         i = np.flatnonzero(new)
-        out.append((doc[i], p[i] - first[doc[i]], np.diff(np.append(i, len(p))), at[i] - p[i], h[at[i]]))
+        start, nw = p[i], np.diff(np.append(i, len(p)))
+        # grams side by side and the last one hold every unit of the segment
+        last, content = start + nw + spec.width - 1 - spec.gram, nw.astype(np.uint64)
+        for k in range(0, int(nw.max()) + spec.width - 1, spec.gram):
+            content = mix(content * np.uint64(3) + h[np.minimum(start + k, last)])
+        row = (doc[i], start - first[doc[i]], nw, at[i] - start, h[at[i]], content.astype(np.uint32).view(np.int32))
+        again = np.zeros(len(i), bool)
+        again[1:] = start[1:] == start[:-1] + nw[:-1]
+        for k in (0, 2, 3, 4, 5):
+            again[1:] &= row[k][1:] == row[k][:-1]
+        one = np.flatnonzero(~again)
+        out.append((*(x[one] for x in row), np.diff(np.append(one, len(i)))))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    return tuple(np.concatenate([o[k] for o in out]) for k in range(5))
+        return tuple(np.zeros(0, kind) for kind in (*[np.int64] * 4, np.uint64, np.int32, np.int64))
+    return tuple(np.concatenate([o[k] for o in out]) for k in range(7))
 
 
 def kept_words(data: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -126,7 +146,7 @@ def _scan(spec: Windows):
             for rows, data, offsets in chunks(b.column(1)):
                 docs = len(offsets) - 1
                 starts, ends, first, h = spec.units(data, offsets)
-                doc, lo, nw, ao, gram = anchors(h, first, spec)
+                doc, lo, nw, ao, gram, content, times = anchors(h, first, spec)
                 bounds = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=docs)))).astype(np.int32)
                 raw = data.tobytes()
                 texts = [raw[x:y] for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
@@ -137,12 +157,12 @@ def _scan(spec: Windows):
                 else:
                     whole = [hashlib.sha256(t).hexdigest() for t in texts]
                 lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x))
-                         for x in (gram.view(np.int64), lo.astype(np.int32), nw.astype(np.int32), ao.astype(np.int32))]
+                         for x in (gram.view(np.int64), *(x.astype(np.int32) for x in (lo, nw, ao, content, times)))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(rows.start, docs), b.column(2).slice(rows.start, docs),
                      b.column(3).slice(rows.start, docs), pa.array(h2), pa.array(np.diff(first).astype(np.int64)),
                      pa.array(whole), *lists],
-                    ["id", "doc_id", "h1", "h2", "n_units", "whole", "g", "lo", "nw", "ao"])
+                    ["id", "doc_id", "h1", "h2", "n_units", "whole", "g", "lo", "nw", "ao", "c", "t"])
     return task
 
 
@@ -152,7 +172,7 @@ def _digest(*parts: bytes) -> int:
 
 def _cut(spec: Windows):
     """id, h1, text and its repeated anchors in; a row per segment out, with its bytes once per task."""
-    w, r = spec.width, spec.fine
+    w = spec.width
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -173,7 +193,8 @@ def _cut(spec: Windows):
                 doc = b.column(0)[i].as_py(), b.column(1)[i].as_py()
                 for a in b.column(3)[i].as_py():
                     g = a["g"].to_bytes(8, "little", signed=True)
-                    if not a["hot"]:
+                    r = a["r"]
+                    if not r:
                         runs = [(a["lo"], a["nw"], g)]
                     else:
                         at, runs = a["lo"] + a["ao"], []
@@ -193,7 +214,7 @@ def _cut(spec: Windows):
                             if len(seen) >= SEEN:
                                 seen.clear()
                             seen.add(name)
-                        out.append((*name, *doc, lo, nw, seg if fresh else None))
+                        out.append((*name, *doc, lo, nw, a["t"], (a["t"] - 1) * a["nw"], seg if fresh else None))
                     if len(out) >= 5000:
                         yield _segment_batch(out)
                         out = []
@@ -202,13 +223,14 @@ def _cut(spec: Windows):
     return task
 
 
-_SEGMENT = "key long, sid long, id long, h1 long, lo int, nw int, seg binary"
+# far: how far the last of the times starts after the first
+_SEGMENT = "key long, sid long, id long, h1 long, lo int, nw int, t int, far int, seg binary"
 
 
 def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
-    cols = [pa.array([x[k] for x in rows], kinds[k]) for k in range(7)]
-    return pa.RecordBatch.from_arrays(cols, ["key", "sid", "id", "h1", "lo", "nw", "seg"])
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
+    cols = [pa.array([x[k] for x in rows], kinds[k]) for k in range(9)]
+    return pa.RecordBatch.from_arrays(cols, ["key", "sid", "id", "h1", "lo", "nw", "t", "far", "seg"])
 
 
 #: What a shard's index gets: the segments' bytes, windows, least documents; it returns for
@@ -270,7 +292,7 @@ def union_of_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
-                   key: str = "doc_id", text: str = "text", hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+                   key: str = "doc_id", text: str = "text", hot: int = HOT, hotter: int = HOTTER) -> tuple[DataFrame, DataFrame]:
     """Two tables: the scanned rows, and the texts that hold repeated windows with their spans.
 
     Scanned: id, h1, doc_id, n_units, whole (digest of all that is kept if nothing goes) and
@@ -282,22 +304,28 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
                        text_hash(text).alias("h1"))
     scanned = stored(rows.mapInArrow(_scan(spec), (
         "id long, doc_id long, h1 long, h2 long, n_units long, whole string, "
-        "g array<long>, lo array<int>, nw array<int>, ao array<int>")), "scanned")
+        "g array<long>, lo array<int>, nw array<int>, ao array<int>, c array<int>, t array<int>")), "scanned")
     same = scanned.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = same.select(F.col("rep").alias("id"), "h1", "h2")
     places = (scanned.join(reps, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1"])
-              .select("id", "h1", F.explode(F.arrays_zip("g", "lo", "nw", "ao")).alias("a")).select("id", "h1", "a.*"))
-    more = F.min("id") != F.max("id") if earlier else F.count(F.lit(1)) > 1
+              .select("id", "h1", F.explode(F.arrays_zip("g", "lo", "nw", "ao", "c", "t")).alias("a")).select("id", "h1", "a.*"))
+    more = F.min("id") != F.max("id") if earlier else F.sum("t") > 1
     # a table of its own, so that a hot gram can be split where places meet it
-    grams = stored(places.groupBy("g").agg(F.count(F.lit(1)).alias("n"), more.alias("more")).filter("more")
-                   .select("g", (F.col("n") > hot).alias("hot")), "grams")
-    flagged = (places.join(grams, "g")
-               .groupBy("id", "h1").agg(F.collect_list(F.struct("g", "lo", "nw", "ao", "hot")).alias("at")))
+    grams = stored(places.groupBy("g").agg(F.sum("t").alias("n"), more.alias("more")).filter("more")
+                   .select("g", (F.col("n") > hot).alias("often")), "grams")
+    # of the grams that stand often, those whose segments differ; equal ones meet in the first step
+    often = stored(grams.filter("often").select("g"), "frequent-grams")
+    varied = stored(places.select("g", "c").join(often, "g").groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"))
+                    .groupBy("g").agg(F.count(F.lit(1)).alias("contents")).filter(F.col("contents") > hot)
+                    .select("g", F.when(F.col("contents") > hotter, spec.runs[1]).otherwise(spec.runs[0]).alias("r")), "varied-grams")
+    cut = grams.select("g").join(varied, "g", "left").select("g", F.coalesce("r", F.lit(0)).alias("r"))
+    flagged = (places.drop("c").join(cut, "g")
+               .groupBy("id", "h1").agg(F.collect_list(F.struct("g", "lo", "nw", "ao", "t", "r")).alias("at")))
     held = stored(rows.select("id", "h1", "text").join(flagged, ["id", "h1"]).dropDuplicates(["id", "h1"]), "held-texts")
 
     segs = stored(held.select("id", "h1", "text", "at").mapInArrow(_cut(spec), _SEGMENT), "segments")
     # counts meet before the shuffle; bytes, once per task and segment, go to their key's place once
-    counts = segs.groupBy("key", "sid").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("nw").alias("nw"))
+    counts = segs.groupBy("key", "sid").agg(F.min("id").alias("least"), F.sum("t").alias("n"), F.first("nw").alias("nw"))
     both = counts.withColumn("seg", F.lit(None).cast("binary")).unionByName(
         segs.filter("seg is not null").select("key", "sid", "seg"), allowMissingColumns=True)
     distinct = both.repartition("key").groupBy("key", "sid").agg(
@@ -307,10 +335,11 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
                      .filter((F.col("n") > 1) | (F.size("runs") > 0)), "answers")
     whole = F.col("id") > F.col("least") if earlier else F.col("n") > 1
     runs = F.when(whole, F.array(F.struct(F.lit(0).alias("a"), F.col("nw").alias("n")))).otherwise(F.col("runs"))
-    spans = (segs.select("key", "sid", "id", "h1", "lo", "nw").join(answers, ["key", "sid"])
-             .select("id", "h1", "lo", F.explode(runs).alias("r"))
+    # the windows of all times reach over each other's starts, so each run is one span
+    spans = (segs.select("key", "sid", "id", "h1", "lo", "nw", "far").join(answers, ["key", "sid"])
+             .select("id", "h1", "lo", "far", F.explode(runs).alias("r"))
              .select("id", "h1", F.struct((F.col("lo") + F.col("r.a")).alias("a"),
-                                    (F.col("lo") + F.col("r.a") + F.col("r.n") + spec.width - 1).alias("b")).alias("s"))
+                                    (F.col("lo") + F.col("far") + F.col("r.a") + F.col("r.n") + spec.width - 1).alias("b")).alias("s"))
              .groupBy("id", "h1").agg(F.collect_list("s").alias("spans")))
     texts = held.select("id", "h1", "text").join(spans, ["id", "h1"])
 
