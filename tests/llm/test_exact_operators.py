@@ -30,11 +30,11 @@ def counted(rows):
     return collections.Counter(tuple(r) for r in rows)
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
+@pytest.mark.parametrize("hot", [(2000, 50_000), (2, 50_000), (2, 3)])
 def test_suffix_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
     from martlet.llm import repeats, suffix_dedup
 
-    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", hot))
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", *hot))
     rows = [(r[0], (r[1] or "").encode()) for r in corpus()]
     seen = collections.Counter(x[i:i + 200] for _, x in rows for i in range(len(x) - 199))
     want = []
@@ -50,11 +50,11 @@ def test_suffix_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
     assert counted(got) == counted(want)
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
+@pytest.mark.parametrize("hot", [(2000, 50_000), (2, 50_000), (2, 3)])
 def test_substring_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
     from martlet.llm import repeats, substring_dedup
 
-    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", hot))
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", *hot))
     last = 1 << 62  # rows without an id come last; equal texts among them share an id
     rows = [(r[0], WORD.findall(r[1] or ""), last + zlib.crc32((r[1] or "").encode()) if r[0] is None else r[0])
             for r in corpus()]
@@ -75,11 +75,11 @@ def test_substring_dedup_matches_brute_force(spark, docs, hot, monkeypatch):
     assert counted(got) == counted(want)
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
+@pytest.mark.parametrize("hot", [(2000, 50_000), (2, 50_000), (2, 3)])
 def test_substring_dedup_compares_words_whatever_the_white_space(spark, hot, monkeypatch):
     from martlet.llm import repeats, substring_dedup
 
-    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", hot))
+    monkeypatch.setattr(repeats.repeated_spans, "__defaults__", ("doc_id", "text", *hot))
     rng = random.Random(12)
     passage = sentence(rng, 70).split()
     rows = []
@@ -95,6 +95,50 @@ def test_substring_dedup_compares_words_whatever_the_white_space(spark, hot, mon
         assert got[i] == (91, 91 - len(kept), sha(" ".join(kept).encode()))
 
 
+def test_dedup_of_periodic_texts(spark, monkeypatch):
+    """Padding and repeated words: few places, right spans, in one text and across texts."""
+    from martlet.llm import substring_dedup, suffix_dedup
+
+    rng = random.Random(40)
+    rows = [(1, "a" * 260), (2, "q" + "ab" * 400 + "z"), (3, "ab" * 90 + "z"), (4, "x " * 300), (5, "y x " * 70 + "x " * 49),
+            (6, "one two three " * 30), (7, sentence(rng, 20) + " one two three" * 25), (8, "b" * 199), (9, "c" * 200),
+            (10, sentence(rng, 60) + " x" * 60), (11, "three one two " * 30), (12, " \t" * 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for module in (suffix_dedup, substring_dedup):
+        monkeypatch.setattr(module, "read_table", lambda *a: docs)
+    seen = collections.Counter(x[i:i + 200] for _, x in rows for i in range(len(x) - 199))
+    got = {r.doc_id: r for r in suffix_dedup.op3_suffix_dedup(spark, "").collect()}
+    for k, x in rows:
+        gone = bytearray(len(x))
+        for i in range(len(x) - 199):
+            if seen[x[i:i + 200]] > 1:
+                gone[i:i + 200] = b"\1" * 200
+        kept = "".join(c for c, g in zip(x, gone) if not g)
+        assert (got[k].n_removed, got[k].kept_sha256) == (sum(gone), sha(kept.encode())), k
+    first = {}
+    got = {r.doc_id: r for r in substring_dedup.op5_substring_dedup(spark, "").collect()}
+    for k, x in rows:
+        w = WORD.findall(x)
+        gone = [False] * len(w)
+        for i in range(len(w) - 49):
+            if first.setdefault(tuple(w[i:i + 50]), k) < k:
+                gone[i:i + 50] = [True] * 50
+        assert (got[k].n_removed, got[k].kept_sha256) == (sum(gone), sha(" ".join(a for a, g in zip(w, gone) if not g).encode())), k
+
+
+def test_dedup_of_ten_megabytes_of_one_character(spark, monkeypatch):
+    from martlet.llm import substring_dedup, suffix_dedup
+
+    n = 10_000_000
+    docs = spark.createDataFrame([(1, "a" * n), (2, "b " * (n // 4)), (3, "b " * 60)], "doc_id long, text string")
+    for module in (suffix_dedup, substring_dedup):
+        monkeypatch.setattr(module, "read_table", lambda *a: docs)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.op3_suffix_dedup(spark, "").collect()}
+    assert got == {1: (n, 1), 2: (n // 2, 1), 3: (0, 0)}
+    got = {r.doc_id: r.n_removed for r in substring_dedup.op5_substring_dedup(spark, "").collect()}
+    assert got == {1: 0, 2: 0, 3: 60}
+
+
 def test_rows_of_one_id_with_other_texts(spark, monkeypatch):
     """A page fetched again: each row is judged by its own text."""
     from martlet.llm import near_documents, substring_dedup, suffix_dedup
@@ -205,6 +249,35 @@ def test_packing_holds_every_id_once(spark, docs, monkeypatch):
     assert collections.Counter(tuple(r)[:5] for r in got) == want
 
 
+def test_packing_encodes_hard_texts_as_the_library(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from martlet.llm.packing import cut_documents
+
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [" " * 1_000_000 + "y", "\n" * 300_000, "a" * 200_000, "😀" * 30_000, " \t" * 50_000, "é" * 40_000,
+             "x<|endoftext|>y", "\u3000" * 20_000, "word " + " " * 70_000]
+    got = collections.defaultdict(list)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in cut_documents(docs, P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect():
+        got[r.doc_id].append((r.start, r.length, r.ids_crc32))
+    for k, text in enumerate(texts):
+        ids = np.array([*lib.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        assert sorted(got[k]) == [(at, len(p), zlib.crc32(p.tobytes()))
+                                  for at in range(0, len(ids), 2048) for p in [ids[at:at + 2048]]], text[:20]
+
+
+def test_copies_of_a_row_are_packed_in_several_groups(spark):
+    from martlet.llm.packing import pack_pieces
+
+    pieces = spark.createDataFrame([(None, 0, 1, 7, 1)] * 3000, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    got = pack_pieces(pieces, capacity=10, group_items=300).collect()
+    assert len(got) == 3000 and len({(r.sequence_id, r.offset) for r in got}) == 3000
+    sizes = collections.Counter(r.sequence_id >> 32 for r in got)
+    assert len(sizes) == 11 and max(sizes.values()) < 400
+
+
 def test_closest_multiset_is_the_best_fill():
     import itertools
     import random

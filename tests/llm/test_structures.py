@@ -77,7 +77,8 @@ def test_equal_windows_have_equal_anchors():
         docs = [unit.join([*(word() for _ in range(n)), passage, word()]).encode() for n in (0, 7, 90)]
         data = np.frombuffer(b"".join(docs), np.uint8)
         starts, ends, first, h = spec.units(data, np.concatenate(([0], np.cumsum([len(d) for d in docs]))))
-        doc, lo, nw, ao, g = anchors(h, first, spec)
+        doc, lo, nw, ao, g, _, times = anchors(h, first, spec)
+        assert (times == 1).all()
         assert [nw[doc == k].sum() for k in range(3)] == [max(n - spec.width + 1, 0) for n in np.diff(first)]
         key = {}
         raw = data.tobytes()
