@@ -79,6 +79,16 @@ def check_mergeable(target: DataFrame | None, source: DataFrame, keys: Sequence[
         raise DuplicateKeyError(f"source has several rows for target keys {keys}: {[r.asDict() for r in bad]}")
 
 
+def among(partition_col: str, values: Sequence) -> Column:
+    """Rows of the partitions ``values`` as one literal list, so that a scan prunes to them; NULL is a value."""
+    part = F.col(partition_col)
+    known = [v for v in values if v is not None]
+    cond = part.isin(known) if known else F.lit(False)
+    if len(known) < len(values):
+        cond = cond | part.isNull()
+    return F.coalesce(cond, F.lit(False))
+
+
 @dataclass
 class PartitionedMerge:
     """The merge of a date-partitioned target, limited to touched partitions.
@@ -88,17 +98,27 @@ class PartitionedMerge:
     touched values is bounded by the calendar, not by the data, so it is
     collected and used as a literal IN list: the target scan then prunes to
     those partitions.
+
+    Where the partition column is one of the keys, a row can only meet rows of its own
+    partition, so the target is not read to find them.  Otherwise ``candidates`` (from
+    ``operators.keyindex``) limits the search to the partitions that may hold a key; without
+    them the keys of the whole target are read.
     """
     touched: list
     rewritten: DataFrame          # new content of the touched partitions
 
     @staticmethod
     def plan(target: DataFrame, source: DataFrame, keys: Sequence[str], partition_col: str,
-             null_safe: bool = True, deletes: DataFrame | None = None) -> "PartitionedMerge":
+             null_safe: bool = True, deletes: DataFrame | None = None,
+             candidates: Sequence | None = None) -> "PartitionedMerge":
         src_keys = source.select(*keys)
-        held = target.select(*keys, partition_col)
-        touched_df = source.select(partition_col).union(
-            held.join(src_keys, _match(held, src_keys, keys, null_safe), "left_semi").select(partition_col))
+        held = target.select(*dict.fromkeys([*keys, partition_col]))
+        if candidates is not None:
+            held = held.where(among(partition_col, candidates))
+        touched_df = source.select(partition_col)
+        if partition_col not in keys:
+            touched_df = touched_df.union(
+                held.join(src_keys, _match(held, src_keys, keys, null_safe), "left_semi").select(partition_col))
         if deletes is not None:
             touched_df = touched_df.union(held.join(deletes, list(deletes.columns), "left_semi").select(partition_col))
         touched = [r[0] for r in touched_df.distinct().collect()]
@@ -107,12 +127,7 @@ class PartitionedMerge:
         return pm
 
     def in_touched(self, partition_col: str) -> Column:
-        part = F.col(partition_col)
-        vals = [v for v in self.touched if v is not None]
-        cond = part.isin(vals) if vals else F.lit(False)
-        if None in self.touched:
-            cond = cond | part.isNull()
-        return F.coalesce(cond, F.lit(False))
+        return among(partition_col, self.touched)
 
     def full_result(self, target: DataFrame, partition_col: str) -> DataFrame:
         """The whole merged table: untouched partitions as they are, touched ones rewritten."""

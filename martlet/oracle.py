@@ -247,6 +247,9 @@ def extra_queries() -> dict[str, str]:
         "upsert_null_safe": w(_merge("stored_days", "newer_days", CHANNEL_KEYS, True)),
         "upsert_plain": w(_merge("stored_days", "newer_days", CHANNEL_KEYS, False)),
         "upsert_partitioned": w(_merge("older_orders", "newer_orders", ["order_id"], True)),
+        "key_index_partitions": w("""SELECT DISTINCT order_date FROM older_orders
+            WHERE order_id IN (SELECT order_id FROM newer_orders)"""),
+        "upsert_indexed": w(_merge("older_orders", "newer_orders", ["order_id"], True)),
         "upsert_columns": w(_merge("(SELECT * REPLACE (CAST(NULL AS BIGINT) AS client_id) FROM older_orders)",
                                    "newer_orders", ["order_id"], True)),
         "upsert_cancelled": w(f"""SELECT * FROM newer_orders
@@ -353,11 +356,12 @@ SELECTS |= {"dim_categories": SELECTS["stg_categories"], "dim_channels": SELECTS
 ORDER_DATES = ["order_date", "dispatch_date", "estimated_delivery_date"]
 DATE_COLUMNS = {  # DATE columns of each query's output, returned as ISO text
     **{q: ORDER_DATES for q in ("stg_orders", "silver_orders", "incremental_window", "upsert_partitioned",
-                                "upsert_columns", "upsert_cancelled", "latest_landing")},
+                                "upsert_indexed", "upsert_columns", "upsert_cancelled", "latest_landing")},
     **{q: ["order_date"] for q in ("silver_order_items_dedup", "fact_item_details", "fact_orders",
                                    "fact_channel_performance", "fact_product_performance",
                                    "fact_component_demand", "upsert_null_safe", "upsert_plain",
-                                   "upsert_duplicate_keys")},
+                                   "upsert_duplicate_keys",
+                                   "key_index_partitions")},
 }
 
 

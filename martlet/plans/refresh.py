@@ -19,7 +19,7 @@ from martlet.operators.audit import in_window
 from martlet.operators.upsert import DuplicateKeyError, duplicate_source_keys, incremental_bound
 from martlet.plans import gold, silver, staging
 from martlet.sources.fixtures import RawSources
-from martlet.sources.tables import TableStore
+from martlet.sources.tables import TableStore, indexed_key
 
 # Table names and merge keys of the incremental models; all are partitioned by order date.
 DAY = "order_date"
@@ -128,9 +128,9 @@ def refresh_gold(store: TableStore, null_safe: bool = True, dates: list | None =
 
     def put(name: str, rows: DataFrame) -> DataFrame:
         if replace and dates is not None:
-            store.replace_partitions(name, rows, DAY, dates)
+            store.replace(name, rows, GOLD[name], DAY, dates)
         elif replace:
-            store.overwrite(name, rows, DAY)
+            store.overwrite(name, rows, DAY, indexed_key(rows, GOLD[name], DAY))
         else:
             store.upsert(name, rows, GOLD[name], DAY, null_safe, check=name not in UNCHECKED)
         return _in_dates(store.read(name), dates)

@@ -138,3 +138,86 @@ def test_only_a_missing_table_reads_as_none(spark, tmp_dir):
     os.makedirs(store.path("empty"))
     with pt.raises(AnalysisException):
         store.read("empty")
+
+
+def test_key_index_names_exactly_the_partitions_that_hold_keys(spark):
+    import random
+
+    from martlet.operators.keyindex import key_bitmaps, merged, partitions_holding
+
+    rng = random.Random(6)
+    far = [-70_000, -1, 0, 32_767, 32_768, 10 ** 12, -(10 ** 12), None]
+    held = [(rng.choice(far) if rng.random() < 0.3 else rng.randrange(-100_000, 400_000),
+             None if rng.random() < 0.1 else D(2024, 1, 1 + rng.randrange(9))) for _ in range(400)]
+    t = spark.createDataFrame(held, "order_id bigint, order_date date")
+    index = key_bitmaps(t, "order_id", "order_date")
+    for _ in range(3):
+        wanted = [(k,) for k in rng.sample([h[0] for h in held], 3)] + [(777_777,), (rng.choice(far),)]
+        got = partitions_holding(index, spark.createDataFrame(wanted, "order_id bigint"), "order_id", "order_date")
+        assert {r[0] for r in got.collect()} == {d for k, d in held if k in {w[0] for w in wanted}}
+    both = merged(key_bitmaps(t.limit(150), "order_id", "order_date"), index, "order_date")
+    assert rows(both) == rows(index.select("order_date", "block", "keys"))
+
+
+def test_weekly_merge_reads_only_candidate_partitions(spark, tmp_dir):
+    """A moved order is found, the scan is pruned, and the table equals a merge without index."""
+    store, plain = TableStore(spark, tmp_dir), TableStore(spark, tmp_dir + "/plain")
+    t = spark.createDataFrame([(i, D(2024, 1, 1 + i // 10), i) for i in range(200)], "order_id bigint, order_date date, v int")
+    s = spark.createDataFrame([(35, D(2024, 2, 1), 1), (199, D(2024, 1, 20), 2), (500, D(2024, 2, 1), 3)], t.schema)
+    for st in (store, plain):
+        st.upsert("o", t, ["order_id"], "order_date")
+    plain._delete(plain.path("o") + "__keys")
+    assert plain.candidates("o", s, "order_id", "order_date") is None
+    assert sorted(store.candidates("o", s, "order_id", "order_date")) == [D(2024, 1, 4), D(2024, 1, 20)]
+    pm = PartitionedMerge.plan(store.read("o"), s, ["order_id"], "order_date",
+                               candidates=store.candidates("o", s, "order_id", "order_date"))
+    assert sorted(pm.touched) == [D(2024, 1, 4), D(2024, 1, 20), D(2024, 2, 1)]
+    assert rows(store.upsert("o", s, ["order_id"], "order_date")) == rows(plain.upsert("o", s, ["order_id"], "order_date"))
+    # the index follows: order 35 is found under its new day only, deletes are looked up as well
+    again = s.where("order_id = 35")
+    assert store.candidates("o", again, "order_id", "order_date") == [D(2024, 2, 1)]
+    gone = spark.createDataFrame([(35,), (500,), (7,)], "order_id bigint")
+    out = store.upsert("o", again.limit(0), ["order_id"], "order_date", deletes=gone)
+    assert out.count() == 198 and sorted(store.last_touched["o"]) == [D(2024, 1, 1), D(2024, 2, 1)]
+    assert store.candidates("o", gone, "order_id", "order_date") == []
+
+
+def test_a_merge_that_dies_leaves_an_index_ahead_of_the_table(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    t = spark.createDataFrame([(1, D(2024, 1, 1), 1), (2, D(2024, 1, 2), 2)], "order_id bigint, order_date date, v int")
+    store.upsert("o", t, ["order_id"], "order_date")
+    s = spark.createDataFrame([(1, D(2024, 1, 2), 9)], t.schema)
+    write = store._write_index
+    calls = []
+
+    def dies(*a):
+        calls.append(a)
+        if len(calls) == 2:  # after the partitions, before the old keys are taken off
+            raise OSError("lost")
+        write(*a)
+    store._write_index = dies
+    try:
+        store.upsert("o", s, ["order_id"], "order_date")
+    except OSError:
+        pass
+    store._write_index = write
+    assert len(calls) == 2 and D(2024, 1, 2) in store.candidates("o", s, "order_id", "order_date")
+    assert rows(store.upsert("o", s, ["order_id"], "order_date"), "order_id", "order_date", "v") == [
+        (1, D(2024, 1, 2), 9), (2, D(2024, 1, 2), 2)]
+
+
+def test_a_partition_that_the_index_does_not_know_may_hold_any_key(spark, tmp_dir):
+    store = TableStore(spark, tmp_dir)
+    t = spark.createDataFrame([(1, D(2024, 1, 1), 1), (2, D(2024, 1, 2), 2)], "order_id bigint, order_date date, v int")
+    store.upsert("o", t, ["order_id"], "order_date")
+    store._delete(store.path("o") + "__keys/order_date=2024-01-02")
+    wanted = spark.createDataFrame([(1,)], "order_id bigint")
+    assert sorted(store.candidates("o", wanted, "order_id", "order_date")) == [D(2024, 1, 1), D(2024, 1, 2)]
+
+
+def test_a_key_with_the_partition_column_needs_no_search(spark):
+    t = spark.createDataFrame([(1, D(2024, 1, 1), 1)], "k int, order_date date, v int")
+    s = spark.createDataFrame([(1, D(2024, 1, 2), 5)], t.schema)
+    pm = PartitionedMerge.plan(t, s, ["k", "order_date"], "order_date")
+    assert pm.touched == [D(2024, 1, 2)]
+    assert rows(pm.full_result(t, "order_date")) == [(1, D(2024, 1, 1), 1), (1, D(2024, 1, 2), 5)]
