@@ -235,9 +235,82 @@ UPSERT_CTES = {
         UNION ALL SELECT * REPLACE (total_order_value + 5 AS total_order_value), 1 FROM s_orders WHERE order_id % 7 = 0
         UNION ALL SELECT * REPLACE (dt + 7 AS dt, 3 AS status_id), 0 FROM s_orders WHERE order_id % 11 = 0""",
 }
+HISTORY_CTES = {
+    "listed": f"""
+        SELECT p_partkey AS product_id, day, CASE WHEN p_partkey % 17 <> 0
+               THEN {C('p_retailprice * (60 + ((p_partkey + k) // 2) % 5)')} END AS listed_cost
+        FROM part, (SELECT k, first + CAST(90 * k AS INTEGER) AS day
+                    FROM (SELECT min(CAST(o_orderdate AS DATE)) AS first, max(CAST(o_orderdate AS DATE)) AS last FROM orders),
+                         range(0, 100000) t(k) WHERE first + CAST(90 * k AS INTEGER) <= last)
+        WHERE p_partkey > 0""",
+    "day_costs": """
+        SELECT product_id, day, COALESCE((SELECT sum(component_quantity * part_of.listed_cost) FROM s_kit_components k
+                                          JOIN listed part_of ON part_of.product_id = k.component_id
+                                          WHERE k.composite_product_id = listed.product_id AND part_of.day = listed.day),
+                                         listed_cost) AS cost
+        FROM listed""",
+    "costed_then": """
+        SELECT line.* EXCLUDE (order_product_cost, gross_profit), quantity * cost AS order_product_cost,
+               quantity * (order_unit_price - cost) AS gross_profit
+        FROM costed line ASOF LEFT JOIN day_costs then_cost
+          ON line.product_id = then_cost.product_id AND line.order_date >= then_cost.day""",
+    "day_units": f"""
+        SELECT component_product_id, product_name, order_date AS day, sum(total_quantity_sold) AS q FROM demand
+        WHERE order_date BETWEEN DATE '2001-08-01' - 179 AND DATE '2001-08-01' GROUP BY ALL HAVING sum(total_quantity_sold) > 0""",
+    "spine": """
+        SELECT c.component_product_id, c.product_name, c.first_day, d.day, CAST(COALESCE(u.q, 0) AS BIGINT) AS units
+        FROM (SELECT component_product_id, product_name, min(day) AS first_day FROM day_units GROUP BY ALL) c
+        JOIN (SELECT DATE '2001-08-01' - CAST(i AS INTEGER) AS day FROM range(0, 180) t(i)) d ON d.day >= c.first_day
+        LEFT JOIN day_units u ON u.component_product_id = c.component_product_id AND u.day = d.day""",
+}
 LANDED_DATE = "CASE WHEN o_orderkey % 29 <> 0 THEN CAST(o_orderdate AS DATE) END"
 
 
+def forecast_sql() -> str:
+    """The recursion over the dense spine, day by day."""
+    spine = _with("SELECT * FROM spine", HISTORY_CTES)
+    head, _, _ = spine.rpartition("\nSELECT * FROM (")
+    return head.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+walk AS (
+  SELECT component_product_id, day, CAST(1.0 AS DOUBLE) AS p, CAST(units AS DOUBLE) AS z, CAST(0.0 AS DOUBLE) AS mad
+  FROM spine WHERE day = first_day
+  UNION ALL
+  SELECT s.component_product_id, s.day,
+         CASE WHEN s.units > 0 THEN w.p + CAST(0.05 AS DOUBLE) * (CAST(1.0 AS DOUBLE) - w.p)
+              ELSE w.p + CAST(0.05 AS DOUBLE) * (CAST(0.0 AS DOUBLE) - w.p) END,
+         CASE WHEN s.units > 0 THEN w.z + CAST(0.1 AS DOUBLE) * (CAST(s.units AS DOUBLE) - w.z) ELSE w.z END,
+         w.mad + CAST(0.1 AS DOUBLE) * (abs(CAST(s.units AS DOUBLE) - w.p * w.z) - w.mad)
+  FROM walk w JOIN spine s ON s.component_product_id = w.component_product_id AND s.day = w.day + 1),
+lengths AS (SELECT component_product_id, product_name, first_day, count(*) AS n, count(*) FILTER (WHERE units > 0) AS sold
+            FROM spine GROUP BY ALL)
+SELECT component_product_id, product_name, CAST(first_day AS VARCHAR) AS first_day, CAST(n AS BIGINT) AS spine_days,
+       CAST(sold AS BIGINT) AS demand_days, p AS sale_chance, z AS sale_size, p * z AS daily_forecast, mad AS mean_error,
+       CAST(ceil(p * z * CAST(14 AS DOUBLE)) AS BIGINT) AS lead_time_units,
+       CAST(ceil(CAST(1.65 AS DOUBLE) * CAST(1.25 AS DOUBLE) * mad * sqrt(CAST(14 AS DOUBLE))) AS BIGINT) AS safety_units,
+       CAST(ceil(p * z * CAST(14 AS DOUBLE))
+            + ceil(CAST(1.65 AS DOUBLE) * CAST(1.25 AS DOUBLE) * mad * sqrt(CAST(14 AS DOUBLE))) AS BIGINT) AS reorder_point
+FROM walk JOIN lengths USING (component_product_id) WHERE day = DATE '2001-08-01'"""
+
+
+def history_queries() -> dict[str, str]:
+    w = lambda sql: _with(sql, HISTORY_CTES)
+    return {
+        "product_cost_history": w("""
+            SELECT product_id, CAST(cost AS DOUBLE) AS cost_price,
+                   CASE WHEN day = (SELECT min(day) FROM listed) THEN '1900-01-01' ELSE CAST(day AS VARCHAR) END AS valid_from,
+                   CAST(lead(day) OVER (PARTITION BY product_id ORDER BY day) AS VARCHAR) AS valid_to
+            FROM (SELECT *, lag(cost) OVER (PARTITION BY product_id ORDER BY day) AS earlier,
+                         row_number() OVER (PARTITION BY product_id ORDER BY day) AS n FROM day_costs)
+            WHERE n = 1 OR cost IS DISTINCT FROM earlier"""),
+        "item_details_at_cost": w(SELECTS["fact_item_details"].replace("FROM costed", "FROM costed_then")),
+        "product_performance_at_cost": w(MODELS["product_days"].replace("FROM costed GROUP", "FROM costed_then GROUP").replace(
+            "catalogue.product_id = costed.product_id", "catalogue.product_id = costed_then.product_id")),
+        "demand_spine": w("SELECT component_product_id, product_name, CAST(first_day AS VARCHAR) AS first_day, "
+                          "CAST(day AS VARCHAR) AS day, units FROM spine"),
+        "demand_forecast": forecast_sql(),
+    }
+
+
 def extra_queries() -> dict[str, str]:
     w = lambda sql: _with(sql, UPSERT_CTES)
     return {
@@ -359,7 +432,8 @@ DATE_COLUMNS = {  # DATE columns of each query's output, returned as ISO text
                                 "upsert_indexed", "upsert_columns", "upsert_cancelled", "latest_landing")},
     **{q: ["order_date"] for q in ("silver_order_items_dedup", "fact_item_details", "fact_orders",
                                    "fact_channel_performance", "fact_product_performance",
-                                   "fact_component_demand", "upsert_null_safe", "upsert_plain",
+                                   "fact_component_demand", "item_details_at_cost", "product_performance_at_cost",
+                                   "upsert_null_safe", "upsert_plain",
                                    "upsert_duplicate_keys",
                                    "key_index_partitions")},
 }
@@ -375,5 +449,5 @@ def _dates_as_text(name: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {name: _with(sel) for name, sel in SELECTS.items()} | extra_queries()
+    out = {name: _with(sel) for name, sel in SELECTS.items()} | extra_queries() | history_queries()
     return {name: _dates_as_text(name, sql) for name, sql in out.items()}

@@ -17,6 +17,10 @@ ABC_A_PERCENT = 80
 ABC_B_PERCENT = 95
 DEMAND_WINDOW_DAYS = 28
 LEAD_TIME_DAYS = 14
+FORECAST_DAYS = 180
+SIZE_WEIGHT, CHANCE_WEIGHT, ERROR_WEIGHT = 0.1, 0.05, 0.1
+SERVICE_FACTOR = 1.65          # normal deviate of 95 %
+MAD_TO_DEVIATION = 1.25        # fixed value: standard deviation over mean absolute deviation
 
 
 def abc_curve(item_details: DataFrame, a_percent: int = ABC_A_PERCENT, b_percent: int = ABC_B_PERCENT,
@@ -58,3 +62,58 @@ def replenishment(component_demand: DataFrame, as_of: dt.date, window_days: int
         (q.cast("double") / F.lit(float(window_days))).alias("avg_daily_demand"),
         F.expr(f"(window_quantity * {lead_time_days} + {window_days - 1}) div {window_days}")
         .alias("reorder_quantity"))
+
+
+def demand_spine(component_demand: DataFrame, as_of: dt.date, days: int = FORECAST_DAYS) -> DataFrame:
+    """A row per component and day from its first sale within ``days`` up to ``as_of``, with zero days.
+
+    Days of a component are collected into one map, of ``days`` entries at most, and laid over the
+    sequence of all its days; so the spine needs no calendar table and no join.
+    """
+    start = as_of - dt.timedelta(days=days - 1)
+    sold = (component_demand.where(F.col("order_date").between(F.lit(start), F.lit(as_of)))
+            .groupBy("component_product_id", "product_name", "order_date").agg(F.sum("total_quantity_sold").alias("q"))
+            .where(F.col("q") > 0))
+    per = sold.groupBy("component_product_id", "product_name").agg(
+        F.min("order_date").alias("first_day"),
+        F.map_from_entries(F.collect_list(F.struct("order_date", "q"))).alias("_sold"))
+    return (per.withColumn("day", F.explode(F.sequence(F.col("first_day"), F.lit(as_of))))
+            .select("component_product_id", "product_name", "first_day", "day",
+                    F.coalesce(F.col("_sold")[F.col("day")], F.lit(0)).alias("units")))
+
+
+def demand_forecast(component_demand: DataFrame, as_of: dt.date, days: int = FORECAST_DAYS,
+                    lead_time_days: int = LEAD_TIME_DAYS, size_weight: float = SIZE_WEIGHT,
+                    chance_weight: float = CHANCE_WEIGHT, error_weight: float = ERROR_WEIGHT,
+                    service_factor: float = SERVICE_FACTOR) -> DataFrame:
+    """G4 as a forecast: intermittent demand by a recursive smoother over the dense spine.
+
+    Each day smooths the chance of a sale (zero days too, so an item that no longer sells fades
+    out) and, on days with a sale, its size; the forecast is their product.  The day's forecast
+    error is smoothed as well.  The reorder point covers the lead time's forecast plus a safety
+    stock from the error.  The recursion runs in Spark over the component's array of days
+    (``days`` entries at most).
+    """
+    spine = demand_spine(component_demand, as_of, days)
+    per = spine.groupBy("component_product_id", "product_name", "first_day").agg(
+        F.sort_array(F.collect_list(F.struct("day", F.col("units").cast("double").alias("q")))).alias("s"))
+
+    def step(a, x):
+        q, p, z, mad = x["q"], a["p"], a["z"], a["mad"]
+        sale = q > 0
+        return F.struct(
+            F.when(sale, p + chance_weight * (1.0 - p)).otherwise(p + chance_weight * (0.0 - p)).alias("p"),
+            F.when(sale, z + size_weight * (q - z)).otherwise(z).alias("z"),
+            (mad + error_weight * (F.abs(q - p * z) - mad)).alias("mad"))
+
+    begin = F.struct(F.lit(1.0).alias("p"), F.col("s")[0]["q"].alias("z"), F.lit(0.0).alias("mad"))
+    done = per.withColumn("e", F.aggregate(F.slice("s", F.lit(2), F.size("s")), begin, step))
+    daily = F.col("e.p") * F.col("e.z")
+    lead, safety = F.ceil(daily * float(lead_time_days)), F.ceil(
+        service_factor * MAD_TO_DEVIATION * F.col("e.mad") * F.sqrt(F.lit(float(lead_time_days))))
+    return done.select(
+        "component_product_id", "product_name", "first_day", F.size("s").cast("bigint").alias("spine_days"),
+        F.size(F.filter("s", lambda x: x["q"] > 0)).cast("bigint").alias("demand_days"),
+        F.col("e.p").alias("sale_chance"), F.col("e.z").alias("sale_size"), daily.alias("daily_forecast"),
+        F.col("e.mad").alias("mean_error"), lead.cast("bigint").alias("lead_time_units"),
+        safety.cast("bigint").alias("safety_units"), (lead + safety).cast("bigint").alias("reorder_point"))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from martlet.operators import audit, keyindex
 from martlet.operators.upsert import PartitionedMerge, duplicate_source_keys, incremental_bound, merge_rows
-from martlet.plans import analyses, gold, silver, staging
+from martlet.plans import analyses, gold, history, silver, staging
 from martlet.plans.mart import FirstLoad, Mart
 from martlet.sources import bronze, fixtures, schemas
 
@@ -225,6 +225,39 @@ def replenishment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(analyses.replenishment(mart(spark, sf_dir).fact_component_demand, REPLENISH_AS_OF))
 
 
+def _product_costs(spark: SparkSession, sf_dir: str, m: Mart) -> DataFrame:
+    return history.product_costs(history.own_costs(fixtures.product_landings(spark, sf_dir)), m.stg_kit_components)
+
+
+def product_cost_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 over time: every product's cost versions, kits from their components' versions."""
+    return for_compare(_product_costs(spark, sf_dir, mart(spark, sf_dir)))
+
+
+def item_details_at_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M16 at the cost of the order's day."""
+    m = mart(spark, sf_dir)
+    fid = gold.fact_item_details(m.silver_order_items, m.silver_orders, m.dim_products, _product_costs(spark, sf_dir, m))
+    return for_compare(fid.select(*gold.ITEM_DETAIL_COLUMNS))
+
+
+def product_performance_at_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M19 at the cost of each day."""
+    m = mart(spark, sf_dir)
+    return for_compare(gold.fact_product_performance(m.fact_item_details, m.fact_orders, m.dim_products, m.dim_categories,
+                                                     costs=_product_costs(spark, sf_dir, m)))
+
+
+def demand_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units per component and day, zero days included."""
+    return for_compare(analyses.demand_spine(mart(spark, sf_dir).fact_component_demand, REPLENISH_AS_OF))
+
+
+def demand_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast, safety stock and reorder point per component."""
+    return for_compare(analyses.demand_forecast(mart(spark, sf_dir).fact_component_demand, REPLENISH_AS_OF))
+
+
 def _model(attr: str, columns: list[str] | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = getattr(mart(spark, sf_dir), attr)
@@ -297,6 +330,12 @@ QUERIES: dict[str, Query] = {
     # stated business questions
     "abc_curve": abc_curve,
     "replenishment": replenishment,
+    "demand_spine": demand_spine,
+    "demand_forecast": demand_forecast,
+    # costs of the day of sale
+    "product_cost_history": product_cost_history,
+    "item_details_at_cost": item_details_at_cost,
+    "product_performance_at_cost": product_performance_at_cost,
 }
 
 

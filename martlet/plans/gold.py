@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions.casts import NUMERIC
 from martlet.functions.expressions import matchable_product_id, money_minus, order_cost, ratio, units_times
+from martlet.operators.asof import as_of, as_of_join
 
 ITEM_DETAIL_COLUMNS = ["order_id", "order_date", "product_id", "product_name", "product_id_for_merge",
                        "quantity", "order_unit_price", "order_product_cost", "gross_revenue", "gross_profit"]
@@ -44,9 +45,12 @@ def _num(c) -> F.Column:
     return c.cast(NUMERIC)
 
 
-def fact_item_details(silver_items: DataFrame, silver_orders: DataFrame, products: DataFrame) -> DataFrame:
+def fact_item_details(silver_items: DataFrame, silver_orders: DataFrame, products: DataFrame,
+                      costs: DataFrame | None = None) -> DataFrame:
     """One row per silver line with cost, revenue and profit at the current product cost.
 
+    With ``costs`` (``plans.history.product_costs``) at the cost of the order's day instead.
+
     The product join is on the integer id (so a product 0, if one existed, would match).
     ``sale_channel_id`` of the order comes along for M18.
     """
@@ -54,6 +58,8 @@ def fact_item_details(silver_items: DataFrame, silver_orders: DataFrame, product
     p = products.select("product_id", "product_name", "cost_price")
     oi = silver_items.select("order_id", "product_id", "product_id_for_merge", "quantity", "order_unit_price")
     j = oi.join(od, "order_id", "left").join(p, "product_id", "left")
+    if costs is not None:
+        j = as_of_join(j.drop("cost_price"), costs, ["product_id"], "_od_date", "valid_from", ["cost_price"])
     q, price, cost = F.col("quantity"), F.col("order_unit_price"), F.col("cost_price")
     return j.select(
         "order_id",
@@ -139,9 +145,11 @@ def fact_channel_performance(item_details: DataFrame, orders: DataFrame, product
 
 def fact_product_performance(item_details: DataFrame, orders: DataFrame, products: DataFrame,
                              categories: DataFrame,
-                             dates_from_orders: bool = False) -> DataFrame:
+                             dates_from_orders: bool = False, costs: DataFrame | None = None) -> DataFrame:
     """Revenue, cost at today's cost price, profit and units per product and day.
 
+    With ``costs`` (``plans.history.product_costs``) the cost is that of the day.
+
     Per (product, merge key, day) the lines are summed first; the product's
     cost then multiplies the summed units.  ``priced_q`` counts only units of
     lines with a price, so ``revenue - cost * priced_q`` equals the sum of
@@ -156,6 +164,9 @@ def fact_product_performance(item_details: DataFrame, orders: DataFrame, product
     per_day = per_day.withColumn("_pk", matchable_product_id(F.col("product_id")))
     pa = _product_attrs(products, categories)
     j = per_day.join(pa, "_pk", "left")
+    if costs is not None:  # a row per product, merge key and day by now
+        j = as_of(j.drop("cost_price"), costs.withColumnRenamed("product_id", "_pk"), ["_pk"], "order_date", "valid_from",
+                  ["cost_price"])
     cost = F.col("cost_price")
     agg = j.groupBy("product_id", "product_name", "product_id_for_merge", "order_date", "category_name").agg(
         F.sum("_rev").alias("gross_revenue"),

@@ -268,6 +268,29 @@ def from_driver_tables(spark: SparkSession, sf_dir: str, until: str | None = Non
     )
 
 
+# ---------------------------------------------------------------------------
+# Product landings over time derived from the products and the orders' dates (fixed values of the rule).
+# ---------------------------------------------------------------------------
+LANDING_EVERY_DAYS = 90    # a product list is landed on the first order's day and every 90 days after
+COST_STEPS = 5             # the cost factor of landing k is 60 + ((p_partkey + k) div 2) % 5
+
+
+def product_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """product_id, cost_price, observed: a row per product and landed product list."""
+    day = F.col("o_orderdate").cast("date")
+    first, last = _read(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first()
+    p = _read(spark, sf_dir, "part").where(F.col("p_partkey") > 0)
+    if first is None:
+        return p.limit(0).select(F.col("p_partkey").alias("product_id"), F.lit(None).cast(MONEY).alias("cost_price"),
+                                 F.lit(None).cast("date").alias("observed"))
+    days = F.sequence(F.lit(first), F.lit(last), F.expr(f"interval {LANDING_EVERY_DAYS} days"))
+    landed = p.select("p_partkey", "p_retailprice", F.posexplode(days).alias("k", "observed"))
+    factor = COST_FACTOR + F.floor((F.col("p_partkey") + F.col("k")) / 2).cast("bigint") % COST_STEPS
+    cost = F.when(F.col("p_partkey") % NULL_COST_EVERY == 0, F.lit(None).cast(MONEY)).otherwise(
+        cents(F.col("p_retailprice") * factor))
+    return landed.select(F.col("p_partkey").alias("product_id"), cost.alias("cost_price"), "observed")
+
+
 # ---------------------------------------------------------------------------
 # Extraction bookkeeping derived from the orders (fixed values of the rule).
 # ---------------------------------------------------------------------------
