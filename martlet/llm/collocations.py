@@ -15,10 +15,14 @@ a path's last state is how often the n-gram stands in the corpus.
    phrases, its right parts are.  The same walk tells whether a phrase one word longer has
    the same count.
 
-A phrase can only reach ``least`` if its words and word pairs do, so transducers of one word,
-two words and up to five are made in turn, each extended only along words and pairs that can be
-frequent.  These are known to the tasks as a bitmap of ``2 ** filter_bits`` bits over hashes: it
-has that size whatever the input, lets chance matches through, and so never drops a phrase.
+A phrase can only reach ``least`` if its words and word pairs do.  Hashes of words, then of pairs
+of such words, are counted first; those that reach ``least`` make a bitmap of ``2 ** filter_bits``
+bits, of that size whatever the input.  Equal phrases have equal hashes and chance matches
+only let more through, so no phrase is lost, and the transducers, which count exactly, go on only
+along words and pairs that can be frequent.
+
+A path is one string: language and words joined by tabs.  Bytes up to the tab are escaped, so
+the tab sorts before all else and the paths behind a state stand together.
 
 Null languages count as ``und``, null and empty texts have no words.  Repeated rows count again.
 Texts of any length are taken whole.  An empty table has no phrases.  Other columns are not read.
@@ -30,6 +34,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,7 +45,7 @@ from martlet.llm.texts import buffers, chunks, mix, word_hashes
 LEAST = 100          # fixed value of the contract: occurrences of a candidate
 MOST_WORDS = 5
 TOP = 2000
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 23
 FILTER_BITS = 24
 OUT_ROWS = 20_000
 
@@ -94,100 +99,146 @@ class Shard:
         body, off = buffers(self.words)
         self.hashes = word_hashes(body, off[:-1], off[1:]) ^ _lang_number(lang)
 
-    def paths(self, depth: int, known: Filter | None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    def word_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, count) of the words."""
+        return self.hashes, np.bincount(self.ids, minlength=len(self.words))
+
+    def pair_counts(self, words: Filter) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, count) of the pairs of known words."""
+        at = self._pairs(words)
+        pairs, counts = np.unique(self.ids[at] * len(self.words) + self.ids[at + 1], return_counts=True)
+        left, right = np.divmod(pairs, max(len(self.words), 1))
+        return _pair_hash(self.hashes[left], self.hashes[right]), counts
+
+    def _pairs(self, words: Filter) -> np.ndarray:
+        known = words(self.hashes)[self.ids]
+        return np.flatnonzero((self.piece[1:] == self.piece[:-1]) & known[1:] & known[:-1])
+
+    def paths(self, depth: int, words: Filter, pairs: Filter) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """(starts of examples, counts, words) of the distinct paths that go no further, per number of words."""
-        n, v = len(self.ids), max(len(self.words), 1)
-        if depth == 1:
-            kinds, at, counts = np.unique(self.ids, return_index=True, return_counts=True)
-            yield at, counts, 1
-            return
-        if n < 2:
-            return
-        on = self.piece[1:] == self.piece[:-1]
-        if depth == 2:
-            ok = known(self.hashes)[self.ids]
-            on &= ok[1:] & ok[:-1]
-        else:
-            at = np.flatnonzero(on)
-            on[at] = known(_pair_hash(self.hashes[self.ids[at]], self.hashes[self.ids[at + 1]]))
-        at = np.flatnonzero(on)
-        state = self.ids[at]
-        for words in range(2, depth + 1):
-            _, example, state = np.unique(state * v + self.ids[at + words - 1], return_index=True, return_inverse=True)
+        on = np.zeros(len(self.ids), bool)  # the pair that starts here may be frequent
+        at = self._pairs(words)
+        on[at] = pairs(_pair_hash(self.hashes[self.ids[at]], self.hashes[self.ids[at + 1]]))
+        at = np.flatnonzero(words(self.hashes)[self.ids])
+        state = np.zeros(len(at), np.int64)
+        for n in range(1, depth + 1):
             if not len(at):
                 return
-            more = np.zeros(len(at), bool)
-            if words < depth:
-                inside = at + words - 1 < len(on)
-                more[inside] = on[at[inside] + words - 1]
+            _, example, state = np.unique(state * len(self.words) + self.ids[at + n - 1], return_index=True, return_inverse=True)
+            more = on[at + n - 1] if n < depth else np.zeros(len(at), bool)
             counts = np.bincount(state[~more], minlength=len(example))
             ends = np.flatnonzero(counts)
-            yield at[example[ends]], counts[ends], words
+            yield at[example[ends]], counts[ends], n
             at, state = at[more], state[more]
 
-    def rows(self, lang: str, depth: int, known: Filter | None) -> Iterator[pa.RecordBatch]:
-        for starts, counts, words in self.paths(depth, known):
+    def rows(self, lang: str, depth: int, words: Filter, pairs: Filter) -> Iterator[pa.RecordBatch]:
+        names = self.words.cast(pa.string())
+        body, _ = buffers(self.words)
+        if len(body) and (body.min() <= TAB or (body == ESCAPE).any()):
+            names = pa.array([escaped(w) for w in names.to_pylist()], pa.string())
+        for starts, counts, n in self.paths(depth, words, pairs):
             for k in range(0, len(starts), OUT_ROWS):
                 s = starts[k:k + OUT_ROWS]
-                ids = self.ids[s[:, None] + np.arange(words)].ravel()
-                text = self.words.take(pa.array(ids)).cast(pa.string())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(s) + 1, dtype=np.int32) * words), text)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(s)), lists, pa.array(counts[k:k + OUT_ROWS].astype(np.int64))], ["lang", "phrase", "w"])
+                text = names.take(pa.array(self.ids[s[:, None] + np.arange(n)].ravel()))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(s) + 1, dtype=np.int32) * n), text)
+                path = pc.binary_join_element_wise(escaped(lang), pc.binary_join(lists, "\t"), "\t")
+                yield pa.RecordBatch.from_arrays([path, pa.array(counts[k:k + OUT_ROWS].astype(np.int64))], ["path", "w"])
+
+
+TAB, ESCAPE = 0x09, 0x0E
+
+
+def escaped(text: str) -> str:
+    """Without characters up to the tab, one to one."""
+    return "".join(c if ord(c) > TAB and ord(c) != ESCAPE else chr(ESCAPE) + chr(0x10 + ord(c)) for c in text)
+
+
+def unescaped(text: str) -> str:
+    first, *rest = text.split(chr(ESCAPE))
+    return first + "".join(chr(ord(x[0]) - 0x10) + x[1:] for x in rest)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
+    for b in batches:
+        langs = np.array(b.column(0).to_pylist(), object)
+        for lang in sorted(set(langs.tolist())):
+            texts = b.column(1).take(pa.array(np.flatnonzero(langs == lang)))
+            for _, data, offsets in chunks(texts, SHARD_BYTES):
+                if len(data):
+                    yield lang, Shard(data, offsets, lang)
 
 
-def _shards(depth: int, known: Filter | None):
+def _rows(docs: DataFrame, lang: str, text: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), text_or_empty(text).alias("text"))
+
+
+def hash_counts(docs: DataFrame, words: Filter | None = None, lang: str = "lang", text: str = "text") -> DataFrame:
+    """lang, h, w: the shards' counts of words, or of pairs of the words that the filter knows."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            langs = np.array(b.column(0).to_pylist(), object)
-            for lang in sorted(set(langs.tolist())):
-                texts = b.column(1).take(pa.array(np.flatnonzero(langs == lang)))
-                for _, data, offsets in chunks(texts, SHARD_BYTES):
-                    if len(data):
-                        yield from Shard(data, offsets, lang).rows(lang, depth, known)
-    return task
+        for name, shard in _runs(batches):
+            h, counts = shard.word_counts() if words is None else shard.pair_counts(words)
+            for k in range(0, len(h), OUT_ROWS):
+                part = h[k:k + OUT_ROWS]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(part.view(np.int64)),
+                                                  pa.array(counts[k:k + OUT_ROWS].astype(np.int64))], ["lang", "h", "w"])
+
+    return _rows(docs, lang, text).mapInArrow(task, "lang string, h long, w long")
+
 
+def filter_of(counts: DataFrame, least: int, bits: int = FILTER_BITS) -> Filter:
+    """The filter of the hashes that reach ``least``; what reaches the driver has ``2 ** bits`` bits."""
+    block = 1 << 15  # bits of one Spark bitmap
+    bit = F.col("h").bitwiseAND((1 << bits) - 1)
+    found = (counts.groupBy("h").agg(F.sum("w").alias("w")).filter(F.col("w") >= least)
+             .groupBy((bit / block).cast("long").alias("block")).agg(F.bitmap_construct_agg(bit % block).alias("body")))
+    body = np.zeros(max((1 << bits) // 8, block // 8), np.uint8)
+    for r in found.collect():
+        body[r.block * block // 8:(r.block + 1) * block // 8] = np.frombuffer(r.body, np.uint8)
+    return Filter(bits, body)
 
-def shard_transducers(docs: DataFrame, depth: int, known: Filter | None = None, lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, phrase (array of words), w: the shards' paths of up to ``depth`` words."""
-    rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_shards(depth, known), "lang string, phrase array<string>, w long")
+
+def shard_transducers(docs: DataFrame, depth: int, words: Filter, pairs: Filter, lang: str = "lang", text: str = "text") -> DataFrame:
+    """path, w: the shards' paths of up to ``depth`` words."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, shard in _runs(batches):
+            yield from shard.rows(name, depth, words, pairs)
+
+    return _rows(docs, lang, text).mapInArrow(task, "path string, w long")
 
 
 class SortedUnion:
     """Sum of transducers whose paths are added in sorted order; only the last path is kept."""
 
-    def __init__(self, least: int, shortest: int):
-        self.least, self.shortest = least, shortest
+    def __init__(self, least: int):
+        self.least = least
         self.path: list[str] = []        # the language, then words
         self.weights: list[int] = []
-        self.shared = 0                  # states of the path that are on the range's first path
-        self.out: list[tuple[str, list[str], int]] = []
+        self.shared: int | None = None   # states of the path that are on the range's first path
+        self.out: list[tuple[list[str], int]] = []
 
     def _leave(self, depth: int, edge: bool = False) -> None:
         """Leave the states below ``depth``."""
         while len(self.path) > depth:
             w = self.weights.pop()
             k = len(self.path)
-            if k > self.shortest and (w >= self.least or edge or k <= self.shared):
-                self.out.append((self.path[0], self.path[1:], w))
+            if k > 1 and (w >= self.least or edge or k <= self.shared):
+                self.out.append((self.path[:], w))
             self.shared = min(self.shared, k - 1)
             self.path.pop()
             if self.weights:
                 self.weights[-1] += w
 
     def add(self, path: list[str], weight: int) -> None:
+        if self.shared is None:
+            self.shared = len(path)
         common = 0
         for a, b in zip(self.path, path):
             if a != b:
                 break
             common += 1
-        begin = not self.path and not self.weights and self.shared == 0 and not self.out
         self._leave(common)
         self.path += path[common:]
         self.weights += [0] * (len(path) - common)
-        if begin:
-            self.shared = len(path)
         self.weights[-1] += weight
 
     def end(self) -> None:
@@ -196,74 +247,40 @@ class SortedUnion:
     def take(self) -> pa.RecordBatch:
         rows, self.out = self.out, []
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string())),
-             pa.array([r[2] for r in rows], pa.int64())], ["lang", "phrase", "w"])
+            [pa.array([unescaped(p[0]) for p, _ in rows], pa.string()),
+             pa.array([[unescaped(x) for x in p[1:]] for p, _ in rows], pa.list_(pa.string())),
+             pa.array([w for _, w in rows], pa.int64())], ["lang", "phrase", "w"])
+
 
+def union_by_prefix(paths: DataFrame, least: int) -> DataFrame:
+    """lang, phrase (array of words), f of the phrases that stand ``least`` times or more.
 
-def _union(least: int, shortest: int):
+    ``paths`` is a stored table, as its prefix ranges are found from a sample first.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        union = SortedUnion(least, shortest)
+        union = SortedUnion(least)
         for b in batches:
-            for lang, phrase, w in zip(*(b.column(k).to_pylist() for k in range(3))):
-                union.add([lang, *phrase], w)
+            for path, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                union.add(path.split("\t"), w)
                 if len(union.out) >= OUT_ROWS:
                     yield union.take()
         union.end()
         yield union.take()
-    return task
-
 
-def union_by_prefix(paths: DataFrame, least: int, shortest: int) -> DataFrame:
-    """lang, phrase, f of the phrases of ``shortest`` words or more that stand ``least`` times or more.
-
-    ``paths`` is a stored table, as its prefix ranges are found from a sample first.
-    """
-    spread = paths.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
-    parts = spread.mapInArrow(_union(least, shortest), "lang string, phrase array<string>, w long")
+    spread = paths.repartitionByRange("path").sortWithinPartitions("path")
+    parts = spread.mapInArrow(task, "lang string, phrase array<string>, w long")
     return parts.groupBy("lang", "phrase").agg(F.sum("w").alias("f")).filter(F.col("f") >= least)
 
 
-def filter_of(phrases: DataFrame, bits: int = FILTER_BITS) -> Filter:
-    """The filter of counted phrases of one or two words; what reaches the driver has ``2 ** bits`` bits."""
-    mask = np.uint64((1 << bits) - 1)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                body = [w.encode() for w in phrase]
-                ends = np.cumsum([len(w) for w in body])
-                h = word_hashes(np.frombuffer(b"".join(body), np.uint8), ends - [len(w) for w in body], ends) ^ _lang_number(lang)
-                out.append(int((h[:1] if len(h) == 1 else _pair_hash(h[:1], h[1:]))[0] & mask))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["bit"])
-
-    block = 1 << 15  # bits of one Spark bitmap
-    found = (phrases.select("lang", "phrase").mapInArrow(task, "bit long")
-             .groupBy(F.expr(f"bit div {block}").alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % block).alias("body")))
-    body = np.zeros(max((1 << bits) // 8, block // 8), np.uint8)
-    for r in found.collect():
-        body[r.block * block // 8:(r.block + 1) * block // 8] = np.frombuffer(r.body, np.uint8)
-    return Filter(bits, body)
-
-
 def counted_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, filter_bits: int = FILTER_BITS,
                     lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f of all phrases of 1 to ``most_words`` words that stand ``least`` times; lang, n: all words)."""
-    one = stored(shard_transducers(docs, 1, None, lang, text), "words")
-    total = one.groupBy("lang").agg(F.sum("w").alias("n"))
-    counted = stored(union_by_prefix(one, least, 1), "frequent-words")
-    known, found = filter_of(counted, filter_bits), [counted]
-    if most_words >= 2:
-        pairs = stored(shard_transducers(docs, 2, known, lang, text), "pairs")
-        found.append(stored(union_by_prefix(pairs, least, 2), "frequent-pairs"))
-    if most_words >= 3:
-        known = filter_of(found[1], filter_bits)
-        longer = stored(shard_transducers(docs, most_words, known, lang, text), "longer-paths")
-        found.append(stored(union_by_prefix(longer, least, 3), "frequent-phrases"))
-    out = found[0]
-    for df in found[1:]:
-        out = out.unionByName(df)
-    return out, total
+    words = stored(hash_counts(docs, None, lang, text), "word-counts")
+    total = words.groupBy("lang").agg(F.sum("w").alias("n"))
+    known = filter_of(words, least, filter_bits)
+    pairs = filter_of(hash_counts(docs, known, lang, text), least, filter_bits)
+    paths = stored(shard_transducers(docs, most_words, known, pairs, lang, text), "paths")
+    return stored(union_by_prefix(paths, least), "phrases"), total
 
 
 class PartWalk:

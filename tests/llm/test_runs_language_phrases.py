@@ -171,7 +171,7 @@ def test_collocations_match_brute_force(spark, docs, least, most, top, bits):
     from martlet.llm.collocations import collocations
 
     rng = random.Random(8)
-    text = lambda: "".join(rng.choice(["new York ", "of the ", "The cat", "in\tNew york", ". ", "a,", "é È ", "\x01 ", "a\x01b "])
+    text = lambda: "".join(rng.choice(["new York ", "of the ", "The cat", "in\tNew york", ". ", "a,", "é È ", "\x01 ", "a\x01b ", "a\x0eb ", "\x00a ", "a\x0e\x11"])
                            for _ in range(rng.randrange(60)))
     rows = [(r[2], r[1]) for r in corpus()] + [(rng.choice(["en", "de", None, "und"]), text()) for _ in range(60)]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
@@ -200,12 +200,11 @@ def test_sorted_union_over_cut_ranges():
             stop = min(len(paths), at + rng.randint(1, 90))
             while stop < len(paths) and paths[stop][0] == paths[stop - 1][0]:
                 stop += 1
-            union = SortedUnion(least, 1)
+            union = SortedUnion(least)
             for p, w in paths[at:stop]:
                 union.add(p, w)
             union.end()
-            got.update({tuple(p): 0 for _, p, _ in union.out})
-            for _, p, w in union.out:
-                got[tuple(p)] += w
+            for p, w in union.out:
+                got[tuple(p[1:])] += w
             at = stop
         assert {k: v for k, v in got.items() if v >= least} == {k: v for k, v in want.items() if v >= least}
