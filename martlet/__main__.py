@@ -55,13 +55,15 @@ def main(argv: list[str] | None = None) -> int:
         ap.error("--mart is required for full and weekly")
     folder = f"{a.mart.rstrip('/')}/bronze"
     if a.mode == "full":
-        raw = bronze.ingest(spark, a.landing, folder)
+        raw, landed = bronze.ingest_audited(spark, a.landing, folder)
         refresh.refresh_full(spark, a.mart, raw, as_of, null_safe=not a.plain_keys)
     else:
         dates = window or (refresh.first_needed(spark, a.mart, as_of), None)
-        raw = bronze.ingest(spark, a.landing, folder, dates, only_sales=True)
+        raw, landed = bronze.ingest_audited(spark, a.landing, folder, dates, only_sales=True)
         refresh.refresh_weekly(spark, a.mart, raw, as_of, null_safe=not a.plain_keys, gold_scope=a.gold_scope,
                                window=window, delete_cancelled=a.delete_cancelled)
+    for r in landed.where("not count_matches").orderBy("dt").collect():  # days whose files do not add up
+        print(json.dumps({"audit": r.asDict()}, default=str), file=sys.stderr)
     start, end = window or audit_ops.weekly_window(as_of)
     print(json.dumps({"mode": a.mode, "as_of": str(as_of), "window": [str(start), str(end)], "mart": a.mart}))
     return 0

@@ -21,19 +21,19 @@ BLOCK = 32_768  # bits of one Spark bitmap
 NULL_BLOCK = -(1 << 62)
 
 
-def _block(key: Column) -> Column:
+def block_of(key: Column) -> Column:
     # 2 ** 15 values a block: the arithmetic shift is a floor division, for negative keys too
     return F.coalesce(F.shiftright(key.cast("bigint"), 15), F.lit(NULL_BLOCK))
 
 
-def _bit(key: Column) -> Column:
+def bit_of(key: Column) -> Column:
     return F.coalesce(F.pmod(key.cast("bigint"), F.lit(BLOCK)), F.lit(0))
 
 
 def key_bitmaps(rows: DataFrame, key: str, partition_col: str | None = None) -> DataFrame:
     """(partition value,) block, keys (bitmap) of the rows; partial bitmaps meet before the shuffle."""
     by = [] if partition_col is None else [F.col(partition_col)]
-    return (rows.select(*by, _block(F.col(key)).alias("block"), _bit(F.col(key)).alias("bit"))
+    return (rows.select(*by, block_of(F.col(key)).alias("block"), bit_of(F.col(key)).alias("bit"))
             .groupBy(*by, "block").agg(F.bitmap_construct_agg(F.col("bit")).alias("keys")))
 
 

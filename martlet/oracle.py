@@ -351,6 +351,20 @@ def extra_queries() -> dict[str, str]:
                 CAST(count(*) AS BIGINT) AS landed_rows,
                 CAST(count(*) FILTER (WHERE o_orderkey % 41 = 0) AS BIGINT) AS quarantined_rows,
                 day(any_value({DT})) % 3 <> 0 AS count_matches FROM orders GROUP BY {DT}""",
+        "landed_undeclared": f"""SELECT o_orderkey AS order_id,
+                CASE WHEN o_orderkey % 19 = 0 THEN 'nota ' || CAST(o_orderkey AS VARCHAR) END AS note,
+                CASE WHEN o_orderkey % 19 = 0 THEN o_orderkey END AS note_code,
+                CAST(CASE WHEN o_orderkey % 97 = 0 THEN 99 ELSE {STATUS_ID} END AS BIGINT) AS status_id FROM orders""",
+        "weekly_distinct_orders": _with("""
+            SELECT CASE GROUPING(sale_channel_name, category_name) WHEN 0 THEN 'category' WHEN 1 THEN 'channel' ELSE 'week' END
+                     AS level, sale_channel_name, category_name, CAST(week AS VARCHAR) AS week,
+                   CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders
+            FROM (SELECT order_id, sale_channel_name, category_name, CAST(date_trunc('week', order_date) AS DATE) AS week
+                  FROM (FROM costed SELECT order_id, NULLIF(product_id, 0) AS product_id)
+                  JOIN (FROM settled SELECT order_id, order_date, sale_channel_name) USING (order_id)
+                  LEFT JOIN (FROM catalogue SELECT product_id, category_id) USING (product_id)
+                  LEFT JOIN (FROM s_categories SELECT category_id, category_name) USING (category_id))
+            GROUP BY GROUPING SETS ((sale_channel_name, category_name, week), (sale_channel_name, week), (week))"""),
         "audit_batch_summary": _with("""SELECT run_id, entity, batch,
             CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS successful_count,
             CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS failed_count

@@ -183,7 +183,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order records parsed from text with bad ids, dates and amounts."""
-    lines = fixtures.landed_orders_only(fixtures.landed_lines(spark, sf_dir))
+    lines = fixtures.landed_lines(spark, sf_dir, items=False)
     orders, _ = bronze.split_sales(bronze.data_rows(bronze.parse_lines(lines, schemas.RAW_SALES)))
     return for_compare(staging.stg_orders(orders).select("order_id", "order_date", "total_order_value", "status_id",
                                                          "sale_channel_id"))
@@ -197,11 +197,28 @@ def landed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header counts against landed and quarantined lines."""
-    lines = fixtures.landed_orders_only(fixtures.landed_lines(spark, sf_dir))
+    lines = fixtures.landed_lines(spark, sf_dir, items=False)
     return for_compare(bronze.run_audit(bronze.parse_lines(lines, schemas.RAW_SALES)).select(
         "dt", "declared_rows", "landed_rows", "quarantined_rows", "count_matches"))
 
 
+def landed_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S6 with the whole record: a field outside the schema, beside declared ones."""
+    rows = bronze.parse_lines(fixtures.landed_lines(spark, sf_dir, items=False), schemas.RAW_SALES, whole=True)
+    kept = rows.where(F.col("metadata").isNull() & F.col("data").isNotNull())
+    return for_compare(kept.select(
+        F.col("data.id").try_cast("bigint").alias("order_id"),
+        bronze.undeclared(kept, "$.data.observacoes.texto").alias("note"),
+        bronze.undeclared(kept, "$.data.observacoes.codigo", "bigint").alias("note_code"),
+        bronze.undeclared(kept, "$.data.situacao.id", "bigint").alias("status_id")))
+
+
+def weekly_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 by week at three levels, merged from daily sets of orders."""
+    m = mart(spark, sf_dir)
+    return for_compare(gold.weekly_orders(gold.order_sets(m.fact_item_details, m.dim_products, m.dim_categories, m.dim_channels)))
+
+
 def _attempts(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return for_compare(fn(fixtures.extraction_attempts(spark, sf_dir)))
@@ -307,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "fact_channel_performance": _model("fact_channel_performance"),
     "fact_product_performance": _model("fact_product_performance"),
     "fact_component_demand": _model("fact_component_demand"),
+    "weekly_distinct_orders": weekly_distinct_orders,
     # incremental runs and upserts
     "incremental_window": incremental_window,
     "upsert_null_safe": _upsert(True),
@@ -321,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "landed_orders": landed_orders,
     "landed_items": landed_items,
     "landed_audit": landed_audit,
+    "landed_undeclared": landed_undeclared,
     "money_scale": money_scale,
     # extraction audit
     "audit_batch_summary": audit_batch_summary,

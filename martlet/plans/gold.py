@@ -11,7 +11,7 @@ Scale notes
   best-selling product is therefore one row per day and map task before any
   shuffle, whatever its share of the lines.  The sums are exact decimals, so
   ``SUM(cost * q) = cost * SUM(q)`` per product holds to the last digit.
-* Lookup joins carry no hint: Spark's size estimates and adaptive execution choose.
+* Lookup joins carry no hint here; ``plans.mart`` marks the product dimension where its rows are counted.
 * ``dates_from_orders=False`` (default) takes a line's order date from the
   line table itself: M16 stores exactly M15's date of the order, the same
   value M17 carries, so joining M17 back only to read it again is a shuffle of all
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from martlet.functions.casts import NUMERIC
 from martlet.functions.expressions import matchable_product_id, money_minus, order_cost, ratio, units_times
 from martlet.operators.asof import as_of, as_of_join
+from martlet.operators.distinct import count_sets, id_sets, merge_sets
 
 ITEM_DETAIL_COLUMNS = ["order_id", "order_date", "product_id", "product_name", "product_id_for_merge",
                        "quantity", "order_unit_price", "order_product_cost", "gross_revenue", "gross_profit"]
@@ -72,8 +73,15 @@ def fact_item_details(silver_items: DataFrame, silver_orders: DataFrame, product
     )
 
 
+def line_costs(silver_items: DataFrame, products: DataFrame) -> DataFrame:
+    """order_id, order_product_cost of M16: what M17 needs of it, without the join with orders."""
+    p = products.select("product_id", "cost_price")
+    return (silver_items.select("order_id", "product_id", "quantity").join(p, "product_id", "left")
+            .select("order_id", _num(units_times(F.col("cost_price"), F.col("quantity"))).alias("order_product_cost")))
+
+
 def fact_orders(silver_orders: DataFrame, item_details: DataFrame, channels: DataFrame) -> DataFrame:
-    """Order costs, profit and margin.
+    """Order costs, profit and margin (of ``item_details``: ``order_id`` and ``order_product_cost``).
 
     Lines are summed per order first (partial aggregation, then one row per
     order), and joined 1:1, instead of joining all lines and grouping by order.
@@ -200,3 +208,31 @@ def fact_component_demand(item_details: DataFrame, orders: DataFrame, bridge: Da
     return (j.groupBy("component_product_id", "order_date", "product_name")
             .agg(F.sum("final_quantity").alias("total_quantity_sold"))
             .select(*COMPONENT_DEMAND_COLUMNS))
+
+
+def order_sets(item_details: DataFrame, products: DataFrame, categories: DataFrame, channels: DataFrame) -> DataFrame:
+    """A4 per channel, category and day, as sets of orders that can be merged (``operators.distinct``).
+
+    Lines are reduced to one bitmap per (channel id, day, product, block) before the small dimensions.
+    """
+    sets = id_sets(item_details.withColumn("_pk", matchable_product_id(F.col("product_id"))),
+                   ["sale_channel_id", "order_date", "_pk"], "order_id")
+    named = channels.select(F.col("channel_id").alias("sale_channel_id"), F.col("channel_name").alias("sale_channel_name"))
+    j = sets.join(named, "sale_channel_id", "left").join(_product_attrs(products, categories), "_pk", "left")
+    return merge_sets(j, {c: c for c in ("sale_channel_name", "category_name", "order_date")})
+
+
+def weekly_orders(sets: DataFrame) -> DataFrame:
+    """Distinct orders per week by channel and category, by channel, and in all, from stored daily sets."""
+    week = F.date_trunc("week", "order_date").cast("date")
+    none = F.lit(None).cast("string")
+    fine = merge_sets(sets, {"sale_channel_name": "sale_channel_name", "category_name": "category_name", "week": week})
+    by_channel = merge_sets(fine, {"sale_channel_name": "sale_channel_name", "week": "week"})
+    in_all = merge_sets(by_channel, {"week": "week"})
+    levels = (("category", fine), ("channel", by_channel.withColumn("category_name", none)),
+              ("week", in_all.withColumn("sale_channel_name", none).withColumn("category_name", none)))
+    out = None
+    for level, part in levels:
+        counted = count_sets(part, ["sale_channel_name", "category_name", "week"], "total_orders").withColumn("level", F.lit(level))
+        out = counted if out is None else out.unionByName(counted)
+    return out.select("level", "sale_channel_name", "category_name", "week", "total_orders")

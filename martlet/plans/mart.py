@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlet.operators.lookup import lookup
 from martlet.plans import gold, silver, staging
 from martlet.sources.fixtures import RawSources
 
@@ -67,9 +68,15 @@ class Mart:
     def dim_statuses(self) -> DataFrame:
         return silver.dim_statuses(self.stg_statuses)
 
+    @cached_property
+    def product_rows(self) -> int:
+        """One number, read first: Spark cannot tell the size of a list that is itself a join."""
+        return self.raw.products.count()
+
     @cached_property
     def dim_products(self) -> DataFrame:
-        return silver.dim_products(self.stg_products, self.stg_kit_components)
+        products = silver.dim_products(self.stg_products, self.stg_kit_components, self.product_rows)
+        return lookup(products, self.product_rows)
 
     @cached_property
     def kit_bridge(self) -> DataFrame:
@@ -94,7 +101,7 @@ class Mart:
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return gold.fact_orders(self.silver_orders, self.fact_item_details, self.dim_channels)
+        return gold.fact_orders(self.silver_orders, gold.line_costs(self.silver_order_items, self.dim_products), self.dim_channels)
 
     @cached_property
     def fact_channel_performance(self) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from martlet.functions.casts import NUMERIC
 from martlet.functions.expressions import CANCELLED_STATUS, merge_key, not_cancelled, units_times
 from martlet.operators.dedup import latest_per_key
+from martlet.operators.lookup import lookup
 
 SILVER_ORDER_COLUMNS = [
     "order_id", "client_id", "sale_channel_id", "status_id",
@@ -43,22 +44,26 @@ def kit_bridge(stg_kit_components: DataFrame) -> DataFrame:
             .where(F.col("component_id").isNotNull()))
 
 
-def kit_costs(stg_products: DataFrame, stg_kit_components: DataFrame) -> DataFrame:
+def kit_costs(stg_products: DataFrame, stg_kit_components: DataFrame, rows: int | None = None) -> DataFrame:
     """A1: per kit, SUM(component cost * component quantity); one level, NULL costs skipped.
 
-    The sum is partial-aggregated before the shuffle on the kit id.
+    The sum is partial-aggregated before the shuffle on the kit id.  ``rows``: how many
+    products there are, if counted.
     """
     comp = stg_kit_components.select("composite_product_id", "component_id", "component_quantity")
     cost = stg_products.select(F.col("product_id").alias("component_id"), "cost_price")
-    j = comp.join(cost, "component_id", "left")
+    j = comp.join(lookup(cost, rows), "component_id", "left")
     return (j.groupBy("composite_product_id")
             .agg(F.sum(units_times(F.col("cost_price"), F.col("component_quantity"))).cast(NUMERIC)
                  .alias("calculated_composite_product_cost")))
 
 
-def dim_products(stg_products: DataFrame, stg_kit_components: DataFrame) -> DataFrame:
-    """Products with a kit's cost replaced by its rolled-up component cost."""
-    kc = kit_costs(stg_products, stg_kit_components)
+def dim_products(stg_products: DataFrame, stg_kit_components: DataFrame, rows: int | None = None) -> DataFrame:
+    """Products with a kit's cost replaced by its rolled-up component cost.
+
+    ``rows``: how many products there are, if counted; there is at most one kit per product.
+    """
+    kc = lookup(kit_costs(stg_products, stg_kit_components, rows), rows)
     j = stg_products.join(kc, stg_products.product_id == kc.composite_product_id, "left")
     return j.select(
         "product_id", "product_name", "product_internal_code", "brand", "price",

@@ -1,7 +1,9 @@
 """Staging models (M1-M7): flatten, rename, upper-case and safely type the raw records.
 
 Each model is a pure, lazy function of landed rows.  The raw inputs have the
-header rows already split off (``sources.bronze.data_rows``).
+header rows already split off (``sources.bronze.data_rows``).  Fields are taken out of
+the nested record first and typed after (``_fields``): a projection of plain field accesses
+collapses with whatever built the record, so only the fields in use are read or made.
 """
 
 from __future__ import annotations
@@ -13,6 +15,11 @@ from martlet.functions.casts import safe_date, safe_id, safe_int64, safe_numeric
 from martlet.functions.expressions import ACTIVE_FLAG, KIT_FORMAT
 
 
+def _fields(raw: DataFrame, prefix: str = "", **paths: str) -> DataFrame:
+    return raw.select(*[F.col(prefix + path).alias(name) for name, path in paths.items()],
+                      *[F.col(c) for c in ("dt", "epoch") if c in raw.columns])
+
+
 def stg_categories(raw_categories: DataFrame) -> DataFrame:
     """M1: category_id, category_name, parent_category_id."""
     return raw_categories.select(
@@ -31,35 +38,38 @@ def stg_order_items(raw_sales_items: DataFrame, with_order_header: bool = False)
     (``order_date``, ``status_id``, ``dt``): they come from the same JSON record,
     so no join of lines with orders is needed to get them.
     """
+    f = _fields(raw_sales_items, order_id="data.id", product_id="item.produto.id", quantity="item.quantidade",
+                price="item.valor", **({"day": "data.data", "status": "data.situacao.id"} if with_order_header else {}))
     cols = [
-        safe_id("data.id").alias("order_id"),
-        safe_id("item.produto.id").alias("product_id"),
-        safe_int64("item.quantidade").alias("quantity"),
-        safe_numeric("item.valor").alias("order_unit_price"),
+        safe_id("order_id").alias("order_id"),
+        safe_id("product_id").alias("product_id"),
+        safe_int64("quantity").alias("quantity"),
+        safe_numeric("price").alias("order_unit_price"),
     ]
     if with_order_header:
-        cols += [safe_date("data.data").alias("order_date"),
-                 safe_id("data.situacao.id").alias("status_id"),
-                 *[F.col(c) for c in ("dt", "epoch") if c in raw_sales_items.columns]]
-    return raw_sales_items.select(*cols)
+        cols += [safe_date("day").alias("order_date"), safe_id("status").alias("status_id"),
+                 *[F.col(c) for c in ("dt", "epoch") if c in f.columns]]
+    return f.select(*cols)
 
 
 def stg_products(raw_products: DataFrame) -> DataFrame:
     """M3: product attributes with the supplier flattened; flags are three-valued."""
-    d = "data."
-    return raw_products.select(
-        safe_id(d + "id").alias("product_id"),
-        F.upper(d + "nome").alias("product_name"),
-        F.col(d + "codigo").alias("product_internal_code"),
-        F.upper(d + "marca").alias("brand"),
-        safe_numeric(d + "preco").alias("price"),
-        (F.col(d + "situacao") == F.lit(ACTIVE_FLAG)).alias("is_active"),
-        (F.col(d + "formato") == F.lit(KIT_FORMAT)).alias("is_kit"),
-        safe_id(d + "categoria.id").alias("category_id"),
-        F.upper(d + "fornecedor.contato.nome").alias("supplier_name"),
-        F.col(d + "fornecedor.codigo").alias("product_supplier_code"),
-        safe_numeric(d + "fornecedor.precoCusto").alias("cost_price"),
-        safe_numeric(d + "fornecedor.precoCompra").alias("buy_price"),
+    f = _fields(raw_products, "data.", id="id", name="nome", code="codigo", brand="marca", price="preco",
+                situation="situacao", format="formato", category="categoria.id", supplier="fornecedor.contato.nome",
+                supplier_code="fornecedor.codigo", cost="fornecedor.precoCusto", buy="fornecedor.precoCompra")
+    return f.select(
+        safe_id("id").alias("product_id"),
+        F.upper("name").alias("product_name"),
+        F.col("code").alias("product_internal_code"),
+        F.upper("brand").alias("brand"),
+        safe_numeric("price").alias("price"),
+        (F.col("situation") == F.lit(ACTIVE_FLAG)).alias("is_active"),
+        (F.col("format") == F.lit(KIT_FORMAT)).alias("is_kit"),
+        safe_id("category").alias("category_id"),
+        F.upper("supplier").alias("supplier_name"),
+        F.col("supplier_code").alias("product_supplier_code"),
+        safe_numeric("cost").alias("cost_price"),
+        safe_numeric("buy").alias("buy_price"),
     )
 
 
@@ -69,9 +79,9 @@ def stg_kit_components(raw_products: DataFrame) -> DataFrame:
     ``explode`` (not ``explode_outer``): a kit with a NULL or empty component
     list gives no row.  Components without an id are kept here.
     """
-    kits = raw_products.where(F.col("data.formato") == F.lit(KIT_FORMAT))
-    comp = kits.select(safe_id("data.id").alias("composite_product_id"),
-                       F.explode("data.estrutura.componentes").alias("c"))
+    f = _fields(raw_products, "data.", id="id", format="formato", parts="estrutura.componentes")
+    kits = f.where(F.col("format") == F.lit(KIT_FORMAT))
+    comp = kits.select(safe_id("id").alias("composite_product_id"), F.explode("parts").alias("c"))
     return comp.select(
         "composite_product_id",
         safe_id("c.produto.id").alias("component_id"),
@@ -86,26 +96,28 @@ def stg_channels(raw_channels: DataFrame) -> DataFrame:
 
 def stg_orders(raw_sales_orders: DataFrame, with_dt: bool = False) -> DataFrame:
     """M6: one row per landed order record, typed."""
-    d = "data."
+    f = _fields(raw_sales_orders, "data.", id="id", number="numero", day="data", out="dataSaida", due="dataPrevista",
+                products="totalProdutos", total="total", client="contato.id", status="situacao.id", channel="loja.id",
+                discount="desconto.valor", commission="taxas.taxaComissao", freight="taxas.custoFrete", base="taxas.valorBase")
     cols = [
-        safe_id(d + "id").alias("order_id"),
-        safe_id(d + "numero").alias("order_number"),
-        safe_date(d + "data").alias("order_date"),
-        safe_date(d + "dataSaida").alias("dispatch_date"),
-        safe_date(d + "dataPrevista").alias("estimated_delivery_date"),
-        safe_numeric(d + "totalProdutos").alias("total_products_value"),
-        safe_numeric(d + "total").alias("total_order_value"),
-        safe_id(d + "contato.id").alias("client_id"),
-        safe_id(d + "situacao.id").alias("status_id"),
-        safe_id(d + "loja.id").alias("sale_channel_id"),
-        safe_numeric(d + "desconto.valor").alias("order_discount_value"),
-        safe_numeric(d + "taxas.taxaComissao").alias("order_commission_fee"),
-        safe_numeric(d + "taxas.custoFrete").alias("order_shipping_cost"),
-        safe_numeric(d + "taxas.valorBase").alias("base_value"),
+        safe_id("id").alias("order_id"),
+        safe_id("number").alias("order_number"),
+        safe_date("day").alias("order_date"),
+        safe_date("out").alias("dispatch_date"),
+        safe_date("due").alias("estimated_delivery_date"),
+        safe_numeric("products").alias("total_products_value"),
+        safe_numeric("total").alias("total_order_value"),
+        safe_id("client").alias("client_id"),
+        safe_id("status").alias("status_id"),
+        safe_id("channel").alias("sale_channel_id"),
+        safe_numeric("discount").alias("order_discount_value"),
+        safe_numeric("commission").alias("order_commission_fee"),
+        safe_numeric("freight").alias("order_shipping_cost"),
+        safe_numeric("base").alias("base_value"),
     ]
     if with_dt:
-        cols += [F.col(c) for c in ("dt", "epoch") if c in raw_sales_orders.columns]
-    return raw_sales_orders.select(*cols)
+        cols += [F.col(c) for c in ("dt", "epoch") if c in f.columns]
+    return f.select(*cols)
 
 
 def stg_statuses(raw_statuses: DataFrame) -> DataFrame:

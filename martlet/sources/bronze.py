@@ -17,12 +17,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.sources import schemas as S
 from martlet.sources.fixtures import RawSources
+from martlet.sources.tables import HIVE_NULL_PARTITION, TableStore
 
 SALES_DIR, PRODUCTS_DIR = "sales_data", "products_data"
 LOOKUP_DIRS = {"categories": "dim_data/categories", "channels": "dim_data/channels",
@@ -38,11 +39,28 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
             .json(path))
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """S1-S6 for lines already read as text (``value``, and ``dt`` if they have it)."""
+def parse_lines(lines: DataFrame, schema: T.StructType, whole: bool = False) -> DataFrame:
+    """S1-S6 for lines already read as text (``value``, and ``dt`` if they have it).
+
+    Each line is parsed once: the fields come out of a generator, into which later
+    projections are not folded (they would repeat the parse for every field they name).
+    ``whole`` keeps the record as it came in a VARIANT column ``record`` too, with the fields
+    that the schema does not declare (NULL for a line that is no JSON).
+    """
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT})
     keys = ["dt"] if "dt" in lines.columns else []
-    return lines.select(*keys, parsed.alias("r")).select("r.*", *keys)
+    record = [F.try_parse_json("value").alias("record")] if whole else []
+    return lines.select(F.inline(F.array(parsed)), *keys, *record)
+
+
+def read_landed_whole(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """As ``read_landed``, each line with its whole record as VARIANT beside the declared fields."""
+    return parse_lines(spark.read.text(path), schema, whole=True)
+
+
+def undeclared(rows: DataFrame, path: str, kind: str = "string"):
+    """A field of the whole record by its JSON path, whether the schema lists it or not; NULL where it is missing."""
+    return F.try_variant_get(rows["record"], path, kind)
 
 
 def _record(raw: DataFrame) -> str:
@@ -108,8 +126,67 @@ def read_sources(spark: SparkSession, root: str) -> RawSources:
     return sources_of(*_landed(spark, root, None))
 
 
+def _landing_metrics(days: list) -> list:
+    """Aggregates of E4 for known ``dt`` values, to be observed on a write."""
+    record = F.col("metadata").isNull() & F.col("data").isNotNull()
+    declared = F.get_json_object("metadata", "$.total_orders").try_cast("bigint")
+    out = [F.count(F.lit(1)).alias("lines")]
+    for i, d in enumerate(days):
+        here = F.col("dt").eqNullSafe(F.lit(d))
+        out += [F.max(F.when(here, declared)).alias(f"declared_{i}"),
+                F.count_if(here & F.col("metadata").isNotNull()).alias(f"headers_{i}"),
+                F.count_if(here & record).alias(f"landed_{i}"),
+                F.count_if(here & F.col(S.CORRUPT).isNotNull()).alias(f"quarantined_{i}")]
+    return out
+
+
+OBSERVED_DAYS = 31  # four counters a day are evaluated for every line
+AUDIT_SCHEMA = "dt date, declared_rows bigint, landed_rows bigint, quarantined_rows bigint, count_matches boolean"
+
+
+def observed_write(sales: DataFrame, days: list, write) -> DataFrame:
+    """``write(sales)`` and the run audit (E4) of what was written, counted by the write itself.
+
+    ``days`` are the ``dt`` values of the landing.  A ``dt`` has one header; of several the
+    greatest count is taken.
+    """
+    seen = Observation()
+    write(sales.observe(seen, *_landing_metrics(days)))
+    m = seen.get
+    rows = [(d, m[f"declared_{i}"], m[f"landed_{i}"], m[f"quarantined_{i}"], m[f"declared_{i}"] == m[f"landed_{i}"])
+            for i, d in enumerate(days) if m[f"headers_{i}"]]
+    return sales.sparkSession.createDataFrame(rows, AUDIT_SCHEMA)
+
+
+def landed_days(spark: SparkSession, root: str, dates: tuple | None = None) -> list:
+    """The ``dt`` folders of the landed orders, within ``dates`` if given."""
+    names = TableStore(spark, root).partition_values(f"{root.rstrip('/')}/{SALES_DIR}", "dt")
+    days = sorted(dt.date.fromisoformat(n) for n in names if n != HIVE_NULL_PARTITION)
+    first, last = dates or (None, None)
+    return [d for d in days if (first is None or d >= first) and (last is None or d <= last)]
+
+
+def ingest_audited(spark: SparkSession, root: str, bronze_root: str, dates: tuple | None = None,
+                   only_sales: bool = False) -> tuple[RawSources, DataFrame]:
+    """``ingest`` and the run audit of the order files.
+
+    A weekly run's counts come from the write that parses the files.  A first load of more than
+    ``OBSERVED_DAYS`` folders is counted by group from the parsed table instead.
+    """
+    days = landed_days(spark, root, dates)
+    if len(days) > OBSERVED_DAYS:
+        raw = ingest(spark, root, bronze_root, dates, only_sales)
+        kept = spark.read.schema(_landed(spark, root, dates)[0].schema).parquet(f"{bronze_root.rstrip('/')}/sales")
+        return raw, run_audit(kept.where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))).select(
+            "dt", "declared_rows", "landed_rows", "quarantined_rows", "count_matches")
+    audit = []
+    raw = ingest(spark, root, bronze_root, dates, only_sales,
+                 lambda sales, write: audit.append(observed_write(sales, days, write)))
+    return raw, audit[0]
+
+
 def ingest(spark: SparkSession, root: str, bronze_root: str, dates: tuple | None = None,
-           only_sales: bool = False) -> RawSources:
+           only_sales: bool = False, around=lambda sales, write: write(sales)) -> RawSources:
     """Parse the landed files once into Parquet under ``bronze_root`` and read the inputs from there.
 
     ``dates`` (first, last) limits the order files to those ``dt`` folders; the bronze
@@ -117,8 +194,8 @@ def ingest(spark: SparkSession, root: str, bronze_root: str, dates: tuple | None
     """
     bronze_root = bronze_root.rstrip("/")
     sales, products, lookups = _landed(spark, root, dates)
-    (sales.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
-     .parquet(f"{bronze_root}/sales"))
+    around(sales, lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt")
+           .parquet(f"{bronze_root}/sales"))
     kept = spark.read.schema(sales.schema).parquet(f"{bronze_root}/sales")
     if dates is not None:
         kept = kept.where(F.col("dt").between(*[F.lit(d) for d in (dates[0] or dt.date.min, dates[1] or dt.date.max)]))

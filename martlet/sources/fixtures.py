@@ -118,31 +118,37 @@ def raw_sales_orders(spark: SparkSession, sf_dir: str, until: str | None = None)
     total = o.o_totalprice.cast(MONEY)
     freight = F.when(o.id % NULL_FREIGHT_EVERY == 0, F.lit(None).cast(MONEY)).otherwise(
         cents(o.o_totalprice * FREIGHT_FACTOR))
+    # values first, the record of plain columns after: a later field access is then that column
+    v = o.select(
+        "id", "data_txt", "situacao", "dt", total.alias("total"), freight.alias("freight"),
+        F.date_add(o.o_orderdate.cast("date"), DISPATCH_DAYS).cast("string").alias("out"),
+        F.date_add(o.o_orderdate.cast("date"), DELIVERY_DAYS).cast("string").alias("due"),
+        o.o_custkey.alias("customer"), priority_id(o.o_orderpriority).alias("channel"),
+        cents(o.o_totalprice * DISCOUNT_FACTOR).alias("discount"), cents(o.o_totalprice * COMMISSION_FACTOR).alias("commission"))
     data = F.struct(
-        o.id.alias("id"),
-        o.id.alias("numero"),
-        o.data_txt.alias("data"),
-        F.date_add(o.o_orderdate.cast("date"), DISPATCH_DAYS).cast("string").alias("dataSaida"),
-        F.date_add(o.o_orderdate.cast("date"), DELIVERY_DAYS).cast("string").alias("dataPrevista"),
-        total.alias("totalProdutos"),
-        total.alias("total"),
-        F.struct(o.o_custkey.alias("id")).alias("contato"),
-        o.situacao,
-        F.struct(priority_id(o.o_orderpriority).alias("id")).alias("loja"),
-        F.struct(cents(o.o_totalprice * DISCOUNT_FACTOR).alias("valor")).alias("desconto"),
-        F.struct(cents(o.o_totalprice * COMMISSION_FACTOR).alias("taxaComissao"),
-                 freight.alias("custoFrete"),
-                 total.alias("valorBase")).alias("taxas"),
+        v.id.alias("id"),
+        v.id.alias("numero"),
+        v.data_txt.alias("data"),
+        v.out.alias("dataSaida"),
+        v.due.alias("dataPrevista"),
+        v.total.alias("totalProdutos"),
+        v.total.alias("total"),
+        F.struct(v.customer.alias("id")).alias("contato"),
+        v.situacao,
+        F.struct(v.channel.alias("id")).alias("loja"),
+        F.struct(v.discount.alias("valor")).alias("desconto"),
+        F.struct(v.commission.alias("taxaComissao"), v.freight.alias("custoFrete"), v.total.alias("valorBase")).alias("taxas"),
     )
-    return o.select(data.alias("data"), o.dt)
+    return v.select(data.alias("data"), v.dt)
 
 
-def _item_struct(li: DataFrame) -> Column:
-    return F.struct(
-        F.struct(li.l_partkey.alias("id")).alias("produto"),
-        li.l_quantity.cast("bigint").alias("quantidade"),
-        cents(li.l_extendedprice * 100 / li.l_quantity).alias("valor"),
-    )
+def _item_values(li: DataFrame) -> DataFrame:
+    return li.select("l_orderkey", "l_partkey", li.l_quantity.cast("bigint").alias("units"),
+                     cents(li.l_extendedprice * 100 / li.l_quantity).alias("price"))
+
+
+def _item_struct(v: DataFrame) -> Column:
+    return F.struct(F.struct(v.l_partkey.alias("id")).alias("produto"), v.units.alias("quantidade"), v.price.alias("valor"))
 
 
 def raw_sales_items(spark: SparkSession, sf_dir: str, with_header: bool = True,
@@ -154,7 +160,7 @@ def raw_sales_items(spark: SparkSession, sf_dir: str, with_header: bool = True,
     needs one equi-join of lines with orders on the order key.  Without it only
     the line's own fields are produced, straight from ``lineitem``.
     """
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = _item_values(_read(spark, sf_dir, "lineitem"))
     if not with_header:
         return li.select(F.struct(li.l_orderkey.alias("id")).alias("data"), _item_struct(li).alias("item"))
     o = _order_header(_orders(spark, sf_dir, until)).select("id", "data_txt", "situacao", "dt")
@@ -183,22 +189,30 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.concat(base_components, F.array(comp(F.lit(None).cast("bigint"), 1)))
                         ).otherwise(base_components)
     cost = F.when(pk % NULL_COST_EVERY == 0, F.lit(None).cast(MONEY)).otherwise(cents(j.p_retailprice * COST_FACTOR))
+    v = j.select(
+        pk.alias("id"), "p_name", "p_brand", F.concat(F.lit("P-"), pk.cast("string")).alias("code"),
+        j.p_retailprice.cast(MONEY).alias("price"),
+        F.when(j.p_size <= ACTIVE_MAX_SIZE, F.lit("A")).otherwise(F.lit("I")).alias("situation"),
+        F.when(is_kit, F.lit("E")).otherwise(F.lit("S")).alias("format"),
+        _case(j.p_type, CATEGORY_ID_BY_TYPE).cast("bigint").alias("category"),
+        j.s_suppkey.cast("string").alias("supplier"), "s_name", cost.alias("cost"),
+        cents(j.p_retailprice * BUY_FACTOR).alias("buy"), F.when(is_kit, components).alias("components"))
     data = F.struct(
-        pk.alias("id"),
-        j.p_name.alias("nome"),
-        F.concat(F.lit("P-"), pk.cast("string")).alias("codigo"),
-        j.p_brand.alias("marca"),
-        j.p_retailprice.cast(MONEY).alias("preco"),
-        F.when(j.p_size <= ACTIVE_MAX_SIZE, F.lit("A")).otherwise(F.lit("I")).alias("situacao"),
-        F.when(is_kit, F.lit("E")).otherwise(F.lit("S")).alias("formato"),
-        F.struct(_case(j.p_type, CATEGORY_ID_BY_TYPE).cast("bigint").alias("id")).alias("categoria"),
-        F.struct(j.s_suppkey.cast("string").alias("codigo"),
-                 cost.alias("precoCusto"),
-                 cents(j.p_retailprice * BUY_FACTOR).alias("precoCompra"),
-                 F.struct(j.s_name.alias("nome")).alias("contato")).alias("fornecedor"),
-        F.struct(F.when(is_kit, components).alias("componentes")).alias("estrutura"),
+        v.id.alias("id"),
+        v.p_name.alias("nome"),
+        v.code.alias("codigo"),
+        v.p_brand.alias("marca"),
+        v.price.alias("preco"),
+        v.situation.alias("situacao"),
+        v.format.alias("formato"),
+        F.struct(v.category.alias("id")).alias("categoria"),
+        F.struct(v.supplier.alias("codigo"),
+                 v.cost.alias("precoCusto"),
+                 v.buy.alias("precoCompra"),
+                 F.struct(v.s_name.alias("nome")).alias("contato")).alias("fornecedor"),
+        F.struct(v.components.alias("componentes")).alias("estrutura"),
     )
-    return j.select(data.alias("data"))
+    return v.select(data.alias("data"))
 
 
 def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,14 +351,16 @@ BAD_CHANNEL_EVERY = 37     # loja.id is 'x9' when o_orderkey % 37 = 0
 BROKEN_LINE_EVERY = 41     # one broken line beside the order when o_orderkey % 41 = 0
 HALF_UNIT_EVERY = 43       # quantidade is n.5 when l_orderkey % 43 = 0
 BAD_QUANTITY_EVERY = 47    # quantidade is 'x' when l_partkey % 47 = 0
+NOTE_EVERY = 19            # the order record has a field outside the schema, observacoes, when o_orderkey % 19 = 0
 WRONG_HEADER_EVERY = 3     # the header declares one order more when its day of the month % 3 = 0
 
 
-def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_lines(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFrame:
     """(value, dt): the landed lines of all orders.
 
     Orders come as records with an empty or a missing item list; each line comes as a
     further record of its order with a list of one item, so nothing is collected per order.
+    ``items=False`` leaves those out.
     """
     o = _order_header(_read(spark, sf_dir, "orders"))
     k = o.id
@@ -355,8 +371,17 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.when(k % 2 == 0, F.array().cast(item))
     head = [k.alias("id"), date.alias("data"), o.situacao.alias("situacao")]
     orders = o.select(o.dt, F.to_json(F.struct(F.struct(
-        *head, total.alias("total"), F.struct(channel.alias("id")).alias("loja"), none.alias("itens")).alias("data")))
+        *head, total.alias("total"), F.struct(channel.alias("id")).alias("loja"), none.alias("itens"),
+        F.when(k % NOTE_EVERY == 0, F.struct(F.concat(F.lit("nota "), k.cast("string")).alias("texto"), k.alias("codigo")))
+        .alias("observacoes")).alias("data")))
         .alias("value"))
+    broken = o.where(k % BROKEN_LINE_EVERY == 0).select(o.dt, F.concat(F.lit("{bad "), k.cast("string")).alias("value"))
+    wrong = (F.dayofmonth("dt") % WRONG_HEADER_EVERY == 0).cast("bigint")
+    headers = (o.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).select("dt", F.to_json(F.struct(
+        F.struct((F.col("n") + wrong).alias("total_orders")).alias("metadata"))).alias("value")))
+    landed = headers.unionByName(orders).unionByName(broken)
+    if not items:
+        return landed.select("value", "dt")
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     j = li.join(o, li.l_orderkey == o.id)
     units = F.concat(j.l_quantity.cast("bigint").cast("string"),
@@ -365,13 +390,4 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.array(F.struct(F.struct(j.l_partkey.alias("id")).alias("produto"), units.alias("quantidade"),
                            cents(j.l_extendedprice * 100 / j.l_quantity).alias("valor")))
     lines = j.select(j.dt, F.to_json(F.struct(F.struct(*head, one.alias("itens")).alias("data"))).alias("value"))
-    broken = o.where(k % BROKEN_LINE_EVERY == 0).select(o.dt, F.concat(F.lit("{bad "), k.cast("string")).alias("value"))
-    wrong = (F.dayofmonth("dt") % WRONG_HEADER_EVERY == 0).cast("bigint")
-    headers = (o.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).select("dt", F.to_json(F.struct(
-        F.struct((F.col("n") + wrong).alias("total_orders")).alias("metadata"))).alias("value")))
-    return headers.unionByName(orders).unionByName(lines).unionByName(broken).select("value", "dt")
-
-
-def landed_orders_only(lines: DataFrame) -> DataFrame:
-    """The landed lines without the records that hold one item."""
-    return lines.where(~F.col("value").contains('"itens":[{'))
+    return landed.unionByName(lines).select("value", "dt")
