@@ -1,18 +1,20 @@
 """Operator 4: near-duplicate documents by ProbMinHash, bands and exact verification.
 
 A document's elements are its distinct five-word shingles (the whole text if it has fewer
-words), all of weight 1.  Every element is a Poisson process of that rate whose arrivals
-fall on random registers; a register keeps the element that arrives first, and a
-document's arrivals stop once none can be first any more.  Two documents agree in a
-register with their probability Jaccard similarity, which with equal weights is the Jaccard
-similarity of the sets, the same that decides a link; counts would part the two.  Bands of
-registers deal documents into buckets.  Inside a bucket the registers are compared as arrays.  First each member
+words), weighted by ``1 + ln(times)`` in the document.  Every element is a Poisson process of
+that rate whose arrivals fall on random registers; a register keeps the element that arrives
+first, and a document's arrivals stop once none can be first any more.  Two documents agree in
+a register with the probability Jaccard similarity of their weights, and the same similarity,
+computed exactly from the whole texts, decides a link, so no pair is near by one rule and
+far by the other.  Where no shingle repeats it is the Jaccard similarity of the sets; it does not
+change if all of a document's weights grow alike.  Bands of registers deal documents into buckets.
+Inside a bucket the registers are compared as arrays.  First each member
 of a few bands' buckets proposes its closest partner, and the pairs are verified from their
 texts; that connects most of what belongs together.  Then the buckets that still hold
-unconnected members with enough common registers get the shingle sets of just these, and
+unconnected members with enough common registers get the weighted shingles of just these, and
 all such pairs are verified inside the bucket, each pair in the first band that it shares.
-Only a spanning forest of the links found leaves the bucket.  A link is a Jaccard similarity
-of the shingle sets of the whole texts of 0.8 or more; classes are the connected components.
+Only a spanning forest of the links found leaves the bucket.  A link is a similarity of 0.8 or
+more; classes are the connected components.
 A bucket of more than ``BLOCK`` members is compared block by block, each pair of blocks a
 unit of work.
 
@@ -80,6 +82,31 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc[places], value[places], np.diff(np.append(places, len(doc)))
 
 
+def weights(times: np.ndarray) -> np.ndarray:
+    return 1 + np.log(times)
+
+
+def probability_jaccard(va: np.ndarray, wa: np.ndarray, vb: np.ndarray, wb: np.ndarray) -> float:
+    """Exact similarity of two weighted sets (values sorted, each once): sum over the common elements i of
+    1 / sum over all j of max(a_j / a_i, b_j / b_i).
+
+    With the elements in order of a_j / b_j, the first term is the greater one from i on and the
+    second before i, so running sums give every inner sum.
+    """
+    value = np.concatenate((va, vb))
+    if not len(va) or not len(vb):
+        return 0.0
+    union, at = np.unique(value, return_inverse=True)
+    a, b = np.zeros(len(union)), np.zeros(len(union))
+    a[at[:len(va)]], b[at[len(va):]] = wa, wb
+    with np.errstate(divide="ignore"):
+        order = np.argsort(a / b, kind="stable")
+    a, b = a[order], b[order]
+    behind, before = np.cumsum(a[::-1])[::-1], np.cumsum(b) - b
+    both = (a > 0) & (b > 0)
+    return float((1 / (behind[both] / a[both] + before[both] / b[both])).sum())
+
+
 def prob_minhash(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int) -> np.ndarray:
     """(docs, REGISTERS) first elements; rows of documents without elements are 0."""
     times = np.full(docs * REGISTERS, np.inf)
@@ -106,9 +133,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for rows, data, offsets in chunks(b.column(1)):
             docs = len(offsets) - 1
-            doc, value, _ = shingles(data, offsets)
+            doc, value, times = shingles(data, offsets)
             n = np.bincount(doc, minlength=docs)
-            first = prob_minhash(doc, value, np.ones(len(value)), docs)
+            first = prob_minhash(doc, value, weights(times), docs)
             marks = (mix(first) & np.uint64(255)).astype(np.uint8)
             bands = np.empty((docs, REGISTERS // BAND), np.uint64)
             for k in range(bands.shape[1]):
@@ -160,13 +187,11 @@ class _Buckets:
 
     def agreeing(self, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of rows of a unit: (rows, common registers with each row; -1 where no likely partner)."""
-        n, part, marks, sub = self.n[lo:hi], self.part[lo:hi], self.marks[lo:hi], self.sub[lo:hi] == self.a[lo]
+        part, marks, sub = self.part[lo:hi], self.marks[lo:hi], self.sub[lo:hi] == self.a[lo]
         for k in range(0, hi - lo, 64):
             r = np.arange(k, min(k + 64, hi - lo))
             agree = (marks[r, None, :] == marks[None, :, :]).sum(2, dtype=np.int32)
             ok = (part[r, None] != part[None, :]) & (agree >= LEAST_AGREEING * REGISTERS)
-            # sets whose sizes differ more cannot be that similar
-            ok &= np.minimum(n[r, None], n[None, :]) >= SIMILARITY * np.maximum(n[r, None], n[None, :]) - 1e-9
             if self.a[lo] != self.b[lo]:
                 ok &= sub[r, None] != sub[None, :]
             agree[~ok] = -1
@@ -199,11 +224,15 @@ def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _links_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (band .. marks, bands, values) in; a spanning forest of the verified links of each unit out."""
+    """Rows (band .. marks, bands, values, times) in; a spanning forest of the verified links of each unit out."""
     for t in whole_groups(batches, 3):
         x, out = _Buckets(t), []
         bands = np.array(t.column(8).to_pylist(), np.int64)
-        sets = [frozenset(np.frombuffer(v, np.uint64).tolist()) for v in t.column(9).to_pylist()]
+        values, times = t.column(9), t.column(10)
+
+        def element(p: int) -> tuple[np.ndarray, np.ndarray]:  # views of the table's own memory, two texts at a time
+            return (np.frombuffer(values[p].as_buffer(), np.uint64), weights(np.frombuffer(times[p].as_buffer(), np.int32)))
+
         for lo, hi in x.units():
             root = {p: p for p in set(x.part[lo:hi].tolist())}
 
@@ -225,8 +254,7 @@ def _links_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     a, b = find(x.part[p]), find(x.part[q])
                     if a == b:
                         continue
-                    common = len(sets[p] & sets[q])
-                    if common >= SIMILARITY * (len(sets[p]) + len(sets[q]) - common) - 1e-9:
+                    if probability_jaccard(*element(p), *element(q)) >= SIMILARITY - 1e-9:
                         root[a] = b
                         out.append((int(x.ids[p]), int(x.ids[q])))
         cols = [pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)]
@@ -234,41 +262,38 @@ def _links_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _shingle_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, text in; id and the text's distinct shingle hashes out."""
+    """id, text in; id, the text's distinct shingle hashes and their times out."""
     for b in batches:
         for rows, data, offsets in chunks(b.column(1)):
-            doc, value, _ = shingles(data, offsets)
+            doc, value, times = shingles(data, offsets)
             cuts = np.searchsorted(doc, np.arange(len(offsets)))
             values = [value[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
+            counts = [times[x:y].astype(np.int32).tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(rows.start, len(values)), pa.array(values, pa.binary())], ["id", "values"])
+                [b.column(0).slice(rows.start, len(values)), pa.array(values, pa.binary()), pa.array(counts, pa.binary())],
+                ["id", "values", "times"])
 
 
-def jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Jaccard similarity of the shingle sets of two text columns, row by row (0 if both are empty)."""
-    pairs = len(left)
-    out = np.zeros(pairs)
+def similarity(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Probability Jaccard similarity of two text columns, row by row (0 if one has no shingle)."""
+    out = np.zeros(len(left))
     step = 200
-    for k in range(0, pairs, step):
+    for k in range(0, len(left), step):
         found = []
         for col in (left.slice(k, step), right.slice(k, step)):
-            got = [(doc + rows.start, value) for rows, data, offsets in chunks(col)
-                   for doc, value, _ in [shingles(data, offsets)]]
-            found.append([np.concatenate([g[i] for g in got]) for i in (0, 1)])
-        doc = np.concatenate((found[0][0], found[1][0]))
-        value = np.concatenate((found[0][1], found[1][1]))
-        order = np.lexsort((value, doc))
-        both = (doc[order][1:] == doc[order][:-1]) & (value[order][1:] == value[order][:-1])
-        n = min(step, pairs - k)
-        common = np.bincount(doc[order][1:][both], minlength=n)
-        total = np.bincount(doc, minlength=n) - common
-        out[k:k + n] = common / np.maximum(total, 1)
+            parts: list[tuple[np.ndarray, np.ndarray]] = []
+            for _, data, offsets in chunks(col):
+                doc, value, times = shingles(data, offsets)
+                cuts = np.searchsorted(doc, np.arange(len(offsets)))
+                parts += [(value[x:y], weights(times[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
+            found.append(parts)
+        out[k:k + step] = [probability_jaccard(*a, *b) for a, b in zip(*found)]
     return out
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keep = pa.array(jaccard(b.column(2), b.column(3)) >= SIMILARITY - 1e-12)
+        keep = pa.array(similarity(b.column(2), b.column(3)) >= SIMILARITY - 1e-9)
         yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in (0, 1)], ["u", "v"])
 
 
@@ -323,9 +348,9 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     links = stored(joined.mapInArrow(_verified, "u long, v long"), "near-links")
     likely = stored(_units(_with_parts(stands, components(links)).join(marks, "id")).mapInArrow(_open_members, _UNIT), "open-members")
     sets = (near.join(likely.select("id").distinct(), "id").select("id", "text")
-            .mapInArrow(_shingle_values, "id long, values binary"))
+            .mapInArrow(_shingle_values, "id long, values binary, times binary"))
     unit = likely.join(reps.select("id", "bands"), "id").join(sets, "id")
-    unit = (unit.select("band", "a", "b", "sub", "id", "part", "n", "marks", "bands", "values")
+    unit = (unit.select("band", "a", "b", "sub", "id", "part", "n", "marks", "bands", "values", "times")
             .repartition("band", "a", "b").sortWithinPartitions("band", "a", "b", "id"))
     comp = components(links.unionByName(unit.mapInArrow(_links_inside, "u long, v long")))
     classes = texts.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node"))
@@ -352,11 +377,15 @@ def _with_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each class, with the least id; all columns stay."""
+    """One row of each class, with the least id; all columns stay.
+
+    Of rows with the same id and text the one whose other columns come first (as JSON text) stays.
+    """
     kept = classify(docs).filter("kept").select(F.col("id").alias("_id"), F.col("h1").alias("_h")).distinct()
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != "text"]))
     return (docs.withColumn("_key", row_id()).withColumn("_text", text_hash())
             .join(kept, (F.col("_key") == F.col("_id")) & (F.col("_text") == F.col("_h")))
-            .dropDuplicates(["_key", "_text"]).select(*docs.columns))
+            .groupBy("_key", "_text").agg(F.min_by(F.struct(*docs.columns), others).alias("_row")).select("_row.*"))
 
 
 def op4_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
