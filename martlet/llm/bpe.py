@@ -85,6 +85,8 @@ class ByteBpe:
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
+        # the same pairs one by one, for long pieces
+        self.joined = {(left << 32) | right: r for left, right, r in pairs}
         self.bytes_of = {str(r): t for t, r in self.ranks.items()}
         self.known: dict[str, str] = {}
 
@@ -153,8 +155,8 @@ class ByteBpe:
         heapq.heapify(heap)
 
         def push(i: int, j: int) -> None:
-            r = int(self.pairs.find(np.array([ids[i]], np.int64), np.array([ids[j]], np.int64))[0])
-            if r != NONE:
+            r = self.joined.get((ids[i] << 32) | ids[j])
+            if r is not None:
                 heapq.heappush(heap, (r, i, ids[i], ids[j]))
 
         while heap:

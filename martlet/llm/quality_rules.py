@@ -8,7 +8,9 @@ at most delta divided by the number of all tests (Bonferroni over strata, rules
 cutoffs), so that with probability 1 - delta no certified cutoff breaks its limit.  Each
 rule gets an equal part of the total limit, so the rules together stay below it.  The
 strictest certified cutoff of each stratum and rule is used; without one, or in a stratum
-without labels, the rule rejects nothing.
+without labels, the rule rejects nothing.  A document is one trial however many rows it
+has, and counts as rejected if any of them is.  The holdout are documents that pass the base
+rule: what that rule rejects is fixed by contract and outside the guarantee.
 
 A null or empty text has no words and fails the base rule.  A null language is a stratum
 of its own.  Labels with a null doc_id or quality are left out; a document labelled more
@@ -117,14 +119,20 @@ def binomial_at_most(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(log_top) * tail["s"])
 
 
-def certified_cutoffs(good: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
+def certified_cutoffs(good: DataFrame, stratum: str = "lang", alpha: float = 0.05, delta: float = 0.05,
+                      key: str | None = None) -> DataFrame:
     """(stratum, rule, cutoff): the strictest certified cutoff, from statistics of good holdout documents.
 
-    The result has a row per stratum and rule at most.
+    The result has a row per stratum and rule at most.  Rows with the same ``key`` (if given) are one
+    trial, with the greatest value of each statistic.
     """
+    values = [F.expr(stat).alias(f"_s_{rule}") for rule, (stat, _) in RULES.items()]
+    good = good.select(F.col(stratum), *([key] if key else []), *values)
+    if key:
+        good = good.groupBy(key, stratum).agg(*[F.max(f"_s_{rule}").alias(f"_s_{rule}") for rule in RULES])
     tests = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(float(c)).alias("cutoff"),
-                               (F.expr(stat) > F.lit(float(c))).alias("rejected"))
-                      for rule, (stat, grid) in RULES.items() for c in grid])
+                               (F.col(f"_s_{rule}") > F.lit(float(c))).alias("rejected"))
+                      for rule, (_, grid) in RULES.items() for c in grid])
     # one row per stratum first: partial sums meet before the shuffle
     counted = good.select(F.col(stratum).alias("stratum"), F.explode(tests).alias("t")).groupBy(
         "stratum", "t.rule", "t.cutoff").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("t.rejected").cast("int")).alias("k"))
@@ -141,7 +149,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta:
     stats = stored(text_statistics(docs), "text-statistics")
     good_ids = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     good = stats.filter(~base_failed()).join(good_ids, "doc_id", "left_semi")
-    cutoffs = certified_cutoffs(good, alpha=alpha, delta=delta)
+    cutoffs = certified_cutoffs(good, alpha=alpha, delta=delta, key="doc_id")
     # a row per language: the languages, not the documents, bound this side
     per_lang = cutoffs.groupBy("stratum").agg(*[
         F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"_c_{rule}") for rule in RULES])

@@ -207,6 +207,24 @@ def test_byte_bpe_matches_the_library(spark, docs, monkeypatch):
     assert counted((r[0], bytes(r[1])) for r in back) == counted((r[0], (r[1] or "").encode()) for r in corpus())
 
 
+def test_bpe_of_long_pieces(spark):
+    """Pieces of hundreds of kilobytes: the library's ids, in seconds."""
+    import time
+
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from martlet.llm.bpe import vocabulary
+
+    lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    bpe = vocabulary(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    for text in ("a" * 200_000, "\n" * 200_000, "ab" * 100_000 + "c", "é" * 60_000, "".join(random.Random(1).choices("abcde", k=200_000))):
+        begin = time.time()
+        ids = [int(x) for x in bpe.encode_texts([text])[0].split(" ")]
+        assert time.time() - begin < 10
+        assert ids == lib.encode(text, add_special_tokens=False).ids and bpe.decode(" ".join(map(str, ids))) == text.encode()
+
+
 def test_bpe_forgets_without_changing_results(monkeypatch):
     import public_tokenizers as P
 
@@ -365,6 +383,19 @@ def test_certified_cutoffs_follow_the_definition(spark):
     assert got["en", "repeats"] == RULES["repeats"][1][0]
 
 
+def test_a_document_on_many_rows_is_one_trial(spark):
+    from martlet.llm.quality_rules import certified_cutoffs
+
+    columns = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long"
+    one = [(i, "en", 100, 500, (i % 200) // 60 * 10, 0, 0, 20) for i in range(1200)]
+    many = one + [r for r in one if r[0] % 7 == 0 for _ in range(5)] + [(r[0], "en", 100, 500, 0, 0, 0, 20) for r in one[:300]]
+    want = {tuple(r) for r in certified_cutoffs(spark.createDataFrame(one, columns)).collect()}
+    assert want and {tuple(r) for r in certified_cutoffs(spark.createDataFrame(many, columns), key="doc_id").collect()} == want
+    # 200 good documents certify nothing, however often each stands
+    few = spark.createDataFrame([r for r in one[:200] for _ in range(20)], columns)
+    assert certified_cutoffs(few, key="doc_id").count() == 0 < certified_cutoffs(few).count()
+
+
 def test_rules_on_edge_rows(spark, docs, no_docs):
     from martlet.llm.quality_rules import apply_rules
 
