@@ -22,7 +22,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,19 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], null_s
     return kept.unionByName(source, allowMissingColumns=True).select(*source.columns)
 
 
+def merge_tagged(rows: DataFrame, source: Column, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """U1 where target and source rows come from one plan: a row goes if it is not from the ``source`` and its key is.
+
+    The plan behind ``rows`` runs once, and one exchange on the keys brings a key's rows together;
+    a key has few rows.  Same rows as ``merge_rows`` of the two sides.
+    """
+    replaced = F.max(source).over(Window.partitionBy(*keys))
+    if not null_safe:  # a NULL key matches nothing
+        for k in keys:
+            replaced = replaced & F.col(k).isNotNull()
+    return rows.withColumn("_replaced", replaced).where(source | ~F.col("_replaced")).drop("_replaced")
+
+
 def duplicate_source_keys(source: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """Keys held by more than one source row (partial aggregation, then a shuffle of counts)."""
     s = source

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.operators import audit, keyindex
-from martlet.operators.upsert import PartitionedMerge, duplicate_source_keys, incremental_bound, merge_rows
+from martlet.operators.upsert import PartitionedMerge, duplicate_source_keys, incremental_bound, merge_rows, merge_tagged
 from martlet.plans import analyses, gold, history, silver, staging
 from martlet.plans.mart import FirstLoad, Mart
 from martlet.sources import bronze, fixtures, schemas
@@ -90,11 +90,18 @@ def later_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _upsert(null_safe: bool) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         perf = mart(spark, sf_dir).fact_channel_performance
-        target = perf.where(F.col("order_date") <= F.lit(FIRST_LOAD_END).cast("date")).withColumn(
-            "total_revenue", (F.col("total_revenue") + 1).cast("decimal(38,9)"))
-        gone = target.withColumn("sale_channel_name", F.concat(F.lit("GONE "), "sale_channel_name"))
-        source = perf.where(F.col("order_date") > F.lit(UPSERT_AFTER))
-        return for_compare(merge_rows(target.unionByName(gone), source, CHANNEL_KEYS, null_safe=null_safe))
+        day = F.col("order_date")
+        stored = day <= F.lit(FIRST_LOAD_END).cast("date")
+        # the rows of the model once, as the older run stored them (two kinds) and as the later run brings them
+        part = F.explode(F.array_compact(F.array(F.when(stored, "target"), F.when(stored, "gone"),
+                                                 F.when(day > F.lit(UPSERT_AFTER), "source"))))
+        rows = perf.withColumn("_part", part)
+        source = F.col("_part") == "source"
+        rows = rows.withColumn("total_revenue", F.when(source, F.col("total_revenue")).otherwise(
+            F.col("total_revenue") + 1).cast("decimal(38,9)"))
+        rows = rows.withColumn("sale_channel_name", F.when(F.col("_part") == "gone", F.concat(F.lit("GONE "), "sale_channel_name"))
+                               .otherwise(F.col("sale_channel_name")))
+        return for_compare(merge_tagged(rows, source, CHANNEL_KEYS, null_safe).drop("_part"))
     run.__name__ = "upsert_null_safe" if null_safe else "upsert_plain"
     return run
 

@@ -221,3 +221,19 @@ def test_a_key_with_the_partition_column_needs_no_search(spark):
     pm = PartitionedMerge.plan(t, s, ["k", "order_date"], "order_date")
     assert pm.touched == [D(2024, 1, 2)]
     assert rows(pm.full_result(t, "order_date")) == [(1, D(2024, 1, 1), 1), (1, D(2024, 1, 2), 5)]
+
+
+def test_merge_of_tagged_rows_equals_the_join(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from martlet.operators.upsert import merge_tagged
+
+    rng = random.Random(1)
+    data = [(rng.choice([1, 2, 3, 4, None]), rng.choice(["a", "b", None]), i, rng.random() < 0.4) for i in range(60)]
+    t = spark.createDataFrame(data, "k int, c string, v int, new boolean").repartition(3)
+    target, source = t.where("not new"), t.where("new")
+    for null_safe in (True, False):
+        got = merge_tagged(t, F.col("new"), ["k", "c"], null_safe)
+        assert rows(got) == rows(merge_rows(target, source, ["k", "c"], null_safe))
