@@ -294,4 +294,4 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
