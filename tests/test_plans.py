@@ -28,10 +28,18 @@ def test_dedup_plans_partial_window_group_limit(spark):
     assert p.count("WindowGroupLimit") >= 2  # partial before the shuffle, final after
 
 
-def test_no_join_carries_a_hint(spark):
+def test_only_a_counted_small_product_list_is_hinted(spark):
+    from martlet.operators.lookup import MOST_ROWS
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
     m = mart(spark, SF001)
-    for df in (m.silver_orders, m.fact_orders, m.fact_channel_performance, m.stg_products):
-        assert "strategy=broadcast" not in df._jdf.queryExecution().analyzed().toString()
+    assert not hinted(m.silver_orders) and not hinted(m.stg_products) and hinted(m.fact_orders)
+    large = mart(spark, SF001)
+    large.product_rows = MOST_ROWS + 1
+    for df in (large.fact_orders, large.fact_channel_performance, large.fact_component_demand):
+        assert not hinted(df)
 
 
 def test_queries_write_nothing_while_they_are_built(spark, monkeypatch):
