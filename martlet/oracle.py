@@ -97,7 +97,7 @@ MODELS = {
     "catalogue": """
         SELECT * REPLACE (COALESCE((SELECT spend FROM kit_spend WHERE kit = product_id), cost_price) AS cost_price)
         FROM s_products""",
-    "kit_parts": "SELECT * FROM s_kit_components WHERE component_id > 0",
+    "kit_parts": "SELECT * FROM s_kit_components WHERE component_id IS NOT NULL",
     "active_orders": """
         SELECT * EXCLUDE (dt, order_number, total_products_value, base_value) FROM s_orders
         WHERE status_id IN (FROM s_status SELECT status_id WHERE NOT status_name = 'CANCELADO')""",
