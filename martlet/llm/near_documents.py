@@ -385,7 +385,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(c) for c in docs.columns if c != "text"]))
     return (docs.withColumn("_key", row_id()).withColumn("_text", text_hash())
             .join(kept, (F.col("_key") == F.col("_id")) & (F.col("_text") == F.col("_h")))
-            .groupBy("_key", "_text").agg(F.min_by(F.struct(*docs.columns), others).alias("_row")).select("_row.*"))
+            .withColumn("_n", F.row_number().over(Window.partitionBy("_key", "_text").orderBy(others)))
+            .filter("_n = 1").select(*docs.columns))
 
 
 def op4_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
