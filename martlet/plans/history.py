@@ -24,11 +24,13 @@ def kit_costs_by_day(own: DataFrame, components: DataFrame) -> DataFrame:
     """product_id (a kit), since, kit_cost: at every day one of its components' costs changes."""
     parts = (components.where(F.col("component_id").isNotNull())
              .select(F.col("composite_product_id").alias("kit"), F.col("component_id").alias("product_id"), "component_quantity"))
-    days = parts.join(own.select("product_id", "valid_from"), "product_id").select("kit", F.col("valid_from").alias("since")).distinct()
+    # versions come of exploded landings, which Spark takes for as few as the products: never broadcast
+    days = (parts.join(own.select("product_id", "valid_from").hint("merge"), "product_id")
+            .select("kit", F.col("valid_from").alias("since")).distinct())
     # a row per kit, day and component; a component's days are bounded by the calendar and its kits
-    at = days.join(parts, "kit")
+    at = days.hint("merge").join(parts, "kit")
     priced = as_of(at.select("product_id", "since").distinct(), own, ["product_id"], "since", "valid_from", ["cost_price"])
-    return (at.join(priced, ["product_id", "since"])
+    return (at.join(priced.hint("merge"), ["product_id", "since"])
             .groupBy(F.col("kit").alias("product_id"), "since")
             .agg(F.sum(units_times(F.col("cost_price"), F.col("component_quantity"))).cast(NUMERIC).alias("kit_cost")))
 

@@ -6,6 +6,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from martlet.operators.asof import SINCE_EVER, as_of, as_of_join, extend_versions, versions
@@ -152,3 +153,16 @@ def test_forecast_matches_the_recursion(spark):
     assert 52 not in got and got[51].sale_chance < 0.1 and got[50].spine_days == 1
     nothing = analyses.demand_forecast(df.limit(0), D(59))
     assert nothing.count() == 0 and "Python" not in nothing._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cost_versions_are_never_broadcast_by_the_size_of_the_list_they_come_from(spark):
+    # three products landed on many days each: few rows to Spark's estimate, many in fact
+    p = spark.range(1, 4).select(F.col("id").alias("product_id"), F.explode(F.sequence(F.lit(0), F.lit(99))).alias("k"))
+    landings = p.select("product_id", F.col("k").cast("decimal(38,9)").alias("cost_price"),
+                        F.date_add(F.lit(D(0)), F.col("k")).alias("observed"))
+    parts = spark.range(10, 12).select(F.col("id").alias("composite_product_id"), (F.col("id") - 9).alias("component_id"),
+                                       F.lit(2).cast("long").alias("component_quantity"))
+    got = history.kit_costs_by_day(history.own_costs(landings), parts)
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    days = sorted((r.product_id, r.since, int(r.kit_cost)) for r in got.collect())
+    assert days == [(k, SINCE_EVER if n == 0 else D(n), 2 * n) for k in (10, 11) for n in range(100)]
