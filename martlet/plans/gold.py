@@ -27,6 +27,7 @@ from martlet.functions.casts import NUMERIC
 from martlet.functions.expressions import matchable_product_id, money_minus, order_cost, ratio, units_times
 from martlet.operators.asof import as_of, as_of_join
 from martlet.operators.distinct import count_sets, id_sets, merge_sets
+from martlet.operators.lookup import spread_join
 
 ITEM_DETAIL_COLUMNS = ["order_id", "order_date", "product_id", "product_name", "product_id_for_merge",
                        "quantity", "order_unit_price", "order_product_cost", "gross_revenue", "gross_profit"]
@@ -91,7 +92,7 @@ def fact_orders(silver_orders: DataFrame, item_details: DataFrame, channels: Dat
     per_order = (item_details.groupBy("order_id")
                  .agg(F.sum("order_product_cost").alias("total_order_product_cost")))
     ch = channels.select(F.col("channel_id").alias("sale_channel_id"), F.col("channel_name").alias("sale_channel_name"))
-    j = silver_orders.join(per_order, "order_id", "left").join(ch, "sale_channel_id", "left")
+    j = spread_join(silver_orders.join(per_order, "order_id", "left"), ch, "sale_channel_id", ["order_id"])
     ship, disc, comm = F.col("order_shipping_cost"), F.col("order_discount_value"), F.col("order_commission_fee")
     value, pcost = F.col("total_order_value"), F.col("total_order_product_cost")
     cost = order_cost(ship, disc, comm, pcost)
@@ -132,7 +133,8 @@ def fact_channel_performance(item_details: DataFrame, orders: DataFrame, product
     # one row per (channel, day, product) before any dimension
     sold = (item_details.groupBy("sale_channel_id", "order_date",
                                  matchable_product_id(F.col("product_id")).alias("_pk"))
-            .agg(F.sum("quantity").alias("_q")).join(named, "sale_channel_id", "left")
+            .agg(F.sum("quantity").alias("_q")))
+    sold = (spread_join(sold, named, "sale_channel_id", ["order_date", "_pk"])
             .join(_product_attrs(products, categories), "_pk", "left"))
     q = F.col("_q")
     units = (sold.groupBy("sale_channel_name", "order_date", "category_name").agg(
@@ -213,12 +215,13 @@ def fact_component_demand(item_details: DataFrame, orders: DataFrame, bridge: Da
 def order_sets(item_details: DataFrame, products: DataFrame, categories: DataFrame, channels: DataFrame) -> DataFrame:
     """A4 per channel, category and day, as sets of orders that can be merged (``operators.distinct``).
 
-    Lines are reduced to one bitmap per (channel id, day, product, block) before the small dimensions.
+    Lines are reduced to one row per (channel id, day, product, block) before the small dimensions.
     """
     sets = id_sets(item_details.withColumn("_pk", matchable_product_id(F.col("product_id"))),
                    ["sale_channel_id", "order_date", "_pk"], "order_id")
     named = channels.select(F.col("channel_id").alias("sale_channel_id"), F.col("channel_name").alias("sale_channel_name"))
-    j = sets.join(named, "sale_channel_id", "left").join(_product_attrs(products, categories), "_pk", "left")
+    j = (spread_join(sets, named, "sale_channel_id", ["order_date", "_pk", "block"])
+         .join(_product_attrs(products, categories), "_pk", "left"))
     return merge_sets(j, {c: c for c in ("sale_channel_name", "category_name", "order_date")})
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martlet.functions.casts import NUMERIC
 from martlet.functions.expressions import CANCELLED_STATUS, merge_key, not_cancelled, units_times
 from martlet.operators.dedup import latest_per_key
-from martlet.operators.lookup import lookup
+from martlet.operators.lookup import lookup, spread_join
 
 SILVER_ORDER_COLUMNS = [
     "order_id", "client_id", "sale_channel_id", "status_id",
@@ -113,14 +113,14 @@ def silver_orders(stg_orders: DataFrame, statuses: DataFrame, after: dt.date | N
     active and later as cancelled is out.
     """
     st = statuses.select("status_id", "status_name")
-    j = _window_filter(latest_orders(stg_orders), after).join(st, "status_id", "left")
+    j = spread_join(_window_filter(latest_orders(stg_orders), after), st, "status_id", ["order_id"])
     return j.where(not_cancelled(F.col("status_name"))).select(*SILVER_ORDER_COLUMNS)
 
 
 def cancelled_orders(stg_orders: DataFrame, statuses: DataFrame) -> DataFrame:
     """order_id of the orders whose newest landing is cancelled (their rows leave the tables)."""
     gone = statuses.where(F.col("status_name") == F.lit(CANCELLED_STATUS)).select("status_id")
-    return latest_orders(stg_orders).join(gone, "status_id", "left_semi").select("order_id")
+    return spread_join(latest_orders(stg_orders), gone, "status_id", ["order_id"], "left_semi").select("order_id")
 
 
 def silver_order_items(stg_items: DataFrame, statuses: DataFrame, after: dt.date | None = None, audit_columns: bool = True) -> DataFrame:
@@ -132,7 +132,7 @@ def silver_order_items(stg_items: DataFrame, statuses: DataFrame, after: dt.date
     price (all descending), which makes the kept values deterministic.
     """
     st = statuses.select("status_id", "status_name")
-    j = stg_items.join(st, "status_id", "left").where(not_cancelled(F.col("status_name")))
+    j = spread_join(stg_items, st, "status_id", ["order_id", "product_id"]).where(not_cancelled(F.col("status_name")))
     j = _window_filter(j, after)
     j = j.withColumn("product_id_for_merge", merge_key(F.col("product_id"), F.col("order_id")))
     landed = [c for c in ("dt", "epoch") if c in stg_items.columns]

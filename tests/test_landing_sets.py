@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import SF001, rows
 from martlet.operators.distinct import count_sets, id_sets, merge_sets
-from martlet.operators.lookup import lookup
+from martlet.operators.lookup import lookup, spread_join
 from martlet.plans import refresh
 from martlet.sources import bronze, fixtures
 from martlet.sources import schemas as S
@@ -143,6 +143,34 @@ def test_sets_of_orders_merge_exactly(spark, tmp_dir):
         assert rows(count_sets(merge_sets(stored, by), list(by), "n")) == rows(want)
 
 
+def test_a_set_of_one_far_id_is_one_whole_number(spark):
+    ids = [0, 63, 64, -1, -64, 2 ** 62, -2 ** 63, 2 ** 63 - 1, 7, 7]
+    df = spark.createDataFrame([(n % 3, i) for n, i in enumerate(ids)], "g int, order_id bigint")
+    sets = id_sets(df, ["g"], "order_id")
+    # no group pays for a wide bitmap where its ids lie far apart
+    assert dict(sets.dtypes)["ids"] == "bigint"
+    want = df.groupBy("g").agg(F.count_distinct("order_id").alias("n"))
+    assert rows(count_sets(sets, ["g"], "n")) == rows(want)
+    assert count_sets(merge_sets(sets, {}), [], "n").first()[0] == 9
+
+
+def test_a_join_on_a_few_keys_spreads_the_rows(spark):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = spark.createDataFrame([(i, [1, 2, None, 9][i % 4]) for i in range(400)], "order_id long, status_id long")
+    few = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "status_id long, status_name string")
+    for how in ("left", "left_semi"):
+        want = lines.join(few, "status_id", how)
+        got = spread_join(lines, few, "status_id", ["order_id"], how)
+        assert got.columns == want.columns and rows(got) == rows(want)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        where = spread_join(lines.where("status_id = 1"), few.hint("merge"), "status_id", ["order_id"])
+        tasks = {r.p for r in where.select(F.spark_partition_id().alias("p"), "status_name").collect()}
+        assert n < 2 or len(tasks) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_a_lookup_is_broadcast_only_where_it_is_counted_and_small(spark):
     big, small = spark.range(1000), spark.range(10)
     plan = lambda n, most: big.join(lookup(small, n, most), "id", "left")._jdf.queryExecution().optimizedPlan().toString()
