@@ -40,22 +40,33 @@ def shared_folder(spark: SparkSession) -> str:
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: A public setting: rows that go to a Python worker at a time.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 2000  # whole texts at a time: both sides of the exchange hold a batch
+
+
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there.
 
     The shuffle files behind it are not needed any more and are removed with the write.
+    ``batch_rows``: rows that go to a Python worker at a time, if the session's number is to be less.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    wanted = {SHUFFLE_CLEANUP: "true"}
+    if batch_rows is not None and not 0 < int(spark.conf.get(ARROW_ROWS)) <= batch_rows:
+        wanted[ARROW_ROWS] = str(batch_rows)
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.common import read_table, stored, text_or_empty
+from martlet.llm.common import TEXT_ROWS, read_table, stored, text_or_empty
 from martlet.llm.components import components
 from martlet.llm.texts import chunks, mix, word_hashes, words
 
@@ -325,7 +325,7 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     rows = docs.select(row_id(key, text).alias("id"), text_or_empty(text).alias("text"), text_hash(text).alias("h1"))
     signed = stored(
-        rows.mapInArrow(_with_hashes, "id long, n long, marks binary, bands array<long>, h1 long, h2 long"), "signatures")
+        rows.mapInArrow(_with_hashes, "id long, n long, marks binary, bands array<long>, h1 long, h2 long"), "signatures", TEXT_ROWS)
     texts = signed.groupBy("h1", "h2").agg(F.min("id").alias("text_id"))
     # a text is a node by its least id; further texts with that least id are nodes below -2**62
     spare = -F.xxhash64("text_id", "h1", "h2").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
@@ -345,7 +345,7 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     first = _units(stands.filter(F.col("place") < FIRST_BANDS).withColumn("part", F.col("id")).join(marks, "id"))
     pairs = first.mapInArrow(_closest, "u long, v long").distinct()
     joined = pairs.join(near.toDF("u", "tu"), "u").join(near.toDF("v", "tv"), "v").select("u", "v", "tu", "tv")
-    links = stored(joined.mapInArrow(_verified, "u long, v long"), "near-links")
+    links = stored(joined.mapInArrow(_verified, "u long, v long"), "near-links", TEXT_ROWS)
     likely = stored(_units(_with_parts(stands, components(links)).join(marks, "id")).mapInArrow(_open_members, _UNIT), "open-members")
     sets = (near.join(likely.select("id").distinct(), "id").select("id", "text")
             .mapInArrow(_shingle_values, "id long, values binary, times binary"))

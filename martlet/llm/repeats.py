@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import stored, text_or_empty
+from martlet.llm.common import TEXT_ROWS, stored, text_or_empty
 from martlet.llm.near_documents import row_id, text_hash
 from martlet.llm.texts import buffers, chunks, mix, word_hashes, words
 
@@ -304,7 +304,7 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
                        text_hash(text).alias("h1"))
     scanned = stored(rows.mapInArrow(_scan(spec), (
         "id long, doc_id long, h1 long, h2 long, n_units long, whole string, "
-        "g array<long>, lo array<int>, nw array<int>, ao array<int>, c array<int>, t array<int>")), "scanned")
+        "g array<long>, lo array<int>, nw array<int>, ao array<int>, c array<int>, t array<int>")), "scanned", TEXT_ROWS)
     same = scanned.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     reps = same.select(F.col("rep").alias("id"), "h1", "h2")
     places = (scanned.join(reps, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1"])
@@ -323,7 +323,7 @@ def repeated_spans(docs: DataFrame, spec: Windows, index: Index, earlier: bool,
                .groupBy("id", "h1").agg(F.collect_list(F.struct("g", "lo", "nw", "ao", "t", "r")).alias("at")))
     held = stored(rows.select("id", "h1", "text").join(flagged, ["id", "h1"]).dropDuplicates(["id", "h1"]), "held-texts")
 
-    segs = stored(held.select("id", "h1", "text", "at").mapInArrow(_cut(spec), _SEGMENT), "segments")
+    segs = stored(held.select("id", "h1", "text", "at").mapInArrow(_cut(spec), _SEGMENT), "segments", TEXT_ROWS)
     # counts meet before the shuffle; bytes, once per task and segment, go to their key's place once
     counts = segs.groupBy("key", "sid").agg(F.min("id").alias("least"), F.sum("t").alias("n"), F.first("nw").alias("nw"))
     both = counts.withColumn("seg", F.lit(None).cast("binary")).unionByName(

@@ -173,3 +173,19 @@ def test_union_of_spans():
         got = union_of_spans(spans)
         assert {x for a, b in got for x in range(a, b)} == covered
         assert all(x[1] < y[0] for x, y in itertools.pairwise(got))
+
+
+def test_a_stored_table_sends_texts_to_workers_in_small_batches(spark):
+    import pyarrow as pa
+
+    from martlet.llm.common import ARROW_ROWS, stored
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    before = spark.conf.get(ARROW_ROWS)
+    table = spark.range(0, 1000, 1, 1).mapInArrow(sizes, "n long")
+    got = [r.n for r in stored(table, "sizes", 300).collect()]
+    assert sum(got) == 1000 and max(got) == 300
+    assert spark.conf.get(ARROW_ROWS) == before
