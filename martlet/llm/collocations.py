@@ -3,26 +3,25 @@
 A count transducer is an acyclic automaton over words whose paths are n-grams; the weight of
 a path's last state is how often the n-gram stands in the corpus.
 
-1. *Shards.*  A task gives each run of texts of one language a transducer, level by level from
-   sorted (state, word) pairs.  Only paths that go no further carry their count; a state's
-   weight is the sum of the weights behind it.
-2. *Union.*  The shards' paths are dealt by ranges of prefixes and sorted.  Adding sorted paths
-   one by one keeps only the path that was added last: a state that is left will never
-   change, so its weight is final and goes up to the state before it.  States
-   on a range's first and last path may go on in the neighbour; their parts are summed after.
+1. *Shards.*  A task gives each run of texts of one language a transducer of the paths of two words
+   and more.  Only paths that go no further carry their count; a state's weight is the sum of
+   the weights behind it.
+2. *Union.*  The shards' paths are dealt to blocks by their first two words, sorted and packed
+   there, one row per shard and block.  In a block the paths of all shards meet; they are cut where they can
+   not reach ``least`` and added in sorted order, which keeps only the path that was added
+   last: a state that is left will never change, so its weight is final and goes up to the state before it.
+   The paths of very common pairs are dealt by the third word too; the counts of such a pair are
+   summed after.
 3. *Part lookups.*  The counted phrases are composed with the transducer itself.  In sorted
    order, a phrase's left parts are the states on the path to it; in the order of the reversed
    phrases, its right parts are.  The same walk tells whether a phrase one word longer has
    the same count.
 
-A phrase can only reach ``least`` if its words and word pairs do.  Hashes of words, then of pairs
-of such words, are counted first; those that reach ``least`` make a bitmap of ``2 ** filter_bits``
-bits, of that size whatever the input.  Equal phrases have equal hashes and chance matches
-only let more through, so no phrase is lost, and the transducers, which count exactly, go on only
-along words and pairs that can be frequent.
-
-A path is one string: language and words joined by tabs.  Bytes up to the tab are escaped, so
-the tab sorts before all else and the paths behind a state stand together.
+A phrase can only reach ``least`` if its words do.  Words are counted first, exactly; the hashes of those that
+reach ``least`` make a bitmap of ``2 ** filter_bits`` bits, of that size whatever the input.  Equal words
+have equal hashes and chance matches only let more through, so no phrase is lost.  Word pairs are not
+filtered before: how much such a filter leaves depends on the size of the corpus, and what it leaves grows faster than that.
+Every occurrence of a word is the start of one path at most.
 
 Null languages count as ``und``, null and empty texts have no words.  Repeated rows count again.
 Texts of any length are taken whole.  An empty table has no phrases.  Other columns are not read.
@@ -39,15 +38,21 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.common import read_table, stored, text_or_empty
+from martlet.llm.common import partitions, read_table, stored, text_or_empty
 from martlet.llm.texts import buffers, chunks, mix, word_hashes
 
 LEAST = 100          # fixed value of the contract: occurrences of a candidate
 MOST_WORDS = 5
 TOP = 2000
 SHARD_BYTES = 1 << 23
+HELD_BYTES = 1 << 25  # texts of all languages that wait for more
 FILTER_BITS = 24
 OUT_ROWS = 20_000
+OUT_BYTES = 1 << 22
+BLOCK_WORDS = 4_000_000  # words of the corpus per block of paths
+# Common pairs are looked for among one pair of so many, to deal their paths evenly.  No count is made of it.
+ONE_OF = 16
+LEAST_SEEN, COMMON = 16, 1024
 
 _KIND = np.zeros(256, np.uint8)      # 0 word, 1 between words, 2 between pieces
 _KIND[[0x20, 0x09]] = 1
@@ -103,86 +108,154 @@ class Shard:
         """(hash, count) of the words."""
         return self.hashes, np.bincount(self.ids, minlength=len(self.words))
 
-    def pair_counts(self, words: Filter) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, count) of the pairs of known words."""
-        at = self._pairs(words)
+    def common_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, estimated count) of the pairs that are a noticeable share of the shard."""
+        at = np.flatnonzero(self.piece[1:] == self.piece[:-1])[::ONE_OF]
         pairs, counts = np.unique(self.ids[at] * len(self.words) + self.ids[at + 1], return_counts=True)
-        left, right = np.divmod(pairs, max(len(self.words), 1))
-        return _pair_hash(self.hashes[left], self.hashes[right]), counts
-
-    def _pairs(self, words: Filter) -> np.ndarray:
-        known = words(self.hashes)[self.ids]
-        return np.flatnonzero((self.piece[1:] == self.piece[:-1]) & known[1:] & known[:-1])
-
-    def paths(self, depth: int, words: Filter, pairs: Filter) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """(starts of examples, counts, words) of the distinct paths that go no further, per number of words."""
-        on = np.zeros(len(self.ids), bool)  # the pair that starts here may be frequent
-        at = self._pairs(words)
-        on[at] = pairs(_pair_hash(self.hashes[self.ids[at]], self.hashes[self.ids[at + 1]]))
-        at = np.flatnonzero(words(self.hashes)[self.ids])
-        state = np.zeros(len(at), np.int64)
-        for n in range(1, depth + 1):
-            if not len(at):
-                return
-            _, example, state = np.unique(state * len(self.words) + self.ids[at + n - 1], return_index=True, return_inverse=True)
-            more = on[at + n - 1] if n < depth else np.zeros(len(at), bool)
-            counts = np.bincount(state[~more], minlength=len(example))
-            ends = np.flatnonzero(counts)
-            yield at[example[ends]], counts[ends], n
-            at, state = at[more], state[more]
-
-    def rows(self, lang: str, depth: int, words: Filter, pairs: Filter) -> Iterator[pa.RecordBatch]:
-        names = self.words.cast(pa.string())
-        body, _ = buffers(self.words)
-        if len(body) and (body.min() <= TAB or (body == ESCAPE).any()):
-            names = pa.array([escaped(w) for w in names.to_pylist()], pa.string())
-        for starts, counts, n in self.paths(depth, words, pairs):
-            for k in range(0, len(starts), OUT_ROWS):
-                s = starts[k:k + OUT_ROWS]
-                text = names.take(pa.array(self.ids[s[:, None] + np.arange(n)].ravel()))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(s) + 1, dtype=np.int32) * n), text)
-                path = pc.binary_join_element_wise(escaped(lang), pc.binary_join(lists, "\t"), "\t")
-                yield pa.RecordBatch.from_arrays([path, pa.array(counts[k:k + OUT_ROWS].astype(np.int64))], ["path", "w"])
-
-
-TAB, ESCAPE = 0x09, 0x0E
-
-
-def escaped(text: str) -> str:
-    """Without characters up to the tab, one to one."""
-    return "".join(c if ord(c) > TAB and ord(c) != ESCAPE else chr(ESCAPE) + chr(0x10 + ord(c)) for c in text)
-
-
-def unescaped(text: str) -> str:
-    first, *rest = text.split(chr(ESCAPE))
-    return first + "".join(chr(ord(x[0]) - 0x10) + x[1:] for x in rest)
+        common = counts >= max(LEAST_SEEN, len(at) // COMMON)
+        left, right = np.divmod(pairs[common], max(len(self.words), 1))
+        return _pair_hash(self.hashes[left], self.hashes[right]), counts[common] * ONE_OF
+
+    def paths(self, depth: int, words: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known words, distinct paths, counts): sorted paths of two words and more that go no further.
+
+        A path is a column of ``depth`` places in the known words, from 1; 0 is after its end.
+        The most frequent words come first, as small numbers pack better.
+        """
+        known = np.flatnonzero(words(self.hashes))
+        names = known[np.argsort(-np.bincount(self.ids, minlength=len(self.words))[known], kind="stable")]
+        place = np.zeros(len(self.words), np.int64)
+        place[names] = np.arange(1, len(names) + 1)
+        end = np.zeros(depth, np.int64)
+        code = np.concatenate((place[self.ids], end))
+        on = np.concatenate(((self.piece[1:] == self.piece[:-1]) & (code[:-depth - 1] > 0) & (code[1:-depth] > 0), end > 0, [False]))
+        at = np.flatnonzero(on)
+        columns, more = [code[at]], np.ones(len(at), bool)
+        for n in range(1, depth):
+            more = more & on[at + n - 1]
+            columns.append(np.where(more, code[at + n], 0))
+        state, states, base = np.zeros(len(at), np.int64), 1, len(names) + 1
+        for c in columns:
+            if states * base >= 1 << 62:
+                ranks, state = np.unique(state, return_inverse=True)
+                states = len(ranks)
+            state = state * base + c
+            states *= base
+        _, first, counts = np.unique(state, return_index=True, return_counts=True)
+        return names, np.stack(columns)[:, first], counts
+
+    def rows(self, lang: str, depth: int, words: Filter, deal: Deal) -> Iterator[pa.RecordBatch]:
+        """One row per block with paths: the block's words, its paths as places in them, their counts."""
+        names, paths, counts = self.paths(depth, words)
+        if not len(counts):
+            return
+        texts = self.words.cast(pa.string()).take(pa.array(names))
+        block = deal(np.concatenate((np.zeros(1, np.uint64), self.hashes[names])), paths)
+        order = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
+        out, size = [], 0
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            part = paths[:, order[lo:hi]]
+            used = np.zeros(len(names) + 1, bool)
+            used[part] = True
+            used[0] = False
+            here = texts.take(pa.array(np.flatnonzero(used) - 1))
+            here = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(here)], pa.int32()), here), "\t")[0].as_buffer()
+            row = (int(block[order[lo]]), lang, hi - lo, here.size, pa.compress(here, "zstd", asbytes=True),
+                   packed(np.cumsum(used)[part] * (part > 0)), packed(counts[order[lo:hi]]))
+            out.append(row)
+            size += sum(map(len, row[4:]))
+            if size > OUT_BYTES or hi == len(order):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), BLOCK_TYPES.values())], list(BLOCK_TYPES))
+                out, size = [], 0
+
+
+class Deal:
+    """Blocks of paths: by the hash of the first two words, and by the third word where that pair is common."""
+
+    def __init__(self, blocks: int, pairs: np.ndarray, spread: np.ndarray):
+        order = np.argsort(pairs)
+        self.blocks, self.pairs, self.spread = blocks, pairs[order], spread[order]
+
+    def common(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair is common, over how many blocks its paths are dealt)."""
+        if not len(self.pairs):
+            return np.zeros(len(pair), bool), np.ones(len(pair), np.int64)
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        found = self.pairs[at] == pair
+        return found, np.where(found, self.spread[at], 1)
+
+    def __call__(self, hashes: np.ndarray, paths: np.ndarray) -> np.ndarray:
+        """Blocks of the paths; ``hashes`` are those of the places in ``paths``."""
+        pair = _pair_hash(hashes[paths[0]], hashes[paths[1]])
+        block = (pair >> np.uint64(32)).astype(np.int64)
+        if len(paths) > 2:
+            found, spread = self.common(pair)
+            third = (mix(hashes[paths[2][found]]) >> np.uint64(32)).astype(np.int64)
+            block[found] += third % spread[found]
+        return block % self.blocks
+
+
+#: A row of packed paths: ``n`` paths of equal depth and their words, ``length`` bytes joined by tabs, which no word holds.
+BLOCK_TYPES = {"block": pa.int32(), "lang": pa.string(), "n": pa.int32(), "length": pa.int64(),
+               "words": pa.binary(), "paths": pa.binary(), "counts": pa.binary()}
+BLOCK_DDL = "block int, lang string, n int, length long, words binary, paths binary, counts binary"
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 in the least width that holds them all: the width, then their first bytes, second bytes and so on."""
+    width = next(k for k in (1, 2, 4, 8) if int(numbers.max()) < 1 << 8 * k)
+    planes = np.ascontiguousarray(numbers.astype(f"<u{width}").reshape(-1, 1).view(np.uint8).T)
+    return bytes([width]) + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(body: bytes, n: int) -> np.ndarray:
+    planes = pa.decompress(body[1:], n * body[0], "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(body[0], n).T).view(f"<u{body[0]}").ravel()
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Shard]]:
+    """Shards of about ``SHARD_BYTES`` of one language, over the bounds of batches."""
+    held: dict[str, list] = {}
+
+    def shards(lang: str, all_of_it: bool) -> Iterator[tuple[str, Shard]]:
+        texts = pa.concat_arrays(held.pop(lang))
+        for part, data, offsets in chunks(texts, SHARD_BYTES):
+            if part.stop == len(texts) and not all_of_it and len(data) < SHARD_BYTES // 2:
+                held[lang] = [texts[part]]
+            elif len(data):
+                yield lang, Shard(data, offsets, lang)
+
     for b in batches:
         langs = np.array(b.column(0).to_pylist(), object)
         for lang in sorted(set(langs.tolist())):
-            texts = b.column(1).take(pa.array(np.flatnonzero(langs == lang)))
-            for _, data, offsets in chunks(texts, SHARD_BYTES):
-                if len(data):
-                    yield lang, Shard(data, offsets, lang)
+            held.setdefault(lang, []).append(b.column(1).take(pa.array(np.flatnonzero(langs == lang))))
+            if sum(x.nbytes for x in held[lang]) >= SHARD_BYTES:
+                yield from shards(lang, False)
+        if sum(x.nbytes for parts in held.values() for x in parts) >= HELD_BYTES:
+            for lang in sorted(held):
+                yield from shards(lang, True)
+    for lang in sorted(held):
+        yield from shards(lang, True)
 
 
 def _rows(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), text_or_empty(text).alias("text"))
 
 
-def hash_counts(docs: DataFrame, words: Filter | None = None, lang: str = "lang", text: str = "text") -> DataFrame:
-    """lang, h, w: the shards' counts of words, or of pairs of the words that the filter knows."""
+def word_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """lang, word, h, w: the shards' counts of words; without a word, the estimated counts of their common pairs."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, shard in _runs(batches):
-            h, counts = shard.word_counts() if words is None else shard.pair_counts(words)
-            for k in range(0, len(h), OUT_ROWS):
-                part = h[k:k + OUT_ROWS]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(part.view(np.int64)),
-                                                  pa.array(counts[k:k + OUT_ROWS].astype(np.int64))], ["lang", "h", "w"])
+            pairs = shard.common_pairs()
+            for texts, (h, counts) in ((shard.words.cast(pa.string()), shard.word_counts()), (pa.nulls(len(pairs[0]), pa.string()), pairs)):
+                for k in range(0, len(h), OUT_ROWS):
+                    part = h[k:k + OUT_ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), texts[k:k + OUT_ROWS], pa.array(part.view(np.int64)),
+                                                      pa.array(counts[k:k + OUT_ROWS].astype(np.int64))], ["lang", "word", "h", "w"])
 
-    return _rows(docs, lang, text).mapInArrow(task, "lang string, h long, w long")
+    rows = _rows(docs, lang, text).mapInArrow(task, "lang string, word string, h long, w long")
+    return rows.groupBy("lang", "word", "h").agg(F.sum("w").alias("w"))
 
 
 def filter_of(counts: DataFrame, least: int, bits: int = FILTER_BITS) -> Filter:
@@ -197,13 +270,25 @@ def filter_of(counts: DataFrame, least: int, bits: int = FILTER_BITS) -> Filter:
     return Filter(bits, body)
 
 
-def shard_transducers(docs: DataFrame, depth: int, words: Filter, pairs: Filter, lang: str = "lang", text: str = "text") -> DataFrame:
-    """path, w: the shards' paths of up to ``depth`` words."""
+def deal_of(counts: DataFrame, total: int, block_words: int = BLOCK_WORDS) -> Deal:
+    """As many blocks as the words ask for; a pair that would take an eighth of a block or more is dealt on.
+
+    Such pairs are at most a few for each block, and so is what reaches the driver.
+    """
+    blocks = max(partitions(counts.sparkSession), -(-total // block_words))
+    share = max(total // blocks // 8, 1)
+    found = counts.filter(F.col("word").isNull() & (F.col("w") > share)).select("h", "w").collect()
+    return Deal(blocks, np.array([r.h for r in found], np.int64).view(np.uint64),
+                np.array([min(blocks, -(-r.w // share)) for r in found], np.int64))
+
+
+def shard_transducers(docs: DataFrame, depth: int, words: Filter, deal: Deal, lang: str = "lang", text: str = "text") -> DataFrame:
+    """The shards' paths of two to ``depth`` words, packed by block."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, shard in _runs(batches):
-            yield from shard.rows(name, depth, words, pairs)
+            yield from shard.rows(name, depth, words, deal)
 
-    return _rows(docs, lang, text).mapInArrow(task, "path string, w long")
+    return _rows(docs, lang, text).mapInArrow(task, BLOCK_DDL)
 
 
 class SortedUnion:
@@ -247,40 +332,91 @@ class SortedUnion:
     def take(self) -> pa.RecordBatch:
         rows, self.out = self.out, []
         return pa.RecordBatch.from_arrays(
-            [pa.array([unescaped(p[0]) for p, _ in rows], pa.string()),
-             pa.array([[unescaped(x) for x in p[1:]] for p, _ in rows], pa.list_(pa.string())),
+            [pa.array([p[0] for p, _ in rows], pa.string()),
+             pa.array([p[1:] for p, _ in rows], pa.list_(pa.string())),
              pa.array([w for _, w in rows], pa.int64())], ["lang", "phrase", "w"])
 
 
-def union_by_prefix(paths: DataFrame, least: int) -> DataFrame:
-    """lang, phrase (array of words), f of the phrases that stand ``least`` times or more.
+def frequent_paths(paths: np.ndarray, counts: np.ndarray, base: int, least: int, common: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Sorted paths cut after the last state that reaches ``least``, and their counts; pairs that do not are left out.
 
-    ``paths`` is a stored table, as its prefix ranges are found from a sample first.
+    ``common``: paths of pairs whose other paths may be in other blocks.  Each such pair stays.
     """
+    out = []
+    _, first, state = np.unique(paths[0].astype(np.int64) * base + paths[1], return_index=True, return_inverse=True)
+    goes = (np.bincount(state, counts)[state] >= least) | common
+    paths, counts, example, state = paths[:, goes], counts[goes], paths[:, first], state[goes]
+    for n in range(2, len(paths) + 1):
+        goes = np.zeros(len(counts), bool)
+        if n < len(paths):
+            goes = paths[n] > 0
+            _, first, after = np.unique(state[goes] * base + paths[n][goes], return_index=True, return_inverse=True)
+            longer = paths[:, goes][:, first]
+            enough = np.bincount(after, counts[goes])[after] >= least
+            goes[goes] = enough
+            after = after[enough]
+        own = np.bincount(state[~goes], counts[~goes]).astype(np.int64)
+        for k in np.flatnonzero(own).tolist():
+            out.append((tuple(example[:n, k].tolist()), int(own[k])))
+        if not goes.any():
+            break
+        paths, counts, example, state = paths[:, goes], counts[goes], longer, after
+    return sorted(out)
+
+
+def union_by_prefix(packs: DataFrame, depth: int, deal: Deal, least: int) -> DataFrame:
+    """lang, phrase (array of words), f of the phrases of two words and more that stand ``least`` times or more."""
+    def united(lang: str, rows: list[tuple[int, int, bytes, bytes, bytes]]) -> pa.RecordBatch:
+        parts = [pa.decompress(words, length, "zstd", asbytes=True).decode().split("\t") for _, length, words, _, _ in rows]
+        coded = pa.array([w for p in parts for w in p], pa.string()).dictionary_encode()
+        number = coded.indices.to_numpy() + np.int32(1)
+        paths, at = [], 0
+        for (n, _, _, body, _), p in zip(rows, parts):
+            table = np.concatenate((np.zeros(1, np.int32), number[at:at + len(p)]))
+            at += len(p)
+            paths.append(table[unpacked(body, n * depth).reshape(depth, n)])
+        paths = np.concatenate(paths, axis=1)
+        counts = np.concatenate([unpacked(c, n).astype(np.float64) for n, _, _, _, c in rows])  # sums under 2 ** 53 are exact
+        body, off = buffers(coded.dictionary)
+        hashes = np.concatenate((np.zeros(1, np.uint64), word_hashes(body, off[:-1], off[1:]) ^ _lang_number(lang)))
+        common, _ = deal.common(_pair_hash(hashes[paths[0]], hashes[paths[1]]))
+        names = coded.dictionary.to_pylist()
+        union = SortedUnion(1)  # what is too rare is cut off already
+        for path, w in frequent_paths(paths, counts, len(hashes), least, common):
+            union.add([lang, *(names[k - 1] for k in path)], w)
+        if union.path:
+            union.end()
+        union.out = [x for x in union.out if len(x[0]) > 2]  # first words are counted elsewhere
+        return union.take()
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        union = SortedUnion(least)
+        key, held = None, []
         for b in batches:
-            for path, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                union.add(path.split("\t"), w)
-                if len(union.out) >= OUT_ROWS:
-                    yield union.take()
-        union.end()
-        yield union.take()
-
-    spread = paths.repartitionByRange("path").sortWithinPartitions("path")
-    parts = spread.mapInArrow(task, "lang string, phrase array<string>, w long")
+            for block, lang, *row in zip(*(c.to_pylist() for c in b.columns)):
+                if (block, lang) != key:
+                    if held:
+                        yield united(key[1], held)
+                    key, held = (block, lang), []
+                held.append(row)
+        if held:
+            yield united(key[1], held)
+
+    dealt = packs.repartitionById(deal.blocks, F.col("block")).sortWithinPartitions("block", "lang")
+    parts = dealt.mapInArrow(task, "lang string, phrase array<string>, w long")
     return parts.groupBy("lang", "phrase").agg(F.sum("w").alias("f")).filter(F.col("f") >= least)
 
 
 def counted_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, filter_bits: int = FILTER_BITS,
-                    lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
+                    lang: str = "lang", text: str = "text", block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f of all phrases of 1 to ``most_words`` words that stand ``least`` times; lang, n: all words)."""
-    words = stored(hash_counts(docs, None, lang, text), "word-counts")
+    counts = stored(word_counts(docs, lang, text), "word-counts")
+    words = counts.filter(F.col("word").isNotNull())
     total = words.groupBy("lang").agg(F.sum("w").alias("n"))
     known = filter_of(words, least, filter_bits)
-    pairs = filter_of(hash_counts(docs, known, lang, text), least, filter_bits)
-    paths = stored(shard_transducers(docs, most_words, known, pairs, lang, text), "paths")
-    return stored(union_by_prefix(paths, least), "phrases"), total
+    deal = deal_of(counts, words.agg(F.sum("w")).first()[0] or 0, block_words)
+    packs = shard_transducers(docs, most_words, known, deal, lang, text)
+    single = words.filter(F.col("w") >= least).select("lang", F.array("word").alias("phrase"), F.col("w").alias("f"))
+    return stored(single.union(union_by_prefix(packs, most_words, deal, least)), "phrases"), total
 
 
 class PartWalk:

@@ -208,3 +208,42 @@ def test_sorted_union_over_cut_ranges():
                 got[tuple(p[1:])] += w
             at = stop
         assert {k: v for k, v in got.items() if v >= least} == {k: v for k, v in want.items() if v >= least}
+
+
+def test_shard_paths_grow_like_the_texts(spark):
+    """Of five times the texts, five times the words can be frequent; the paths still follow the words."""
+    from martlet.llm.collocations import deal_of, filter_of, shard_transducers, word_counts
+
+    rng = random.Random(5)
+    made = []
+    for size in (400, 2000):
+        rows = [("en", " ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(50))) for _ in range(size)]
+        df = spark.createDataFrame(rows, "lang string, text string")
+        counts = word_counts(df)
+        words = counts.filter("word IS NOT NULL")
+        assert words.agg({"w": "sum"}).first()[0] == size * 50
+        packs = shard_transducers(df, 5, filter_of(words, 100, 15), deal_of(counts, size * 50))
+        made.append(packs.agg({"n": "sum"}).first()[0])
+    assert made[1] <= 6 * made[0]
+
+
+def test_paths_of_common_pairs_are_dealt_over_blocks(spark):
+    from martlet.llm.collocations import counted_phrases, deal_of, filter_of, shard_transducers, word_counts
+
+    rng = random.Random(6)
+    rows = [("en", " ".join(f"of the {rng.choice('abcdefgh')} {rng.choice('xyz')}{rng.randrange(90)}" for _ in range(40)) + rng.choice(["", " of the"]))
+            for _ in range(150)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    counts = word_counts(df)
+    deal = deal_of(counts, 24000, 500)
+    assert deal.blocks == 48 and len(deal.pairs) and deal.spread.max() > 4
+    packs = shard_transducers(df, 5, filter_of(counts.filter("word IS NOT NULL"), 2, 15), deal).collect()
+    assert sum(r.n for r in packs) > 1000 and len({r.block for r in packs}) > 10
+    f = collections.Counter()
+    for _, text in rows:
+        ws = text.split()
+        f.update(tuple(ws[i:i + k]) for k in range(1, 6) for i in range(len(ws) - k + 1))
+    for least in (2, 100):
+        got, total = counted_phrases(df, least, block_words=500)
+        assert {(r.lang, tuple(r.phrase), r.f) for r in got.collect()} == {("en", p, a) for p, a in f.items() if a >= least}
+        assert [tuple(r) for r in total.collect()] == [("en", sum(a for p, a in f.items() if len(p) == 1))]
